@@ -9,15 +9,16 @@ Assigning rows is then a map against a table of a few cut values.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldloom.functions.scalars import nan_to_null, normalised_text, order_hash
+from fieldloom.functions.scalars import normalised_text, order_hash
 from fieldloom.operators.duplicates import key_columns
-from fieldloom.operators.order import exact_quantiles
+from fieldloom.operators.order import WINDOW_ROWS, exact_quantiles
+from fieldloom.session import checkpoint
 
 # Share of test rows, seed, number of folds, number of target strata.
 TEST_SIZE = 0.20
@@ -26,7 +27,8 @@ FOLDS = 5
 STRATIFY_BINS = 10
 
 MAX_STRATA = 10_000
-ROWS_PER_PREFIX = 10_000
+# Hex digits of the hash examined per round: 4,096 prefixes.
+PREFIX = 3
 
 
 def bin_edges(df: DataFrame, column: str, bins: int) -> list[float]:
@@ -35,26 +37,19 @@ def bin_edges(df: DataFrame, column: str, bins: int) -> list[float]:
     return sorted({e for e in edges if e is not None})
 
 
-def bin_of(column: str | Column, edges: Sequence[float]) -> Column:
+def bin_of(column: str, edges: Sequence[float]) -> Column:
     """Number of interior edges below the value: bins closed on the right."""
-    x = nan_to_null(column)
+    x = F.col(column).cast("double")
     number = F.lit(0).cast("long")
     for e in edges[1:-1]:
         number = number + (x > F.lit(e)).cast("long")
-    return F.when(x.isNotNull(), number)
+    return F.when(x.isNotNull() & ~F.isnan(x), number)
 
 
 def quantile_bins(df: DataFrame, column: str, bins: int = STRATIFY_BINS, name: str = "bin") -> DataFrame:
     return df.withColumn(name, bin_of(column, bin_edges(df, column, bins)))
 
 
-def stratum_sizes(df: DataFrame, stratum: Column) -> dict:
-    rows = df.groupBy(stratum.alias("s")).agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata; stratify on classes or bins")
-    return {r["s"]: r["n"] for r in rows}
-
-
 def test_quotas(sizes: Mapping, test_size: float = TEST_SIZE) -> dict:
     """Test rows per stratum by largest remainder, ties to the smaller stratum."""
     n = sum(sizes.values())
@@ -67,62 +62,71 @@ def test_quotas(sizes: Mapping, test_size: float = TEST_SIZE) -> dict:
     return quota
 
 
-def hash_cuts(df: DataFrame, hashed: Column, stratum: Column, cuts: Mapping[object, Sequence[int]]) -> dict:
-    """The hash value at each wanted rank (1-based) of each stratum."""
-    wanted = [(s, i, r) for s, ranks in cuts.items() for i, r in enumerate(ranks) if r > 0]
-    if not wanted:
-        return {}
+def _cut_by_hash(
+    df: DataFrame, key: str, stratum: str | None, seed: int, plan: Callable[[dict], dict[object, list[int]]], name: str
+) -> DataFrame:
+    """Add ``name``: how many cuts of its stratum lie below each row in hash order.
+
+    ``plan`` turns the stratum sizes into the ranks (1-based, the last row before the
+    cut) at which each stratum is cut.
+    """
     spark = df.sparkSession
-    rows = df.select(stratum.alias("s"), hashed.alias("h"))
-    n = rows.count()
-    digits = max(1, min(8, math.ceil(math.log(max(n / ROWS_PER_PREFIX, 1), 16))))
-    prefix = F.left("h", F.lit(digits))
-    counts = rows.groupBy("s", prefix.alias("p")).agg(F.count("*").alias("n"))
-    # 16**digits rows per stratum at most, whatever the size of the stratum.
-    upto = W.partitionBy("s").orderBy("p").rowsBetween(W.unboundedPreceding, 0)
-    counts = counts.withColumn("last", F.sum("n").over(upto)).withColumn("before", F.col("last") - F.col("n"))
-    schema = f"ws {rows.schema['s'].dataType.simpleString()}, cut int, rank long"
-    ranks = spark.createDataFrame(wanted, schema)
-    located = counts.join(F.broadcast(ranks), F.col("s").eqNullSafe(F.col("ws"))
-                          & (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("last")))
-    places = located.select(F.col("s").alias("bs"), F.col("p").alias("bp"), "cut", (F.col("rank") - F.col("before")).alias("nth"))
-    # One row per cut, so the candidates are the rows of a few prefixes only.
-    chosen = places.collect()
-    found = {}
-    edge = F.lit(False)
-    for s, p in {(c["bs"], c["bp"]) for c in chosen}:
-        edge = edge | (F.col("s").eqNullSafe(F.lit(s)) & F.col("h").startswith(p))
-    inside = rows.where(edge).withColumn("p", prefix).withColumn(
-        "nth", F.row_number().over(W.partitionBy("s", "p").orderBy("h")))
-    hit = F.lit(False)
-    for c in chosen:
-        hit = hit | (F.col("s").eqNullSafe(F.lit(c["bs"])) & (F.col("p") == c["bp"]) & (F.col("nth") == c["nth"]))
-    values = {(r["s"], r["p"], r["nth"]): r["h"] for r in inside.where(hit).collect()}
-    for c in chosen:
-        found[(c["bs"], c["cut"])] = values[(c["bs"], c["bp"], c["nth"])]
-    return found
-
-
-def _assign(df: DataFrame, name: str, hashed: Column, stratum: Column, cuts: Mapping, found: Mapping) -> DataFrame:
-    """Number of cuts of its stratum that lie below each row's hash."""
-    position = F.lit(None).cast("int")
-    for s, ranks in cuts.items():
-        count = F.lit(0)
-        for i, r in enumerate(ranks):
-            count = count + ((hashed > F.lit(found[(s, i)])).cast("int") if r > 0 else F.lit(1))
-        position = F.when(stratum.eqNullSafe(F.lit(s)), count).otherwise(position)
-    return df.withColumn(name, position)
+    s = F.col(stratum) if stratum else F.lit(0)
+    rows = df.select(s.alias("s"), order_hash(key, seed).alias("h"))
+    stype = rows.schema["s"].dataType.simpleString()
+
+    counts = checkpoint(rows.groupBy("s", F.left("h", F.lit(PREFIX)).alias("p")).agg(F.count("*").alias("n")))
+    sizes = counts.groupBy("s").agg(F.sum("n").alias("n")).limit(MAX_STRATA + 1).collect()
+    if len(sizes) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} strata; stratify on classes or bins")
+    cuts = plan({r["s"]: r["n"] for r in sizes})
+    wanted = [(v, "", i, r) for v, ranks in cuts.items() for i, r in enumerate(ranks) if r > 0]
+
+    # Follow the prefix that holds each cut until few enough rows share it.
+    digits, candidates, found = PREFIX, rows, {}
+    while wanted:
+        targets = F.broadcast(spark.createDataFrame(wanted, f"ts {stype}, parent string, cut int, rank long"))
+        upto = W.partitionBy("s", "parent").orderBy("p").rowsBetween(W.unboundedPreceding, 0)
+        levels = counts.withColumn("parent", F.left("p", F.lit(digits - PREFIX))).withColumn(
+            "last", F.sum("n").over(upto))
+        # One row per cut.
+        places = levels.join(targets.withColumnRenamed("parent", "tp"), F.col("s").eqNullSafe(F.col("ts"))
+                             & (F.col("parent") == F.col("tp")) & (F.col("rank") <= F.col("last"))
+                             & (F.col("rank") > F.col("last") - F.col("n"))).select(
+            "s", "p", "cut", (F.col("rank") - F.col("last") + F.col("n")).alias("nth"), "n").collect()
+        keys = sorted({(r["s"], r["p"]) for r in places}, key=lambda k: (k[0] is None, k))
+        edge = F.broadcast(spark.createDataFrame(keys, f"ts {stype}, tp string"))
+        candidates = candidates.withColumn("p", F.left("h", F.lit(digits))).join(
+            edge, F.col("s").eqNullSafe(F.col("ts")) & (F.col("p") == F.col("tp")), "left_semi")
+        if max(r["n"] for r in places) <= WINDOW_ROWS:
+            ordered = candidates.withColumn("nth", F.row_number().over(W.partitionBy("s", "p").orderBy("h")))
+            picks = F.broadcast(spark.createDataFrame(
+                [(r["s"], r["p"], r["cut"], r["nth"]) for r in places], f"ts {stype}, tp string, cut int, tn long"))
+            hit = ordered.join(picks, F.col("s").eqNullSafe(F.col("ts")) & (F.col("p") == F.col("tp")) & (F.col("nth") == F.col("tn")))
+            found = {(r["s"], r["cut"]): r["h"] for r in hit.select("s", "cut", "h").collect()}
+            break
+        wanted = [(r["s"], r["p"], r["cut"], r["nth"]) for r in places]
+        digits += PREFIX
+        candidates = candidates.drop("p")
+        counts = checkpoint(candidates.groupBy("s", F.left("h", F.lit(digits)).alias("p")).agg(F.count("*").alias("n")))
+
+    # A rank of 0 cuts before the first row: every hash lies above the empty text.
+    table = [(v, [found.get((v, i), "") for i in range(len(ranks))]) for v, ranks in cuts.items()]
+    lookup = F.broadcast(spark.createDataFrame(table, f"_s {stype}, _cuts array<string>"))
+    hashed = df.withColumns({"_h": order_hash(key, seed), "_stratum_key": s})
+    return (
+        hashed.join(lookup, F.col("_stratum_key").eqNullSafe(F.col("_s")), "left")
+        .withColumn(name, F.size(F.filter("_cuts", lambda c: c < F.col("_h"))))
+        .drop("_h", "_s", "_cuts", "_stratum_key")
+    )
 
 
 def train_test_split(
     df: DataFrame, key: str, stratum: str | None = None, test_size: float = TEST_SIZE, seed: int = SEED
 ) -> DataFrame:
     """Add ``split`` ('train' or 'test'); ``key`` must identify a row."""
-    s = F.col(stratum) if stratum else F.lit(0)
-    h = order_hash(key, seed)
-    cuts = {value: [q] for value, q in test_quotas(stratum_sizes(df, s), test_size).items()}
-    found = hash_cuts(df, h, s, cuts)
-    marked = _assign(df, "_past", h, s, cuts, found)
+    plan = lambda sizes: {s: [q] for s, q in test_quotas(sizes, test_size).items()}
+    marked = _cut_by_hash(df, key, stratum, seed, plan, "_past")
     return marked.withColumn("split", F.when(F.col("_past") == 0, "test").otherwise("train")).drop("_past")
 
 
@@ -141,21 +145,21 @@ def split_on_target(
 
 def kfold(df: DataFrame, key: str, folds: int = FOLDS, stratum: str | None = None, seed: int = SEED) -> DataFrame:
     """Add ``fold`` 1..k; the first n mod k folds hold one row more."""
-    s = F.col(stratum) if stratum else F.lit(0)
-    h = order_hash(key, seed)
-    cuts = {}
-    for value, n in stratum_sizes(df, s).items():
-        sizes = [n // folds + (1 if i < n % folds else 0) for i in range(folds)]
-        cuts[value] = [sum(sizes[: i + 1]) for i in range(folds - 1)]
-    found = hash_cuts(df, h, s, cuts)
-    return _assign(df, "fold", h, s, cuts, found).withColumn("fold", F.col("fold") + 1)
+
+    def plan(sizes):
+        cuts = {}
+        for value, n in sizes.items():
+            ends = [n // folds * (i + 1) + min(i + 1, n % folds) for i in range(folds - 1)]
+            cuts[value] = ends
+        return cuts
+
+    return _cut_by_hash(df, key, stratum, seed, plan, "fold").withColumn("fold", F.col("fold") + 1)
 
 
 def split_balance(df: DataFrame, stratum: str) -> DataFrame:
     """Share of every stratum within train and within test."""
-    counts = df.groupBy(stratum).pivot("split", ["train", "test"]).agg(F.count("*"))
-    counts = counts.select(F.col(stratum).alias("stratum"), F.coalesce("train", F.lit(0)).alias("n_train"),
-                           F.coalesce("test", F.lit(0)).alias("n_test"))
+    counts = df.groupBy(F.col(stratum).alias("stratum")).agg(
+        F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "test").alias("n_test"))
     sums = df.agg(F.count_if(F.col("split") == "train").alias("a"), F.count_if(F.col("split") == "test").alias("b"))
     return counts.select(
         "stratum", "n_train", "n_test",

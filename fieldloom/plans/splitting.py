@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldloom.operators import split
+from fieldloom.operators.duplicates import drop_duplicates as first_rows
 from fieldloom.plans.registry import query, round_columns, table
+from fieldloom.session import materialise
 
 PRICE = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
 KEY = ["l_orderkey", "l_linenumber"]
@@ -38,13 +40,11 @@ def kfold_sql(source: str, partition: str = "", name: str = "folded") -> str:
 
 def lines(spark, sf_dir):
     """Order lines without repeats, with the row id and the target."""
-    from fieldloom.operators.duplicates import drop_duplicates
-
     df = table(spark, sf_dir, "lineitem").select(
         *KEY, "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus")
-    return drop_duplicates(df, KEY, ORDER).withColumns({
-        "id": F.col("l_orderkey") * 10 + F.col("l_linenumber"), "y": F.expr(PRICE)})
+    return materialise(first_rows(df, KEY, ORDER).withColumns({
+        "id": F.col("l_orderkey") * 10 + F.col("l_linenumber"), "y": F.expr(PRICE)}))
 
 
 # SQL: labelled documents; the rare class is the positive class of the metrics.

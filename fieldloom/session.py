@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back.
+
+    For a derived table that several passes read: later passes prune columns and push
+    filters into the stored files instead of repeating the shuffle behind them.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/fieldloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
