@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from fieldloom.functions.scalars import as_column
 
@@ -14,7 +15,7 @@ from fieldloom.functions.scalars import as_column
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_accents(text: pd.Series) -> pd.Series:
     """Compatibility-decompose and drop combining marks; Spark has no such function."""
 
