@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldloom.functions.scalars import nan_to_null
-from fieldloom.session import checkpoint
+from fieldloom.session import materialise
 
 # Up to this many rows one window task sorts comfortably; beyond it the range-partitioned form is used.
 WINDOW_ROWS = 200_000
@@ -32,7 +32,7 @@ def running_totals(
     order = F.col(value).desc() if descending else F.col(value).asc()
     spark = totals.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = checkpoint(
+    placed = materialise(
         totals.repartitionByRange(parts, *[F.col(b) for b in by], order).withColumn("_part", F.spark_partition_id())
     )
     groups = [*by, "_part"]
@@ -83,7 +83,8 @@ def exact_quantiles(
     sketches = []
     for i, c in enumerate(columns):
         edges = [max(0.0, p - margin) for p in wanted[c]] + [min(1.0, p + margin) for p in wanted[c]]
-        sketches += [F.count(f"c{i}").alias(f"n{i}"), F.percentile_approx(f"c{i}", edges, accuracy).alias(f"q{i}")]
+        sketches += [F.count(f"c{i}").alias(f"n{i}"), F.percentile_approx(f"c{i}", edges, accuracy).alias(f"q{i}"),
+                     F.min(f"c{i}").alias(f"lo{i}"), F.max(f"c{i}").alias(f"hi{i}")]
     sketch = numbers.agg(*sketches).first()
 
     targets = []
@@ -96,13 +97,18 @@ def exact_quantiles(
             position = (n - 1) * p
             first = min(math.floor(position + 1e-9), n - 1)
             share = max(position - first, 0.0)
-            small = n <= accuracy
+            small = n <= WINDOW_ROWS
+            known = {0.0: {0: sketch[f"lo{i}"]}, 1.0: {n - 1: sketch[f"hi{i}"]}}.get(p)
+            if known:
+                targets.append({"first": first, "second": min(first + 1, n - 1), "share": 0.0, "values": known})
+                targets[-1]["second"] = first
+                continue
             targets.append({
                 "column": i, "first": first, "second": min(first + 1, n - 1), "share": share,
                 "low": -math.inf if small else edges[j], "high": math.inf if small else edges[len(wanted[c]) + j],
-                "values": {},
+                "size": n if small else None, "values": {},
             })
-    live = [t for t in targets if t is not None]
+    live = [t for t in targets if t is not None and "column" in t]
     if live:
         _locate(numbers, live)
     results, k = {}, 0
@@ -121,17 +127,21 @@ def exact_quantiles(
 
 def _locate(numbers: DataFrame, targets: list[dict]) -> None:
     """Fill ``values`` (rank -> value) of every target."""
-    brackets = sorted({(t["column"], t["low"], t["high"]) for t in targets})
-    measured = numbers.agg(*[
-        agg
-        for k, (i, low, high) in enumerate(brackets)
-        for agg in (
-            F.count_if(F.col(f"c{i}") < low).alias(f"below{k}"),
-            F.count_if(F.col(f"c{i}").between(low, high)).alias(f"inside{k}"),
-        )
-    ]).first()
-    below = {b: measured[f"below{k}"] for k, b in enumerate(brackets)}
-    inside = {b: measured[f"inside{k}"] for k, b in enumerate(brackets)}
+    # A short column is searched whole, and its size is known from the sketch pass.
+    below = {(t["column"], -math.inf, math.inf): 0 for t in targets if t.get("size")}
+    inside = {(t["column"], -math.inf, math.inf): t["size"] for t in targets if t.get("size")}
+    brackets = sorted({(t["column"], t["low"], t["high"]) for t in targets} - set(inside))
+    if brackets:
+        measured = numbers.agg(*[
+            agg
+            for k, (i, low, high) in enumerate(brackets)
+            for agg in (
+                F.count_if(F.col(f"c{i}") < low).alias(f"below{k}"),
+                F.count_if(F.col(f"c{i}").between(low, high)).alias(f"inside{k}"),
+            )
+        ]).first()
+        below.update({b: measured[f"below{k}"] for k, b in enumerate(brackets)})
+        inside.update({b: measured[f"inside{k}"] for k, b in enumerate(brackets)})
 
     again, open_brackets = [], {}
     for t in targets:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions.scalars import normalised_text, order_hash
 from fieldloom.operators.duplicates import key_columns
 from fieldloom.operators.order import WINDOW_ROWS, exact_quantiles
-from fieldloom.session import checkpoint
+from fieldloom.session import materialise
 
 # Share of test rows, seed, number of folds, number of target strata.
 TEST_SIZE = 0.20
@@ -75,7 +75,7 @@ def _cut_by_hash(
     rows = df.select(s.alias("s"), order_hash(key, seed).alias("h"))
     stype = rows.schema["s"].dataType.simpleString()
 
-    counts = checkpoint(rows.groupBy("s", F.left("h", F.lit(PREFIX)).alias("p")).agg(F.count("*").alias("n")))
+    counts = materialise(rows.groupBy("s", F.left("h", F.lit(PREFIX)).alias("p")).agg(F.count("*").alias("n")))
     sizes = counts.groupBy("s").agg(F.sum("n").alias("n")).limit(MAX_STRATA + 1).collect()
     if len(sizes) > MAX_STRATA:
         raise ValueError(f"more than {MAX_STRATA} strata; stratify on classes or bins")
@@ -108,7 +108,7 @@ def _cut_by_hash(
         wanted = [(r["s"], r["p"], r["cut"], r["nth"]) for r in places]
         digits += PREFIX
         candidates = candidates.drop("p")
-        counts = checkpoint(candidates.groupBy("s", F.left("h", F.lit(digits)).alias("p")).agg(F.count("*").alias("n")))
+        counts = materialise(candidates.groupBy("s", F.left("h", F.lit(digits)).alias("p")).agg(F.count("*").alias("n")))
 
     # A rank of 0 cuts before the first row: every hash lies above the empty text.
     table = [(v, [found.get((v, i), "") for i in range(len(ranks))]) for v, ranks in cuts.items()]

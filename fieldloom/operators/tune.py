@@ -173,8 +173,8 @@ def ranked_candidates(scores: DataFrame, metric: str) -> DataFrame:
 
 def grid_pivot(scores: DataFrame, metric: str, row: str, column: str) -> DataFrame:
     """Mean score with one parameter down and one across."""
-    values = scores.where(F.col("metric") == metric).select(
-        F.col("params")[row].alias(row), F.col("params")[column].alias(column), "value")
+    name = F.concat(F.lit(f"{column}="), F.translate(F.col("params")[column], ".", "_"))
+    values = scores.where(F.col("metric") == metric).select(F.col("params")[row].alias(row), name.alias(column), "value")
     return values.groupBy(row).pivot(column).agg(F.avg("value"))
 
 

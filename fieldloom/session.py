@@ -38,16 +38,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Store ``df`` reliably and continue from the stored copy.
-
-    Used where a value depends on the physical layout (a range-partition number)
-    and so must not be computed twice, and where one shuffle feeds several passes.
-    """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
