@@ -17,7 +17,7 @@ def small(spark, tmp_path):
     import hashlib
 
     return str(path), Contract(
-        "small", "small.csv", "regression", T.StructType().add("id", "int").add("text", "string").add("score", "double"), 2,
+        "small", "small.csv", "regression", T.StructType().add("id", T.IntegerType()).add("text", T.StringType()).add("score", T.DoubleType()), 2,
         hashlib.sha256(path.read_bytes()).hexdigest(), "score", numeric=("id",), text=("text",))
 
 
