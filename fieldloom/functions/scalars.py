@@ -38,8 +38,7 @@ def to_number(c: str | Column) -> Column:
 
 
 def nan_to_null(c: str | Column) -> Column:
-    c = as_column(c).cast("double")
-    return F.when(~F.isnan(c), c)
+    return F.nanvl(as_column(c).cast("double"), F.lit(None).cast("double"))
 
 
 def strip(c: str | Column) -> Column:

@@ -78,13 +78,15 @@ def exact_quantiles(
     No step moves the column itself, and the counts of step 2 prove each bracket.
     """
     columns = list(wanted)
-    numbers = df.select(*[nan_to_null(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    # Plain columns, so that the brackets reach the scan; NaN lies outside every bracket.
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
     margin = 3.0 / accuracy
     sketches = []
     for i, c in enumerate(columns):
         edges = [max(0.0, p - margin) for p in wanted[c]] + [min(1.0, p + margin) for p in wanted[c]]
-        sketches += [F.count(f"c{i}").alias(f"n{i}"), F.percentile_approx(f"c{i}", edges, accuracy).alias(f"q{i}"),
-                     F.min(f"c{i}").alias(f"lo{i}"), F.max(f"c{i}").alias(f"hi{i}")]
+        x = nan_to_null(f"c{i}")
+        sketches += [F.count(x).alias(f"n{i}"), F.percentile_approx(x, edges, accuracy).alias(f"q{i}"),
+                     F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     sketch = numbers.agg(*sketches).first()
 
     targets = []
@@ -97,7 +99,7 @@ def exact_quantiles(
             position = (n - 1) * p
             first = min(math.floor(position + 1e-9), n - 1)
             share = max(position - first, 0.0)
-            small = n <= WINDOW_ROWS
+            small = n <= accuracy
             known = {0.0: {0: sketch[f"lo{i}"]}, 1.0: {n - 1: sketch[f"hi{i}"]}}.get(p)
             if known:
                 targets.append({"first": first, "second": min(first + 1, n - 1), "share": 0.0, "values": known})

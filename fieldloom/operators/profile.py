@@ -27,28 +27,25 @@ def audit_columns(df: DataFrame, distinct: str = "exact") -> DataFrame:
 
     ``distinct="approx"`` uses a mergeable sketch and drops the shuffle of distinct values.
     """
-    aggregates = [F.count("*").alias("n")]
+    # Two aggregates: the smallest text cannot live in a hash table, the distinct counts can.
+    facts, uniques = [F.count("*").alias("n")], []
     for i, c in enumerate(df.columns):
         key = S.content_key(F.col(f"`{c}`"), _is_text(df, c))
-        unique = F.count_distinct(key) if distinct == "exact" else F.approx_count_distinct(key)
-        aggregates += [
-            F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}"),
-            unique.alias(f"u{i}"),
-            F.min(F.col(f"`{c}`")).alias(f"e{i}"),
-        ]
-    wide = df.agg(*aggregates)
-    return _rows(wide, [
+        facts += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}"), F.min(F.col(f"`{c}`")).alias(f"e{i}")]
+        uniques.append((F.count_distinct(key) if distinct == "exact" else F.approx_count_distinct(key)).alias(f"u{i}"))
+    counted = _rows(df.agg(*uniques), [
+        F.struct(F.lit(i).cast("long").alias("position"), F.col(f"u{i}").alias("n_unique")) for i in range(len(df.columns))])
+    return _rows(df.agg(*facts), [
         F.struct(
             F.lit(i).cast("long").alias("position"),
             F.lit(c).alias("column"),
             F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
             F.col(f"m{i}").alias("n_missing"),
             F.bround(100 * F.col(f"m{i}") / F.col("n"), 2).alias("pct_missing"),
-            F.col(f"u{i}").alias("n_unique"),
             S.clip_example(F.col(f"e{i}").cast("string")).alias("example"),
         )
         for i, c in enumerate(df.columns)
-    ])
+    ]).join(counted, "position").select("position", "column", "dtype", "n_missing", "pct_missing", "n_unique", "example")
 
 
 def dataset_summary(df: DataFrame, name: str, target: str | None = None, synthetic: bool | None = None) -> DataFrame:

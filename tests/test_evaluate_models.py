@@ -285,3 +285,38 @@ def test_gaussian_nb_matches_the_formula(spark):
     assert [r["prediction"] for r in rows] == score.argmax(1).tolist()
     p = np.exp(score - score.max(1, keepdims=True))
     assert np.array([r["probability"] for r in rows]) == pytest.approx(p / p.sum(1, keepdims=True))
+
+
+def test_whole_pipelines_and_recorded_results(spark):
+    from fieldloom.operators import features
+
+    texts = [(f"not good {i} food", N) if i % 3 == 0 else (f"good tasty {i % 5} food", POS) for i in range(60)]
+    df = models.label_index(spark.createDataFrame(texts, "text string, label string"), "label", N)
+    features.register_feature(features.RegisteredFeature(
+        "classification", "length", ("n",), lambda d: {"n": F.length("text").cast("double")}, "long texts complain", "test"))
+    try:
+        fitted = models.classification_pipeline(models.logistic(60), "text", 50).fit(df)
+    finally:
+        features.unregister_feature("classification", "length")
+    results = evaluate.Results("classification")
+    row = results.record("logistic", fitted, df, "label")
+    assert row["accuracy"] == 1.0 and row["score_source"] == "probability"
+    assert sum(r["predicted_negative"] + r["predicted_positive"] for r in results.confusion["logistic"].collect()) == 60
+    assert results.table(spark).columns[:3] == ["rank", "model", "accuracy"]
+
+
+def test_regression_catalogue(spark):
+    from fieldloom.operators import features
+
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(float(a), "Yes" if b else "No", float(3 * a + 2 * b + rng.normal() / 10))
+                                for a, b in zip(rng.normal(size=200), rng.random(200) < 0.5)], "a double, k string, y double")
+    ready = features.TabularPreprocessor(numeric=["a"], categorical=["k"]).fit(df).transform(df)
+    facts = models.target_facts(ready, "y")
+    results = evaluate.Results("regression")
+    catalogue = models.regression_catalogue(facts, gamma=0.5)
+    assert len(catalogue) == 9 and len(models.classification_catalogue(10)) == 4
+    for name in ("linear", "polynomial", "tree", "svr"):
+        assert results.record(name, catalogue[name].fit(ready), ready, "y", ready)["r2"] > 0.95
+    assert results.table(spark).first()["r2_gap"] == 0.0
+    assert models.regression_pipeline(models.linear(facts), ["a"], ["k"]).fit(df).transform(df).count() == 200
