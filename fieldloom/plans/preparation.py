@@ -94,7 +94,7 @@ def poly_interactions(spark, sf_dir):
 
 
 @query("""WITH m AS (SELECT max(abs(l_quantity)) AS q, max(abs(l_tax)) AS t FROM lineitem)
-SELECT l_orderkey, l_linenumber, round(l_extendedprice / l_quantity, 4) AS unit_price, round(l_quantity / q, 6) AS quantity, round(l_tax / t, 6) AS tax FROM lineitem, m""")
+SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS unit_price, round(l_quantity / q, 6) AS quantity, round(l_tax / t, 6) AS tax FROM lineitem, m""")
 def engineered_features(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     feature = P.RegisteredFeature(
@@ -106,7 +106,7 @@ def engineered_features(spark, sf_dir):
     finally:
         P.unregister_feature("regression", "unit price")
     scaled = P.max_abs_scaled(df, ["l_quantity", "l_tax"])
-    return made.select("l_orderkey", "l_linenumber", rounded("unit_price", 4).alias("unit_price"),
+    return made.select("l_orderkey", "l_linenumber", "unit_price",
                        rounded(scaled["l_quantity"]).alias("quantity"), rounded(scaled["l_tax"]).alias("tax"))
 
 
