@@ -187,7 +187,9 @@ def class_weights(train: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, weights: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    rows = weights.limit(MAX_LEVELS).collect()
+    rows = weights.limit(MAX_LEVELS + 1).collect()
+    if len(rows) > MAX_LEVELS:
+        raise ValueError(f"more than {MAX_LEVELS} classes")
     value = F.lit(None).cast("double")
     for r in rows:
         value = F.when(F.col(label) == F.lit(r["label"]), F.lit(r["weight"])).otherwise(value)

@@ -8,14 +8,18 @@ training on k-1 folds means adding k-1 of the sums.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_FEATURES = 64
+MAX_FEATURES = 1_000
+
+# Up to this many products one generated aggregate is fastest; wider tables multiply blocks of rows.
+MAX_SUM_COLUMNS = 60
 
 
 @dataclass
@@ -60,12 +64,17 @@ def grams(df: DataFrame, features: Sequence[str], target: str, fold: str | None
     data = data.dropna(subset=[f"v{i}" for i in range(len(names))])
     centre = data.agg(*[F.avg(f"v{i}").alias(f"m{i}") for i in range(len(names))]).first()
     shift = np.array([centre[f"m{i}"] or 0.0 for i in range(len(names))])
+    size = len(names) + 1
+    result = {}
+    if size * (size + 1) // 2 > MAX_SUM_COLUMNS:
+        for row in _block_sums(data, fold, shift).collect():  # folds x size^2 numbers
+            products = result.setdefault(row["fold"], np.zeros(size * size))
+            products[row["pos"]] = row["total"]
+        return {f: Gram(features, target, p.reshape(size, size), shift) for f, p in result.items()}
     terms: list[Column] = [F.lit(1.0)] + [F.col(f"v{i}") - F.lit(float(shift[i])) for i in range(len(names))]
-    size = len(terms)
     pairs = [(i, j) for i in range(size) for j in range(i, size)]
     sums = [F.sum(terms[i] * terms[j]).alias(f"s{i}_{j}") for i, j in pairs]
     grouped = data.groupBy(fold).agg(*sums) if fold else data.agg(*sums)
-    result = {}
     for row in grouped.collect():  # one row per fold
         products = np.zeros((size, size))
         for i, j in pairs:
@@ -74,6 +83,25 @@ def grams(df: DataFrame, features: Sequence[str], target: str, fold: str | None
     return result
 
 
+def _block_sums(data: DataFrame, fold: str | None, shift: np.ndarray) -> DataFrame:
+    """(fold, pos, total): each task multiplies its batches and passes on one matrix per fold."""
+    columns = [f"v{i}" for i in range(len(shift))]
+    rows = data.select((F.col(fold) if fold else F.lit(None)).cast("int").alias("fold"), *columns)
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {}
+        for frame in batches:
+            for key, part in frame.groupby("fold", dropna=False):
+                x = np.column_stack([np.ones(len(part)), part[columns].to_numpy() - shift])
+                key = None if pd.isna(key) else int(key)
+                sums[key] = sums.get(key, 0.0) + x.T @ x
+        for key, m in sums.items():
+            yield pd.DataFrame({"fold": pd.array([key], dtype="Int32"), "products": [m.ravel()]})
+
+    parts = rows.mapInPandas(multiply, "fold int, products array<double>")
+    return parts.select("fold", F.posexplode("products").alias("pos", "value")).groupBy("fold", "pos").agg(F.sum("value").alias("total"))
+
+
 @dataclass
 class LinearFit:
     """Coefficients per original unit, with the scale that was used while fitting."""

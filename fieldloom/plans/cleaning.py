@@ -86,9 +86,9 @@ def duplicate_texts(spark, sf_dir):
 
 # ---------------------------------------------------------------- labels
 
-# The digit at the start of the priority plays the rating; "4-NOT SPECIFIED" is made unreadable
-# by leaving it whole, so that every outcome occurs.
-_RATING = "CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN o_orderpriority ELSE left(o_orderpriority, 1) END"
+# The digit at the start of the priority plays the rating. Cheap orders have none and dear ones keep
+# the whole, unreadable text, so that every outcome occurs; no row is left out.
+_RATING = "CASE WHEN o_totalprice < 50000 THEN NULL WHEN o_totalprice > 350000 THEN o_orderpriority ELSE left(o_orderpriority, 1) END"
 _LABEL = "CASE WHEN try_cast(rating AS DOUBLE) >= 4 THEN 'positive' WHEN try_cast(rating AS DOUBLE) <= 2 THEN 'negative' END"
 
 

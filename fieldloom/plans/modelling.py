@@ -48,7 +48,7 @@ def _two_feature_fit(spark, sf_dir, **settings):
 
 
 @query(f"WITH {_OLS}, {_SCORE}")
-def ols_pipeline(spark, sf_dir):
+def ols(spark, sf_dir):
     df, fit = _two_feature_fit(spark, sf_dir)
     return _regression(evaluate.regression_metrics(side(df, "test").withColumn("p", fit.predict()), "y", "p"))
 
@@ -117,19 +117,19 @@ def linear_models(spark, sf_dir):
 @query()
 def polynomial_regression(spark, sf_dir):
     """Degree chosen by CV on train from the fold sums, then scored on test."""
-    df = split.kfold(split_lines(spark, sf_dir), "id")
+    df = split_lines(spark, sf_dir).select("id", "split", "y", *NUMERIC[1:])
+    train = materialise(split.kfold(side(df, "train"), "id"))
     scores = []
-    wide = {}
+    folds = {}
     for degree in (1, 2, 3):
-        expanded, names = features.polynomial(df.select("id", "split", "fold", "y", *NUMERIC[1:]), NUMERIC[1:], degree)
-        grams = tune.fold_grams(side(expanded, "train"), names, "y")
-        wide[degree] = (expanded, grams)
+        expanded, names = features.polynomial(train, NUMERIC[1:], degree)
+        grams = folds[degree] = tune.fold_grams(expanded, names, "y")
         scores.append(tune.linear_scores(spark, grams, "linear", [{"degree": degree}]))
     table_ = tune.summarise(scores[0].unionByName(scores[1]).unionByName(scores[2])).where(F.col("metric") == "r2")
     best = int(table_.orderBy(F.col("mean").desc(), "setting").first()["params"]["degree"])
-    expanded, grams = wide[best]
-    fit = gram.fit(tune.sum_grams(grams.values()))
-    metrics = evaluate.regression_metrics(side(expanded, "test").withColumn("p", fit.predict()), "y", "p")
+    fit = gram.fit(tune.sum_grams(folds[best].values()))
+    test, _ = features.polynomial(side(df, "test"), NUMERIC[1:], best)
+    metrics = evaluate.regression_metrics(test.withColumn("p", fit.predict()), "y", "p")
     return round_columns(table_.select(F.col("params")["degree"].cast("int").alias("degree"), "mean", "std").withColumn(
         "chosen", F.col("degree") == best).withColumn("test_r2", F.when(F.col("chosen"), metrics.select("r2").scalar())), ["mean", "std", "test_r2"])
 

@@ -12,17 +12,17 @@ from fieldloom.session import materialise
 
 SPLIT_SQL = f"{LINES_SQL}, {quantile_bins_sql('lines', 'y', 10)}, {split_sql('binned', 'bin')}"
 
-# Cells are blanked by a rule on the row id, so that there is something to fill.
-_HOLES = """holes AS (SELECT id, split, CASE WHEN id % 7 = 0 THEN NULL ELSE l_quantity END AS quantity,
- CASE WHEN id % 5 = 0 THEN NULL ELSE l_extendedprice END AS price, CASE WHEN id % 11 = 0 THEN NULL ELSE l_returnflag END AS flag,
+# Cells (not rows) are blanked by a rule on another column, so that there is something to fill.
+_HOLES = """holes AS (SELECT id, split, CASE WHEN l_tax > 0.065 THEN NULL ELSE l_quantity END AS quantity,
+ CASE WHEN l_discount < 0.015 THEN NULL ELSE l_extendedprice END AS price, CASE WHEN l_linenumber = 3 THEN NULL ELSE l_returnflag END AS flag,
  l_linestatus AS status FROM split_rows)"""
 
 
 def _holes(spark, sf_dir):
-    hole = lambda n, c: F.when(F.col("id") % n != 0, F.col(c))
+    hole = lambda blank, c: F.when(~blank, F.col(c))
     return materialise(split_lines(spark, sf_dir).select(
-        "id", "split", hole(7, "l_quantity").alias("quantity"), hole(5, "l_extendedprice").alias("price"),
-        hole(11, "l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")))
+        "id", "split", hole(F.col("l_tax") > 0.065, "l_quantity").alias("quantity"), hole(F.col("l_discount") < 0.015, "l_extendedprice").alias("price"),
+        hole(F.col("l_linenumber") == 3, "l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")))
 
 
 def _train(df):

@@ -335,11 +335,11 @@ def parse_count(spark, sf_dir):
 
 # ---------------------------------------------------------------- order and limits
 
-@query("""(SELECT d.doc_id, quality FROM documents d LEFT JOIN labels USING (doc_id) ORDER BY quality ASC NULLS LAST, doc_id DESC LIMIT 300)""")
+@query("""(SELECT d.doc_id, quality FROM documents d LEFT JOIN labels USING (doc_id) ORDER BY quality ASC NULLS LAST, doc_id DESC)""")
 def sorted_nulls_last(spark, sf_dir):
     return (
         _documents_with_labels(spark, sf_dir).select("doc_id", "quality")
-        .orderBy(F.col("quality").asc_nulls_last(), F.col("doc_id").desc()).limit(300))
+        .orderBy(F.col("quality").asc_nulls_last(), F.col("doc_id").desc()))
 
 
 @query("SELECT p_partkey, p_name FROM part ORDER BY md5('42|' || p_partkey), p_partkey LIMIT 5")

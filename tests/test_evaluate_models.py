@@ -320,3 +320,14 @@ def test_regression_catalogue(spark):
         assert results.record(name, catalogue[name].fit(ready), ready, "y", ready)["r2"] > 0.95
     assert results.table(spark).first()["r2_gap"] == 0.0
     assert models.regression_pipeline(models.linear(facts), ["a"], ["k"]).fit(df).transform(df).count() == 200
+
+
+def test_wide_and_narrow_sums_of_products_agree(rows, monkeypatch):
+    narrow = gram.grams(rows, ["a", "b", "c"], "y", "fold")
+    whole = gram.grams(rows, ["a", "b", "c"], "y")
+    monkeypatch.setattr(gram, "MAX_SUM_COLUMNS", 0)
+    wide = gram.grams(rows, ["a", "b", "c"], "y", "fold")
+    assert set(wide) == set(narrow) == {1, 2, 3, 4, 5}
+    for f in wide:
+        assert wide[f].products == pytest.approx(narrow[f].products, rel=1e-9, abs=1e-6)
+    assert gram.grams(rows, ["a", "b", "c"], "y")[None].products == pytest.approx(whole[None].products, rel=1e-9, abs=1e-6)

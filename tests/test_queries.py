@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from tests.oracle import compare, connect
 
 QUICK = ["column_audit", "describe", "outliers", "spearman_matrix", "drop_duplicates", "cleaning_steps", "stratified_split", "kfold",
-         "tfidf_model", "classification_metrics", "ols_pipeline", "grid_search", "knn_classify_cosine"]
+         "tfidf_model", "classification_metrics", "ols", "grid_search", "knn_classify_cosine"]
 
 
 @pytest.fixture(scope="module")
