@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import mixing, secrets, url_filter
+from fieldloom.llm import mixing, secrets, simhash, url_filter, vafile
 from fieldloom.llm.common import table
 from fieldloom.session import checkpoint_root
 
@@ -18,6 +18,14 @@ URL_RULES = (
 )
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3, seed=42)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3, seed=42)
 
@@ -36,10 +44,21 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op5_mixing, op7_url_filters, op9_secret_scans)}
+QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op5_mixing, op7_url_filters, op9_secret_scans)}
 
 SQL: dict[str, str] = {}
 
+SQL["op1_exact_top_k"] = r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, q.v AS qv, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 SQL["op5_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
