@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import mixing, secrets, simhash, url_filter, vafile
+from fieldloom.llm import decontaminate, mixing, secrets, simhash, url_filter, vafile
 from fieldloom.llm.common import table
 from fieldloom.session import checkpoint_root
 
@@ -44,7 +44,11 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op5_mixing, op7_url_filters, op9_secret_scans)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op5_mixing, op7_url_filters, op9_secret_scans, op10_decontamination)}
 
 SQL: dict[str, str] = {}
 

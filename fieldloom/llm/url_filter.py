@@ -57,9 +57,9 @@ class Bloom:
         self.bits = bytes(bits)
 
     def _places(self, key: str):
-        digest = xxhash.xxh3_128_intdigest(key.encode(), self.seed)
-        first, step = digest & (1 << 64) - 1, (digest >> 64) | 1
-        return ((first + i * step) % self.size for i in range(self.hashes))
+        # A hash for each bit: in filters this small, steps of one hash would often meet again.
+        data = key.encode()
+        return (xxhash.xxh3_64_intdigest(data, (self.seed << 8) + i) % self.size for i in range(self.hashes))
 
     def __contains__(self, key: str) -> bool:
         return all(self.bits[p >> 3] >> (p & 7) & 1 for p in self._places(key))

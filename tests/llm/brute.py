@@ -71,3 +71,38 @@ def substrings(rows, width=100):
         kept = bytes(b for b, g in zip(data, gone) if not g)
         out.append((doc, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def leaks(docs, items, threshold=0.6, overlap=0.8, n=5, k1=1.2, b=0.75, least=32):
+    """(doc_id, item_id, score) of every window scored against every item, without an index."""
+    from fieldloom.llm.decontaminate import question_answer, shingles, words_of
+
+    split = [(i, words_of(t), question_answer(t)) for i, t in items if words_of(t)]
+    total, mean = len(split), sum(len(t.split()) for _, t in items if words_of(t)) / max(1, len(split))
+    stride = max([least, *(len(t.split()) for _, t in items if words_of(t))])
+    df = {}
+    for _, w, _ in split:
+        for t in set(w):
+            df[t] = df.get(t, 0) + 1
+    import math
+
+    weigh = []
+    for i, w, (q, a) in split:
+        own = {t: math.log(1 + (total - df[t] + .5) / (df[t] + .5)) * w.count(t) * (k1 + 1) / (w.count(t) + k1 * (1 - b + b * len(w) / mean)) for t in set(w)}
+        weigh.append((i, own, sum(own.values()), shingles(q, n), shingles(a, n)))
+    out = []
+    for d, text in docs:
+        words, best = (text or '').lower().split(), {}
+        for start in range(0, max(1, len(words)), stride):
+            for at in {start, max(0, start - stride)}:
+                window = words_of(' '.join(words[at: at + 2 * stride]))
+                have = set(window)
+                for i, own, all_, q, a in weigh:
+                    score = sum(v for t, v in own.items() if t in have) / all_
+                    if score < threshold:
+                        continue
+                    shares = [sum(s in shingles(window, len(s)) for s in p) / len(p) if p else 1.0 for p in (q, a)]
+                    if min(shares) >= overlap:
+                        best[i] = max(best.get(i, 0), score)
+        out += [(d, i, round(s, 9)) for i, s in best.items()]
+    return out
