@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -41,12 +42,12 @@ LEVELS = ((8, 64), (2, 512))
 LEAST_STRIDE, CHUNK_WORDS, SUMS = 32, 200_000, 1 << 21
 #: Spellings whose term is kept at hand in each task.
 MEMO = 1 << 18
-_EDGES = re.compile(r"^\W+|\W+$")
+_SIGNS = string.punctuation + "“”„‘’‚«»‹›–—…¿¡·"
 
 
 def words_of(text: str | None) -> list[str]:
     """Lower-case words between white space, without signs at either end; signs alone are no words."""
-    return [w for w in (_EDGES.sub("", t) for t in text.lower().split()) if w] if text else []
+    return [w for w in (t.strip(_SIGNS) for t in text.lower().split()) if w] if text else []
 
 
 class Terms(dict):
@@ -57,7 +58,7 @@ class Terms(dict):
         self.numbers = numbers
 
     def __missing__(self, token: str) -> int:
-        number = self.numbers.get(_EDGES.sub("", token), -1)
+        number = self.numbers.get(token.strip(_SIGNS), -1)
         if len(self) < MEMO:
             self[token] = number
         return number
