@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import decontaminate, mixing, secrets, simhash, url_filter, vafile
+from fieldloom.llm import decontaminate, mixing, secrets, simhash, toxicity, url_filter, vafile
 from fieldloom.llm.common import table
 from fieldloom.session import checkpoint_root
 
@@ -26,6 +26,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3, seed=42)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3, seed=42)
 
@@ -48,7 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op5_mixing, op7_url_filters, op9_secret_scans, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op4_toxicity, op5_mixing, op7_url_filters, op9_secret_scans, op10_decontamination)}
 
 SQL: dict[str, str] = {}
 
