@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import decontaminate, mixing, secrets, simhash, toxicity, url_filter, vafile
+from fieldloom.llm import decontaminate, html_extract, mixing, secrets, simhash, substring, toxicity, url_filter, vafile
 from fieldloom.llm.common import table
 from fieldloom.session import checkpoint_root
 
@@ -26,6 +26,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3, seed=42)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_windows(table(spark, sf_dir, "documents"), width=13)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -34,6 +38,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3, seed=42)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -52,7 +60,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op4_toxicity, op5_mixing, op7_url_filters, op9_secret_scans, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op3_substring_dedup, op4_toxicity, op5_mixing, op6_html_extraction, op7_url_filters, op9_secret_scans, op10_decontamination)}
 
 SQL: dict[str, str] = {}
 
@@ -67,6 +75,18 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+SQL["op3_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT n, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d),
+h AS (SELECT n, doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM p),
+m AS (SELECT k, min(doc_id) AS low FROM h GROUP BY k),
+r AS (SELECT h.n, list(DISTINCT j) AS gone FROM (SELECT h.n, unnest(range(i, i + 13)) AS j FROM h JOIN m USING (k) WHERE h.doc_id > m.low) h GROUP BY h.n)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ')
+                   ELSE COALESCE(array_to_string(list_transform(list_sort(list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(gone, x))), lambda x: w[x]), ' '), '') END) AS kept_sha256
+FROM d LEFT JOIN r ON d.n = r.n
+"""
+
 SQL["op5_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
