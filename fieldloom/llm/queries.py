@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import decontaminate, html_extract, mixing, secrets, simhash, substring, toxicity, url_filter, vafile
+from fieldloom.llm import decontaminate, html_extract, mixing, secrets, simhash, substring, suffix, toxicity, url_filter, vafile
 from fieldloom.llm.common import table
 from fieldloom.session import checkpoint_root
 
@@ -46,6 +46,10 @@ def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.dedup_substrings(table(spark, sf_dir, "documents"), width=100)
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
     found = secrets.scan_secrets(docs, f"{checkpoint_root(spark)}/ledger-{uuid.uuid4().hex}")
@@ -60,7 +64,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op3_substring_dedup, op4_toxicity, op5_mixing, op6_html_extraction, op7_url_filters, op9_secret_scans, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op3_substring_dedup, op4_toxicity, op5_mixing, op6_html_extraction, op7_url_filters, op8_suffix_dedup, op9_secret_scans, op10_decontamination)}
 
 SQL: dict[str, str] = {}
 
