@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,11 @@ def word_count(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_key(text: str = "text") -> Column:
+    """With the id, the name of a row whose id may not be its own; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def utf8_texts(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each value of a string array, NULL as empty."""
     for value in column.cast(pa.large_binary()):
@@ -78,7 +83,3 @@ def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
     if larger_only:
         return joined.where("dst > src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     return joined.select(F.col("dst").alias("src"), F.col("low").alias("dst")).union(low.select("src", F.col("low").alias("dst")))
-
-
-def record_batch(schema: pa.Schema, columns: Sequence) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -108,17 +108,25 @@ class BlobLedger:
         rows = one.select("blob", F.col("lacking").alias("rules"), found.alias("spans"))
         rows.dropDuplicates(["blob"]).write.mode("append").parquet(self.path)
 
-    def findings(self, versions: DataFrame, rules: Sequence[Rule] = BASE + ADDED) -> DataFrame:
-        """Every row of ``versions`` (path, ...) without its text, with ``spans`` of ``rules`` by start, then kind as listed."""
+    def found(self, rules: Sequence[Rule] = BASE + ADDED) -> DataFrame:
+        """blob, salt, spans of ``rules`` by start, then kind as listed: each blob with findings under every salt."""
         kinds = [r.kind for r in rules]
-        known = (
-            self.rows().where(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
-            .withColumn("spans", F.filter("spans", lambda s: s["kind"].isin(kinds)))
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        )
-        paths = versions.select("path", blob_of("text").alias("blob")).withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
-        none = F.lit([]).cast(f"array<{SPAN}>")
-        return paths.join(known, ["blob", "salt"], "left").select("path", "blob", F.coalesce("spans", none).alias("spans"))
+        spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans"))))
+        known = self.rows().where(F.size("spans") > 0).groupBy("blob").agg(spans.alias("spans"))
+        return known.withColumn("spans", F.filter("spans", lambda s: s["kind"].isin(kinds))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+    def findings(self, versions: DataFrame, rules: Sequence[Rule] = BASE + ADDED) -> DataFrame:
+        """Every row of ``versions`` (path, text) as path, blob, spans."""
+        paths = versions.select("path", blob_of("text").alias("blob"), salt_of("path").alias("salt"))
+        return paths.join(self.found(rules), ["blob", "salt"], "left").select("path", "blob", F.coalesce("spans", no_spans()).alias("spans"))
+
+
+def no_spans() -> Column:
+    return F.lit([]).cast(f"array<{SPAN}>")
+
+
+def salt_of(path: str) -> Column:
+    return F.pmod(F.xxhash64(path), F.lit(SALTS)).cast("int")
 
 
 def blob_of(text: str) -> Column:
@@ -142,3 +150,14 @@ def redact(text: Column, found: Column, mask: str = "[SECRET]") -> Column:
 
     return F.when(F.size(found) == 0, text).otherwise(
         F.aggregate(found, start, step, lambda acc: F.concat(acc["kept"], F.substr(text, acc["at"] + 1, F.length(text)))))
+
+
+def masked(docs: DataFrame, ledger_path: str, rules: Sequence[Rule] = BASE + ADDED) -> DataFrame:
+    """``docs`` with the secrets in ``text`` masked and ``n_chars``, where there is one, brought up to date; all rows stay."""
+    ledger = BlobLedger(docs.sparkSession, ledger_path)
+    ledger.scan(docs.select(F.col("doc_id").alias("path"), "text"), rules)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), blob_of("text").alias("blob"), salt_of("doc_id").alias("salt"))
+    rows = rows.join(ledger.found(rules), ["blob", "salt"], "left")
+    rows = rows.withColumn("clean", redact(F.col("row.text"), F.coalesce("spans", no_spans())))
+    new = {"text": F.col("clean"), "n_chars": F.when(F.col("spans").isNull(), F.col("row.n_chars") if "n_chars" in docs.columns else F.lit(None)).otherwise(F.length("clean"))}
+    return rows.select(*[new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])

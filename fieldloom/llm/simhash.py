@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import connected_components, utf8_texts
+from fieldloom.llm.common import connected_components, text_key, utf8_texts
 from fieldloom.session import materialise
 
 #: Fingerprints whose shape the upper levels follow, and those wanted in a shard.
@@ -63,14 +63,15 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed long."""
+    """doc_id, text_key and ``fp``, the fingerprint as a signed long."""
 
     def run(batches):
         for b in batches:
             found = np.fromiter((fingerprint(t, words, seed) for t in utf8_texts(b["text"])), np.uint64, b.num_rows)
-            yield pa.record_batch([b["doc_id"].cast(pa.int64()), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([b["doc_id"], b["text_key"], pa.array(found.view(np.int64))], names=["doc_id", "text_key", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def _distance(x: np.ndarray, y: np.uint64) -> np.ndarray:
@@ -189,16 +190,32 @@ def near_links(nodes: DataFrame, max_bits: int = 3, blocks: int = 2) -> DataFram
     return placed.groupBy("block", "leaf").applyInPandas(links, "src long, dst long")
 
 
+def linked(docs: DataFrame, words: int, max_bits: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints by row, and one row for each fingerprint: fp, its rows ``n``, its first row, its component."""
+    rows = materialise(fingerprints(docs, words, seed))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
+    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), first.alias("first")))
+    roots = materialise(connected_components(materialise(near_links(nodes, max_bits))))
+    named = nodes.join(roots, F.col("fp") == F.col("node"), "left")
+    return rows, named.select("fp", "low", "n", "first", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, seed: int = 42) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest reachable doc_id)."""
-    rows = materialise(fingerprints(docs, words, seed))
-    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")))
-    linked = materialise(connected_components(materialise(near_links(nodes, max_bits))))
-    named = nodes.join(linked, F.col("fp") == F.col("node"), "left").select("fp", "low", "n", F.coalesce("component", "fp").alias("component"))
+    rows, named = linked(docs, words, max_bits, seed)
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
     ids = materialise(named.join(lows, "component").select("fp", "n", "component_id"))
     # Fingerprints of more than a thousandth of all rows are a thousand at most: these are broadcast, the others meet by key.
     bar = rows.count() // 1000 + 1
     hot = F.broadcast(ids.where(F.col("n") > bar).select("fp", "component_id"))
-    common = rows.join(hot, "fp").union(rows.join(hot, "fp", "left_anti").join(ids.where(F.col("n") <= bar).select("fp", "component_id"), "fp"))
+    common = rows.join(hot, "fp").select(*rows.columns, "component_id").union(rows.join(hot, "fp", "left_anti").join(ids.where(F.col("n") <= bar).select("fp", "component_id"), "fp").select(*rows.columns, "component_id"))
     return common.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, words: int = 3, max_bits: int = 3, seed: int = 42) -> DataFrame:
+    """One row of ``docs`` for each component, that with the smallest id (NULL last), with all its columns."""
+    _, named = linked(docs, words, max_bits, seed)
+    kept = materialise(named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("id"), F.col("first.text_key").alias("key")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_id"), text_key().alias("_key"))
+    same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key"))
+    return rows.join(kept, same, "left_semi").dropDuplicates(["_id", "_key"]).select("row.*")

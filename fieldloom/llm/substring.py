@@ -23,11 +23,11 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm import packed
-from fieldloom.llm.common import merge_intervals, utf8_texts
+from fieldloom.llm.common import merge_intervals, text_key, utf8_texts
 from fieldloom.session import materialise
 
 #: Words of a chunk and UTF-8 bytes of text for each bucket, both for bounded memory.
@@ -155,10 +155,6 @@ def _gather(width: int):
     return run
 
 
-def text_key(text: str = "text") -> Column:
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-
-
 def bucket_count(docs: DataFrame, bucket_bytes: int) -> int:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(1, math.ceil(size / bucket_bytes))

@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm import packed
-from fieldloom.llm.common import merge_intervals, utf8_texts
-from fieldloom.llm.substring import bucket_count, text_key
+from fieldloom.llm.common import merge_intervals, text_key, utf8_texts
+from fieldloom.llm.substring import bucket_count
 from fieldloom.session import materialise
 
 #: Bytes of a chunk and of text for each bucket, segments for each shard and for one transform: all for bounded memory.
