@@ -8,8 +8,8 @@ hold it is an even one.
 
 Level 1 is sized from the (estimated) size of the universe so that the false positives expected are
 fewer than the listed keys; only those come to the driver. Their number is checked and the level drawn
-again under another seed if it is above ``FALSE_LIMIT`` times the list, so what is broadcast is bounded by
-the list alone.
+again, larger and under another seed, if it is above ``FALSE_LIMIT`` times the list, so what is broadcast is
+bounded by the list and the logarithm of the universe.
 
 Cases: NULL url or one without ``://`` has empty host and path and fits no rule; of two fitting rules of
 equal length the one with the longer host wins; a key listed both ways blocks; repeated rows are judged
@@ -105,7 +105,7 @@ def build_cascade(urls: DataFrame, listed: Iterable[str], lengths: Sequence[int]
     limit = FALSE_LIMIT * len(listed) + 16
     schema = pa.schema([("key", pa.string())])
     for attempt in range(32):
-        first, known = Bloom(listed, rate, seed + 1000 * attempt), frozenset(listed)
+        first, known = Bloom(listed, rate / 2**attempt, seed + 1000 * attempt), frozenset(listed)
 
         def wrong(batches, first=first, known=known):
             for b in batches:

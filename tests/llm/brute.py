@@ -7,8 +7,8 @@ import hashlib
 import xxhash
 
 
-def simhash(rows, words=3, max_bits=3):
-    """rows: (doc_id, text) -> sorted (doc_id, fingerprint, component_id), by all pairs."""
+def simhash(rows, words=3, max_bits=3, number=False):
+    """rows: (doc_id, text) -> (doc_id, fingerprint, component_id), by all pairs; with ``number`` a component's own number instead."""
     prints = []
     for _, text in rows:
         parts = (text or "").encode().lower().split()
@@ -27,6 +27,8 @@ def simhash(rows, words=3, max_bits=3):
         for j in range(i):
             if (prints[i] ^ prints[j]).bit_count() <= max_bits:
                 root[find(i)] = find(j)
+    if number:
+        return [(doc, f"{prints[i]:016x}", find(i)) for i, (doc, _) in enumerate(rows)]
     low = {}
     for i, (doc, _) in enumerate(rows):
         r = find(i)
@@ -55,17 +57,23 @@ def windows(rows, width=13):
 
 
 def substrings(rows, width=100):
-    """rows: (doc_id, text) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256); rows are in (doc_id, text) order with ids distinct."""
+    """rows: (doc_id, text) -> (doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
+    datas = []
+    for doc, text in rows:
+        data = (text or "").encode()
+        key = xxhash.xxh64_intdigest(data, 42)
+        datas.append((doc, key - (1 << 64) if key >> 63 else key, data))
     first = {}
-    datas = sorted(((doc, (text or "").encode()) for doc, text in rows))
-    for doc, data in datas:
-        for i in range(len(data) - width + 1):
-            first.setdefault(data[i: i + width], (doc, i))
+    for doc, key, data in datas:
+        if doc is not None:
+            for i in range(len(data) - width + 1):
+                w = data[i: i + width]
+                first[w] = min(first.get(w, (doc, key, i)), (doc, key, i))
     out = []
-    for doc, data in datas:
+    for doc, key, data in datas:
         gone = bytearray(len(data))
         for i in range(len(data) - width + 1):
-            if first[data[i: i + width]] < (doc, i):
+            if doc is not None and first[data[i: i + width]] < (doc, key, i):
                 gone[i: i + width] = b"\1" * width
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         kept = bytes(b for b, g in zip(data, gone) if not g)
@@ -73,6 +81,48 @@ def substrings(rows, width=100):
     return out
 
 
+def top_k(rows, k=5, scale=256, every=50):
+    """rows: (vec_id, embedding) -> (query_id, rank, vec_id, score)."""
+    import math
+
+    good = {(i, tuple(math.floor(float(x) * scale) for x in v)) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    out = []
+    for q, a in good:
+        if q % every:
+            continue
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), c) for c, b in good if c != q and len(a) == len(b))
+        out += [(q, n, c, -s) for n, (s, c) in enumerate(scores[:k], 1)]
+    return out
+
+
+def secret_spans(text, rules):
+    """All (start, rank, kind, end) by Python's own matcher."""
+    import re
+
+    found = []
+    for rank, rule in enumerate(rules):
+        for m in re.finditer(rule.pattern, text or ""):
+            if len(m[rule.kept]) >= rule.least:
+                found.append((m.start(), rank, rule.kind, m.end()))
+    return sorted(found)
+
+
+def targets(sizes, weights=(5, 2, 1), most=3):
+    """sizes: source -> words; weights by code point order, None last; excess reshared until no target is above its cap."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(most * sizes[s] for s in capped)
+        open_ = [s for s in order if s not in capped]
+        share = {s: weight[s] * rest / sum(weight[x] for x in open_) for s in open_}
+        over = {s for s in open_ if share[s] > most * sizes[s]}
+        if not over:
+            return {s: float(most * sizes[s]) if s in capped else share[s] for s in order}
+        capped |= over
+
+
 def leaks(docs, items, threshold=0.6, overlap=0.8, n=5, k1=1.2, b=0.75, least=32):
     """(doc_id, item_id, score) of every window scored against every item, without an index."""
     from fieldloom.llm.decontaminate import question_answer, shingles, words_of
