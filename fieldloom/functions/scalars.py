@@ -31,10 +31,15 @@ def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# A decimal number or an infinity; a cast alone would also take type suffixes such as ``5d`` or ``1F``.
+NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def to_number(c: str | Column) -> Column:
     """Parse to double; text that is no number, and NaN, become NULL."""
-    number = as_column(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    c = as_column(c)
+    number = c.try_cast("double")
+    return F.when(c.cast("string").rlike(NUMBER) & ~F.isnan(number), number)
 
 
 def nan_to_null(c: str | Column) -> Column:

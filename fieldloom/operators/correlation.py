@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from fieldloom.functions.scalars import nan_to_null
 from fieldloom.operators.gram import grams, r2_from_others
-from fieldloom.operators.order import average_ranks
+from fieldloom.operators.order import average_ranks, distinct_counts
+from fieldloom.session import materialise
 
 # From these limits on a column counts as identifier, leak or redundant.
 IDENTIFIER_RATIO = 0.95
@@ -36,22 +37,39 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation, pairwise complete, ties averaged.
 
-    Works on distinct value pairs with their counts: ranks per (pair, side, value) from
-    range-partitioned running totals, then weighted sums around the known mean rank.
+    Works on distinct value pairs with their counts, and on ranks from range-partitioned
+    running totals. A column without missing values is ranked once for all its pairs; only
+    pairs with a missing value on some side are ranked over the rows they share.
     """
     pairs = list(combinations(columns, 2))
-    values = F.array(*[
-        F.struct(F.lit(i).alias("pair"), nan_to_null(a).alias("x"), nan_to_null(b).alias("y")) for i, (a, b) in enumerate(pairs)])
+    holes = df.agg(*[F.count_if(nan_to_null(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    whole = [c for i, c in enumerate(columns) if holes[f"n{i}"] == 0]
+    shared = [i for i, p in enumerate(pairs) if set(p) <= set(whole)]
+    apart = [i for i in range(len(pairs)) if i not in shared]
+
+    def values(numbers):
+        return F.inline(F.array(*[F.struct(F.lit(i).alias("pair"), nan_to_null(pairs[i][0]).alias("x"), nan_to_null(pairs[i][1]).alias("y")) for i in numbers]))
+
     cells = (
-        df.select(F.inline(values)).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+        df.select(values(range(len(pairs)))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
         .groupBy("pair", "x", "y").agg(F.count("*").alias("n"))
     )
-    sides = df.select(F.inline(values)).where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(
-        "pair", F.inline(F.array(F.struct(F.lit("x").alias("side"), F.col("x").alias("v")),
-                                 F.struct(F.lit("y").alias("side"), F.col("y").alias("v")))))
-    ranks = average_ranks(sides, "v", ["pair", "side"])
+    ranks = []
+    if shared:
+        used = [c for c in whole if any(c in pairs[i] for i in shared)]
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), nan_to_null(c).alias("v")) for c in used])))
+        places = [(i, side, c) for i in shared for side, c in zip("xy", pairs[i])]
+        where = df.sparkSession.createDataFrame(places, "pair int, side string, column string")
+        ranks.append(average_ranks(long, "v", ["column"]).join(F.broadcast(where), "column").select("pair", "side", "v", "avg_rank"))
+    if apart:
+        sides = df.select(values(apart)).where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(
+            "pair", F.inline(F.array(F.struct(F.lit("x").alias("side"), F.col("x").alias("v")),
+                                     F.struct(F.lit("y").alias("side"), F.col("y").alias("v")))))
+        ranks.append(average_ranks(sides, "v", ["pair", "side"]).select("pair", "side", "v", "avg_rank"))
+    ranks = materialise(ranks[0] if len(ranks) == 1 else ranks[0].unionByName(ranks[1]))
     rank_of = lambda side: ranks.where(F.col("side") == side).select(
         "pair", F.col("v").alias(side), F.col("avg_rank").alias(f"r{side}"))
+    cells = materialise(cells)
     placed = cells.join(rank_of("x"), ["pair", "x"]).join(rank_of("y"), ["pair", "y"])
     totals = cells.groupBy("pair").agg(F.sum("n").alias("total"))
     centred = placed.join(F.broadcast(totals), "pair").select(
@@ -81,16 +99,16 @@ def strongest_pair(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def leakage_check(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Identifier, leakage and redundancy flags per numeric feature."""
-    gram = grams(df, columns, target)[None]
+    gram, unique = grams(df, columns, target)[None], distinct_counts(df, {c: F.col(c) for c in columns})
     aggregates = [F.count("*").alias("n")]
     for i, c in enumerate(columns):
-        aggregates += [F.count_distinct(c).alias(f"u{i}"), F.corr(nan_to_null(c), nan_to_null(target)).alias(f"r{i}")]
+        aggregates.append(F.corr(nan_to_null(c), nan_to_null(target)).alias(f"r{i}"))
     structs = []
     for i, c in enumerate(columns):
         r2 = r2_from_others(gram, i)
-        ratio, r = F.col(f"u{i}") / F.col("n"), F.abs(F.col(f"r{i}"))
+        ratio, r = F.lit(unique[c]) / F.col("n"), F.abs(F.col(f"r{i}"))
         structs.append(F.struct(
-            F.lit(c).alias("column"), F.col(f"u{i}").alias("n_unique"), ratio.alias("unique_ratio"), r.alias("abs_r"),
+            F.lit(c).alias("column"), F.lit(unique[c]).cast("long").alias("n_unique"), ratio.alias("unique_ratio"), r.alias("abs_r"),
             F.lit(r2).alias("r2_from_others"), (ratio > IDENTIFIER_RATIO).alias("identifier"),
             (r >= LEAKAGE_R).alias("leakage"), F.lit(r2 >= REDUNDANT_R2).alias("redundant")))
     return df.agg(*aggregates).select(F.inline(F.array(*structs)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -174,36 +174,16 @@ def hard_label_auc(df: DataFrame, actual: str, predicted: str, score: str, pos_l
     return roc_auc(sides, "_pos", "s", ["source"])
 
 
-class Results:
-    """Scores each fitted model once on the test rows; the table is built from what was stored."""
-
-    def __init__(self, task: str, pos_label: str = POS_LABEL):
-        if task not in ("regression", "classification"):
-            raise ValueError(f"unknown task {task!r}")
-        self.task, self.pos_label, self.rows, self.confusion = task, pos_label, {}, {}
-
-    def record(self, name: str, model, test: DataFrame, actual: str, train: DataFrame | None = None) -> dict:
-        """``model`` is fitted; a classifier's class index 1 must be the positive label."""
-        scored = model.transform(test)
-        if self.task == "regression":
-            row = regression_metrics(scored, actual, "prediction").first().asDict()
-            if train is not None:
-                row["train_r2"] = regression_metrics(model.transform(train), actual, "prediction").first()["r2"]
-                row["r2_gap"] = row["train_r2"] - row["r2"]
-        else:
-            scored, source = positive_scores(scored)
-            names = [r[0] for r in scored.select(actual).distinct().orderBy(actual).limit(3).collect()]
-            other = next((n for n in names if n != self.pos_label), "other")
-            scored = scored.withColumn("_predicted", F.when(F.col("prediction") == 1.0, self.pos_label).otherwise(other))
-            row = classification_metrics(scored, actual, "_predicted", "score", self.pos_label).first().asDict()
-            row["score_source"] = source
-            self.confusion[name] = confusion_matrix(scored, actual, "_predicted", sorted([self.pos_label, other]))
-        self.rows[name] = row
-        return row
-
-    def table(self, spark, sort_by: str | None = None) -> DataFrame:
-        """Ranked by R2 or weighted F1 unless told otherwise."""
-        columns = list(dict.fromkeys(c for r in self.rows.values() for c in r))
-        types = ", ".join(f"{c} {'string' if c == 'score_source' else 'double'}" for c in columns)
-        frame = spark.createDataFrame([(n, *[r.get(c) for c in columns]) for n, r in self.rows.items()], f"model string, {types}")
-        return comparison_table(frame, sort_by or ("r2" if self.task == "regression" else "weighted_f1"))
+def class_recall(df: DataFrame, actual: str, predicted: str, label: str) -> DataFrame:
+    """Recall of one chosen class, as a scorer for cross-validation and grids."""
+    hit = F.count_if((F.col(actual) == label) & (F.col(predicted) == label))
+    return df.agg(_ratio(hit.cast("double"), F.count_if(F.col(actual) == label).cast("double")).alias("recall"))
+
+
+def test_results(fitted: Mapping[str, object], test: DataFrame, line: Callable[[DataFrame], DataFrame], metric: str) -> DataFrame:
+    """One ranked row per fitted model: ``line`` turns its predictions on the test rows into one row of metrics."""
+    rows = None
+    for name, model in fitted.items():
+        own = line(model.transform(test)).select(F.lit(name).alias("model"), "*")
+        rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
+    return comparison_table(rows, metric)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import combinations, combinations_with_replacement
 
 from pyspark import keyword_only
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -18,15 +20,19 @@ from fieldloom.functions.scalars import nan_to_null
 from fieldloom.operators.order import exact_quantiles
 
 MAX_LEVELS = 1_000
-TRACKS = ("regression", "classification")
 
 
 class LeakageError(ValueError):
     """Statistics were about to be learned from rows outside the training split."""
 
 
-def require_training_rows(df: DataFrame) -> None:
-    if "split" in df.columns and not df.where(F.col("split").isNull() | (F.col("split") != "train")).isEmpty():
+def require_training_rows(df: DataFrame, split: str | None = "split") -> None:
+    """Every row must say 'train' in the column ``split``; None means that the caller vouches for the rows."""
+    if split is None:
+        return
+    if split not in df.columns:
+        raise LeakageError(f"no column {split!r} tells training rows from others; pass split=None to vouch for these rows")
+    if not df.where(F.col(split).isNull() | (F.col(split) != "train")).isEmpty():
         raise LeakageError("fit on df.where(split = 'train'); other rows must not be learned from")
 
 
@@ -45,7 +51,7 @@ class Learned:
     def filled(self, column: str) -> Column:
         if column in self.medians:
             return F.coalesce(nan_to_null(column), F.lit(self.medians[column]).cast("double"))
-        return F.coalesce(F.col(column), F.lit(self.modes[column]))
+        return F.coalesce(F.col(column).cast("string"), F.lit(self.modes[column]))
 
     def standardised(self, column: str) -> Column:
         return (self.filled(column) - F.lit(self.means[column])) / F.lit(self.stds[column] or 1.0)
@@ -61,9 +67,12 @@ class Learned:
         return numeric + [pair for c in self.levels for pair in self.encoded(c)]
 
 
-def learn(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> Learned:
-    """Medians, then means and population deviations of the filled columns, modes and levels."""
-    require_training_rows(train)
+def learn(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), split: str | None = "split", max_levels: int = MAX_LEVELS) -> Learned:
+    """Medians, then means and population deviations of the filled columns, modes and levels (as text).
+
+    A column of more than ``max_levels`` levels raises: its levels become columns and come to the driver.
+    """
+    require_training_rows(train, split)
     known = Learned()
     if numeric:
         for c, (m,) in exact_quantiles(train, {c: (0.5,) for c in numeric}).items():
@@ -73,12 +82,12 @@ def learn(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] =
         for i, c in enumerate(numeric):
             known.means[c], known.stds[c] = moments[f"m{i}"], moments[f"s{i}"]
     for c in categorical:
-        counts = train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
-        rows = counts.orderBy(F.col("n").desc(), F.col(c)).limit(MAX_LEVELS + 1).collect()
-        if len(rows) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; it is not a category")
-        known.modes[c] = rows[0][c] if rows else None
-        known.levels[c] = sorted(r[c] for r in rows)
+        counts = train.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("level")).agg(F.count("*").alias("n"))
+        rows = counts.orderBy(F.col("n").desc(), "level").limit(max_levels + 1).collect()
+        if len(rows) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels; it is not a category")
+        known.modes[c] = rows[0]["level"] if rows else None
+        known.levels[c] = sorted(r["level"] for r in rows)
     return known
 
 
@@ -116,15 +125,16 @@ class TabularPreprocessor(Estimator, DefaultParamsWritable, DefaultParamsReadabl
     categorical = Param(Params._dummy(), "categorical", "categorical columns", TypeConverters.toListString)
     scale = Param(Params._dummy(), "scale", "standardise numeric columns", TypeConverters.toBoolean)
     outputCol = Param(Params._dummy(), "outputCol", "vector column", TypeConverters.toString)
+    splitCol = Param(Params._dummy(), "splitCol", "column that marks training rows; empty: the caller vouches for them", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, numeric=None, categorical=None, scale=True, outputCol="features"):
+    def __init__(self, *, numeric=None, categorical=None, scale=True, outputCol="features", splitCol="split"):
         super().__init__()
-        self._setDefault(numeric=[], categorical=[], scale=True, outputCol="features")
+        self._setDefault(numeric=[], categorical=[], scale=True, outputCol="features", splitCol="split")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        known = learn(dataset, self.getOrDefault("numeric"), self.getOrDefault("categorical"))
+        known = learn(dataset, self.getOrDefault("numeric"), self.getOrDefault("categorical"), self.getOrDefault("splitCol") or None)
         return assembled(known, self.getOrDefault("scale"), self.getOrDefault("outputCol"))
 
 
@@ -133,17 +143,25 @@ def _sql_text(value: str) -> str:
 
 
 def assembled(known: Learned, scale: bool = True, output: str = "features") -> PipelineModel:
-    """The learned statistics as a pipeline of built-in stages."""
+    """The learned statistics as a pipeline of built-in stages.
+
+    A part is named by its position and, for reading, by column and level with every sign
+    but letters and digits replaced: a dot would be read as a path into a struct.
+    """
     parts, names = [], []
+
+    def name(*words: str) -> str:
+        return f"_x{len(names)}_" + re.sub(r"[^0-9A-Za-z_]", "_", "_".join(words))
+
     for c, m in known.medians.items():
         filled = f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {m!r}D)"
         mean, std = known.means[c], known.stds[c] or 1.0
         parts.append(f"({filled} - ({mean!r}D)) / {std!r}D" if scale else filled)
-        names.append(f"_x_{c}")
+        names.append(name(c))
     for c, levels in known.levels.items():
         for v in levels[1:] if len(levels) == 2 else levels:
-            parts.append(f"CAST(coalesce(`{c}`, {_sql_text(known.modes[c])}) = {_sql_text(v)} AS DOUBLE)")
-            names.append(f"_x_{c}_{v}")
+            parts.append(f"CAST(coalesce(CAST(`{c}` AS STRING), {_sql_text(known.modes[c])}) = {_sql_text(v)} AS DOUBLE)")
+            names.append(name(c, v))
     select = ", ".join(f"{p} AS `{n}`" for p, n in zip(parts, names))
     return PipelineModel([
         SQLTransformer(statement=f"SELECT *, {select} FROM __THIS__"),
@@ -172,9 +190,9 @@ def polynomial(df: DataFrame, names: Sequence[str], degree: int, interaction_onl
     return df.withColumns(added), [" ".join(t) for t in terms]
 
 
-def max_abs_scaled(train: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+def max_abs_scaled(train: DataFrame, columns: Sequence[str], split: str | None = "split") -> dict[str, Column]:
     """Each column divided by its largest absolute training value; zeros stay zero."""
-    require_training_rows(train)
+    require_training_rows(train, split)
     top = train.agg(*[F.max(F.abs(c)).cast("double").alias(f"m{i}") for i, c in enumerate(columns)]).first()
     return {c: F.col(c) / F.lit(top[f"m{i}"] or 1.0) for i, c in enumerate(columns)}
 
@@ -198,70 +216,38 @@ def with_class_weight(df: DataFrame, weights: DataFrame, label: str, name: str =
 
 # ---------------------------------------------------------------- user features
 
-@dataclass(frozen=True)
-class RegisteredFeature:
-    """A user-written feature: ``function`` maps a frame to one Column per new column."""
-
-    track: str
-    name: str
-    new_columns: tuple[str, ...]
-    function: Callable[[DataFrame], dict[str, Column]]
-    justification: str
-    author: str
-
-
-_REGISTRY: dict[str, list[RegisteredFeature]] = {t: [] for t in TRACKS}
-
-
-def register_feature(feature: RegisteredFeature) -> None:
-    if feature.track not in _REGISTRY:
-        raise ValueError(f"unknown track {feature.track!r}, expected one of {TRACKS}")
-    if feature.name in [f.name for f in _REGISTRY[feature.track]]:
-        raise ValueError(f"{feature.track} already has a feature called {feature.name!r}")
-    _REGISTRY[feature.track].append(feature)
-
-
-def unregister_feature(track: str, name: str) -> None:
-    _REGISTRY[track] = [f for f in _REGISTRY[track] if f.name != name]
-
-
-def registered_features(track: str) -> list[RegisteredFeature]:
-    return list(_REGISTRY[track])
-
-
-def status() -> dict[str, dict]:
-    report = {}
-    for track, features in _REGISTRY.items():
-        justified = sum(bool(f.justification.strip() and f.author.strip()) for f in features)
-        report[track] = {"features": [f.name for f in features], "n_registered": len(features),
-                         "n_justified": justified, "complete": justified > 0}
-    return report
+def check_row_wise(df: DataFrame, name: str, text: str) -> None:
+    """Raise unless ``text`` computes a value from its own row of ``df``.
 
+    A filter takes exactly such expressions: the analyser refuses aggregates, windows and
+    generators there. Subqueries it would take, so they are refused by their keyword.
+    """
+    if re.search(r"\bselect\b", re.sub(r"'(?:[^'\\]|\\.)*'", "", text), re.IGNORECASE):
+        raise ValueError(f"{name} holds a subquery; statistics over other rows belong in an Estimator")
+    try:
+        df.where(F.expr(f"({text}) IS NULL"))
+    except AnalysisException as e:
+        raise ValueError(f"{name} is no expression over a single row: {text}") from e
 
-def is_row_wise(df: DataFrame, columns: Sequence[Column]) -> bool:
-    """True when the analysed plan is one projection over ``df``: no aggregate, window, generator or subquery."""
-    plan = df.select("*", *columns)._jdf.queryExecution().analyzed()
-    below = df._jdf.queryExecution().analyzed()
-    return plan.nodeName() == "Project" and plan.child().equals(below) and "subquery" not in plan.toString().split("\n")[0]
 
+class UserColumns(Transformer, DefaultParamsWritable, DefaultParamsReadable):
+    """Adds user-written columns, name -> SQL expression, in order; later ones may use earlier ones.
 
-class AddRegisteredFeatures(Transformer, DefaultParamsWritable, DefaultParamsReadable):
-    """Appends the registered features of a track; passes the frame through when there are none."""
+    The expressions are a parameter of the stage, so a stored pipeline carries them. A
+    name that the table already has, or an expression that reads other rows, is an error.
+    """
 
-    track = Param(Params._dummy(), "track", "regression or classification", TypeConverters.toString)
+    expressions = Param(Params._dummy(), "expressions", "name -> SQL expression over one row", TypeConverters.identity)
 
     @keyword_only
-    def __init__(self, *, track="regression"):
+    def __init__(self, *, expressions=None):
         super().__init__()
-        self._setDefault(track="regression")
-        self._set(**self._input_kwargs)
+        self._set(expressions=dict(expressions or {}))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        for f in registered_features(self.getOrDefault("track")):
-            made = f.function(dataset)
-            if tuple(made) != tuple(f.new_columns):
-                raise ValueError(f"{f.name} made {list(made)} but declares {list(f.new_columns)}")
-            if not is_row_wise(dataset, [c.alias(n) for n, c in made.items()]):
-                raise ValueError(f"{f.name} reads other rows; fitted statistics belong in an Estimator")
-            dataset = dataset.withColumns(made)
+        for name, text in self.getOrDefault("expressions").items():
+            if name in dataset.columns:
+                raise ValueError(f"the table already has a column {name!r}")
+            check_row_wise(dataset, name, text)
+            dataset = dataset.withColumn(name, F.expr(text))
         return dataset

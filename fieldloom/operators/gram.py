@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_FEATURES = 1_000
@@ -118,6 +118,13 @@ class LinearFit:
         return value
 
 
+def coefficient_table(spark: SparkSession, model: LinearFit) -> DataFrame:
+    """Coefficients per standard deviation and per original unit, and the intercept."""
+    rows = [(n, float(c * s), float(c)) for n, c, s in zip(model.features, model.coefficients, model.scale)]
+    rows.append(("(intercept)", float(model.intercept), float(model.intercept)))
+    return spark.createDataFrame(rows, "feature string, per_std double, per_unit double")
+
+
 def fit(gram: Gram, alpha: float = 0.0, l1_ratio: float = 0.0, scale: bool = True, lasso_form: bool | None = None) -> LinearFit:
     """Ordinary, ridge, lasso or elastic-net least squares.
 
@@ -154,8 +161,8 @@ def _coordinate_descent(a: np.ndarray, b: np.ndarray, l1: float, l2: float, tol:
             moved = max(moved, abs(new - w[j]))
             w[j] = new
         if moved <= tol * max(1.0, float(np.abs(w).max())):
-            break
-    return w
+            return w
+    raise RuntimeError(f"coordinate descent did not settle in {limit} rounds")
 
 
 def score(gram: Gram, model: LinearFit) -> dict[str, float]:

@@ -58,6 +58,23 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return condition
 
 
+def distinct_counts(df: DataFrame, columns: Mapping[str, Column]) -> dict[str, int]:
+    """Exact number of distinct non-NULL values of each column, apart from other aggregates.
+
+    (position, value) pairs are grouped, which combines before the shuffle, and then
+    counted by position; the moments of the same rows need no copy of them for it.
+    """
+    counts = dict.fromkeys(columns, 0)
+    kinds: dict[str, list[str]] = {}
+    for name, c in columns.items():
+        kinds.setdefault(df.select(c.alias("v")).schema["v"].dataType.simpleString(), []).append(name)
+    for names in kinds.values():  # one pass for the columns of each type
+        pairs = df.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), columns[n].alias("v")) for i, n in enumerate(names)])))
+        rows = pairs.where(F.col("v").isNotNull()).groupBy("i", "v").agg(F.lit(1).alias("one")).groupBy("i").agg(F.count("*").alias("n"))
+        counts.update({names[r["i"]]: r["n"] for r in rows.collect()})
+    return counts
+
+
 def average_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per (by, value) with its count ``n`` and tie-averaged rank ``avg_rank``."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("n"))

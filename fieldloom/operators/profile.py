@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from fieldloom.functions import scalars as S
 from fieldloom.operators.duplicates import duplicate_rows
-from fieldloom.operators.order import exact_quantiles, grouped_quantiles
+from fieldloom.operators.order import distinct_counts, exact_quantiles, grouped_quantiles
 
 
 def _rows(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame:
@@ -138,13 +138,14 @@ def multi_valued(df: DataFrame, key: str, value: str) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Moments, exact quartiles, sample skewness and excess kurtosis, distinct values."""
     quartiles = exact_quantiles(df, {c: (0.25, 0.5, 0.75) for c in columns})
+    unique = distinct_counts(df, {c: S.nan_to_null(c) for c in columns})
     aggregates = []
     for i, c in enumerate(columns):
         x = S.nan_to_null(c)
         aggregates += [
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
             F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-            F.skewness(x).alias(f"g1_{i}"), F.kurtosis(x).alias(f"g2_{i}"), F.count_distinct(x).alias(f"u{i}"),
+            F.skewness(x).alias(f"g1_{i}"), F.kurtosis(x).alias(f"g2_{i}"),
         ]
     structs = []
     for i, c in enumerate(columns):
@@ -160,7 +161,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             F.lit(q3).cast("double").alias("q3"), F.col(f"hi{i}").alias("max"),
             F.when(n > 2, F.when(flat, F.lit(0.0)).otherwise(skew)).alias("skew"),
             F.when(n > 3, F.when(flat, F.lit(0.0)).otherwise(kurt)).alias("excess_kurtosis"),
-            F.col(f"u{i}").alias("n_unique"),
+            F.lit(unique[c]).cast("long").alias("n_unique"),
         ))
     return _rows(df.agg(*aggregates), structs)
 

@@ -121,10 +121,18 @@ def _cut_by_hash(
     )
 
 
+def require_row_key(df: DataFrame, key: str) -> None:
+    """The key must be there and differ in every row; its digests are counted, which combines before the shuffle."""
+    bad = df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where(F.col("key").isNull() | (F.col("n") > 1)).limit(1).collect()
+    if bad:
+        raise ValueError(f"{key} = {bad[0]['key']!r} is in {bad[0]['n']} rows; a row key is never NULL and never repeated")
+
+
 def train_test_split(
     df: DataFrame, key: str, stratum: str | None = None, test_size: float = TEST_SIZE, seed: int = SEED
 ) -> DataFrame:
-    """Add ``split`` ('train' or 'test'); ``key`` must identify a row."""
+    """Add ``split`` ('train' or 'test'); a ``key`` that is NULL or repeated raises, since rows are told apart by it."""
+    require_row_key(df, key)
     plan = lambda sizes: {s: [q] for s, q in test_quotas(sizes, test_size).items()}
     marked = _cut_by_hash(df, key, stratum, seed, plan, "_past")
     return marked.withColumn("split", F.when(F.col("_past") == 0, "test").otherwise("train")).drop("_past")
@@ -145,6 +153,7 @@ def split_on_target(
 
 def kfold(df: DataFrame, key: str, folds: int = FOLDS, stratum: str | None = None, seed: int = SEED) -> DataFrame:
     """Add ``fold`` 1..k; the first n mod k folds hold one row more."""
+    require_row_key(df, key)
 
     def plan(sizes):
         cuts = {}

@@ -139,17 +139,18 @@ class Tfidf(Estimator, DefaultParamsWritable, DefaultParamsReadable):
     ngrams = Param(Params._dummy(), "ngrams", "1 words, 2 words and pairs", TypeConverters.toInt)
     foldAccents = Param(Params._dummy(), "foldAccents", "strip accents", TypeConverters.toBoolean)
     sublinear = Param(Params._dummy(), "sublinear", "1 + ln(tf) in place of tf", TypeConverters.toBoolean)
+    splitCol = Param(Params._dummy(), "splitCol", "column that marks training rows; empty: the caller vouches for them", TypeConverters.toString)
 
     @keyword_only
     def __init__(self, *, inputCol="text", outputCol="features", maxFeatures=MAX_FEATURES, minDf=MIN_DF, ngrams=2,
-                 foldAccents=True, sublinear=True):
+                 foldAccents=True, sublinear=True, splitCol="split"):
         super().__init__()
         self._set(**{**dict(inputCol="text", outputCol="features", maxFeatures=MAX_FEATURES, minDf=MIN_DF, ngrams=2,
-                            foldAccents=True, sublinear=True), **self._input_kwargs})
+                            foldAccents=True, sublinear=True, splitCol="split"), **self._input_kwargs})
 
     def _fit(self, dataset: DataFrame) -> TfidfModel:
         get = self.getOrDefault
-        require_training_rows(dataset)
+        require_training_rows(dataset, get("splitCol") or None)
         if get("maxFeatures") > MAX_MODEL_TERMS:
             raise ValueError("use vocabulary() and weights_long() for vocabularies of this size")
         terms = with_terms(dataset, get("inputCol"), get("ngrams"), get("foldAccents"))

@@ -1,8 +1,9 @@
 """Cross-validation, curves, grid search, nomination and summaries.
 
 Linear models are tuned from sums of products (``gram``): one pass over the rows serves
-every fold and every candidate. Other models are fitted per fold and candidate; their
-folds run side by side and their features are prepared once per fold.
+every fold and every candidate. Other models are fitted per fold and candidate, side by
+side. What is learned to prepare features is learned from a fold's training rows alone,
+once per fold, and shared by all candidates.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ from pyspark.sql import functions as F
 from fieldloom.operators import gram as G
 from fieldloom.operators.evaluate import regression_aggregates
 from fieldloom.operators.features import require_training_rows
+from fieldloom.session import materialise
 
 # A fit takes training rows and returns a function that adds predictions to a frame.
 Fit = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
 Score = Callable[[DataFrame], DataFrame]
+# Learns from training rows and returns what prepares any rows, like ``lambda rows: estimator.fit(rows).transform``.
+Prepare = Fit
 
 # The search spaces; each holds its model's baseline setting.
 REGRESSION_SPACES = {
@@ -59,8 +63,8 @@ def _texts(params: Mapping) -> dict[str, str]:
 
 # ---------------------------------------------------------------- linear models: one pass
 
-def fold_grams(train: DataFrame, features: Sequence[str], target: str, fold: str = "fold") -> dict:
-    require_training_rows(train)
+def fold_grams(train: DataFrame, features: Sequence[str], target: str, fold: str = "fold", split: str | None = "split") -> dict:
+    require_training_rows(train, split)
     return G.grams(train, features, target, fold)
 
 
@@ -116,40 +120,58 @@ def path(spark: SparkSession, gram: G.Gram, kind: str, alphas: Sequence[float])
 
 def cross_validate(
     train: DataFrame, models: Mapping[str, Fit], score: Score, fold: str = "fold", params: Mapping[str, Mapping] | None = None,
-    parallelism: int = 4, train_scores: bool = False,
+    parallelism: int = 4, train_scores: bool = False, prepare: Prepare | None = None, split: str | None = "split",
 ) -> DataFrame:
     """Long table of scores per model and fold. ``score`` turns predictions into one row of metrics.
 
-    Only training rows are accepted: no test row can take part in a choice.
+    Only training rows are accepted: no test row can take part in a choice. ``prepare`` is
+    fitted on each fold's training rows and applied to both sides, which are stored once
+    for all models of the fold.
     """
-    require_training_rows(train)
+    require_training_rows(train, split)
     spark = train.sparkSession
     folds = [r[0] for r in train.select(fold).distinct().orderBy(fold).collect()]
 
+    def sides(f):
+        own, held_out = train.where(F.col(fold) != f), train.where(F.col(fold) == f)
+        if prepare is None:
+            return own, held_out
+        ready = prepare(own)
+        return materialise(ready(own)), materialise(ready(held_out))
+
     def one(task):
         name, f = task
-        predict = models[name](train.where(F.col(fold) != f))
-        held_out = score(predict(train.where(F.col(fold) == f))).first().asDict()
-        own = score(predict(train.where(F.col(fold) != f))).first().asDict() if train_scores else {}
-        return [(name, _texts((params or {}).get(name, {})), f, m, None if v is None else float(v), own.get(m)) for m, v in held_out.items()]
+        own, held_out = parts[f]
+        predict = models[name](own)
+        found = score(predict(held_out)).first().asDict()
+        seen = score(predict(own)).first().asDict() if train_scores else {}
+        return [(name, _texts((params or {}).get(name, {})), f, m, None if v is None else float(v), seen.get(m)) for m, v in found.items()]
 
     with ThreadPoolExecutor(parallelism) as pool:
+        parts = dict(zip(folds, pool.map(sides, folds)))
         rows = [r for part in pool.map(one, [(m, f) for m in models for f in folds]) for r in part]
     return spark.createDataFrame(rows, SCORES)
 
 
 def grid_search(
     train: DataFrame, name: str, make: Callable[[dict], Fit], space: Mapping[str, Sequence], score: Score, metric: str,
-    fold: str = "fold", parallelism: int = 4,
+    fold: str = "fold", parallelism: int = 4, prepare: Prepare | None = None, split: str | None = "split",
 ) -> tuple[DataFrame, dict, Callable[[DataFrame], DataFrame]]:
-    """All candidates by mean fold score, the best setting (the first of equals), and its refit on all training rows."""
+    """All candidates by mean fold score, the best setting (the first of equals), and its refit on all training rows.
+
+    With ``prepare`` the refit learns the preparation again from all training rows and takes raw rows.
+    """
     settings = candidates(space)
     keys = [f"{name} {i}" for i in range(len(settings))]
     scores = cross_validate(train, {k: make(s) for k, s in zip(keys, settings)}, score, fold,
-                            dict(zip(keys, settings)), parallelism)
+                            dict(zip(keys, settings)), parallelism, prepare=prepare, split=split)
     table = ranked_candidates(scores, metric)
     best = settings[int(table.orderBy("rank").first()["model"].rsplit(" ", 1)[1])]
-    return table, best, make(best)(train)
+    if prepare is None:
+        return table, best, make(best)(train)
+    ready = prepare(train)
+    predict = make(best)(materialise(ready(train)))
+    return table, best, lambda df: predict(ready(df))
 
 
 # ---------------------------------------------------------------- tables
@@ -183,15 +205,21 @@ def nominate(cv: DataFrame, same: Sequence[tuple[str, str]], tunable: Sequence[s
 
     ``same`` lists pairs of models with equal training predictions, see ``same_functions``.
     """
-    order = [r["model"] for r in summarise(cv.where(F.col("metric") == metric)).orderBy(F.col("mean").desc(), "model").collect()]
-    rows, named = [], 0
-    for place, model in enumerate(order):
-        twin = next((m for m in order[:place] if (m, model) in same or (model, m) in same), None)
-        status = "no hyperparameters to tune" if model not in tunable else f"same fitted function as {twin}" if twin else "eligible"
-        chosen = status == "eligible" and named < n
-        named += chosen
-        rows.append((place + 1, model, model in tunable, status, chosen))
-    return cv.sparkSession.createDataFrame(rows, "cv_rank long, model string, tunable boolean, status string, nominated boolean")
+    from pyspark.sql import Window as W
+
+    spark = cv.sparkSession
+    order = W.orderBy(F.round("mean", 12).desc(), "model")  # a row per model
+    placed = summarise(cv.where(F.col("metric") == metric)).select("model", F.row_number().over(order).cast("long").alias("cv_rank"))
+    pairs = spark.createDataFrame([p for a, b in same for p in ((a, b), (b, a))], "model string, other string")
+    above = placed.select(F.col("model").alias("other"), F.col("cv_rank").alias("other_rank"))
+    twins = (
+        pairs.join(above, "other").join(placed, "model").where(F.col("other_rank") < F.col("cv_rank"))
+        .groupBy("model").agg(F.min_by("other", "other_rank").alias("twin")))
+    judged = placed.join(twins, "model", "left").select("cv_rank", "model", F.col("model").isin(*tunable).alias("tunable"), "twin")
+    status = F.when(~F.col("tunable"), "nothing to tune").when(F.col("twin").isNotNull(), F.concat(F.lit("repeats "), "twin")).otherwise("eligible")
+    judged = judged.withColumn("status", status)
+    eligible = F.count_if(F.col("status") == "eligible").over(W.orderBy("cv_rank"))
+    return judged.select("cv_rank", "model", "tunable", "status", ((F.col("status") == "eligible") & (eligible <= n)).alias("nominated"))
 
 
 def same_functions(predictions: DataFrame, models: Sequence[str], tolerance: float = 1e-8) -> list[tuple[str, str]]:

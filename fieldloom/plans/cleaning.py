@@ -87,8 +87,9 @@ def duplicate_texts(spark, sf_dir):
 # ---------------------------------------------------------------- labels
 
 # The digit at the start of the priority plays the rating. Cheap orders have none and dear ones keep
-# the whole, unreadable text, so that every outcome occurs; no row is left out.
-_RATING = "CASE WHEN o_totalprice < 50000 THEN NULL WHEN o_totalprice > 350000 THEN o_orderpriority ELSE left(o_orderpriority, 1) END"
+# the whole, unreadable text, some a digit with a type suffix, so that every outcome occurs; no row is left out.
+_RATING = """CASE WHEN o_totalprice < 50000 THEN NULL WHEN o_totalprice > 350000 THEN o_orderpriority
+ WHEN o_totalprice > 330000 THEN left(o_orderpriority, 1) || 'd' WHEN o_totalprice > 310000 THEN left(o_orderpriority, 1) || 'F' ELSE left(o_orderpriority, 1) END"""
 _LABEL = "CASE WHEN try_cast(rating AS DOUBLE) >= 4 THEN 'positive' WHEN try_cast(rating AS DOUBLE) <= 2 THEN 'negative' END"
 
 

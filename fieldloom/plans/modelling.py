@@ -11,7 +11,7 @@ from fieldloom.plans.evaluation import METRIC_NAMES, _CELLS, _METRICS, _auc_sql
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded, table
 from fieldloom.plans.splitting import split_lines, split_sql
-from fieldloom.plans.text import WEIGHTS_SQL, split_reviews
+from fieldloom.plans.text import CAP, WEIGHTS_SQL, split_reviews, weights_sql
 from fieldloom.session import materialise
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -60,13 +60,13 @@ def ridge(spark, sf_dir):
 
 
 @query(f"""WITH {_OLS} SELECT 'l_extendedprice' AS feature, round(wa * sa, 4) AS per_std, round(wa, 6) AS per_unit FROM fit
-UNION ALL SELECT 'l_discount', round(wb * sb, 4), round(wb, 4) FROM fit""")
+UNION ALL SELECT 'l_discount', round(wb * sb, 4), round(wb, 4) FROM fit
+UNION ALL SELECT '(intercept)', round(w0, 4), round(w0, 4) FROM fit""")
 def coef_table(spark, sf_dir):
-    df, fit = _two_feature_fit(spark, sf_dir)
-    rows = [(n, float(c * s), float(c)) for n, c, s in zip(fit.features, fit.coefficients, fit.scale)]
-    table_ = df.sparkSession.createDataFrame(rows, "feature string, per_std double, per_unit double")
+    _, fit = _two_feature_fit(spark, sf_dir)
+    table_ = gram.coefficient_table(spark, fit)
     return table_.select("feature", rounded("per_std", 4).alias("per_std"), F.when(
-        F.col("feature") == "l_discount", rounded("per_unit", 4)).otherwise(rounded("per_unit")).alias("per_unit"))
+        F.col("feature") == "l_extendedprice", rounded("per_unit")).otherwise(rounded("per_unit", 4)).alias("per_unit"))
 
 
 @query(f"""WITH {_STATS}, al AS (SELECT power(10, -2 + i * 7 / 28.0::DOUBLE) AS alpha FROM range(29) t(i)),
@@ -79,6 +79,22 @@ def ridge_path(spark, sf_dir):
     return round_columns(round_columns(tune.path(spark, found, "ridge", tune.RIDGE_PATH), ["alpha"]), ["coefficient"], 4)
 
 
+# Two standardised features of correlation r: both active with the signs of their own solution, or one, or none.
+@query(f"""WITH {_STATS}, z AS (SELECT ab / sqrt(va * vb) AS r, ay / sqrt(va) AS a, by_ / sqrt(vb) AS b FROM s),
+al AS (SELECT power(10, -3 + i * 4.5 / 27.0::DOUBLE) AS alpha FROM range(28) t(i)), sg AS (SELECT x.v AS sa, y.v AS sb FROM (VALUES (-1), (1)) x(v), (VALUES (-1), (1)) y(v)),
+both_ AS (SELECT alpha, ((a - alpha * sa) - r * (b - alpha * sb)) / (1 - r * r) AS wa, ((b - alpha * sb) - r * (a - alpha * sa)) / (1 - r * r) AS wb, sa, sb FROM z, al, sg),
+ok AS (SELECT alpha, wa, wb FROM both_ WHERE wa * sa > 0 AND wb * sb > 0),
+one AS (SELECT alpha, sign(a) * greatest(abs(a) - alpha, 0) AS wa, sign(b) * greatest(abs(b) - alpha, 0) AS wb, r, a, b FROM z, al),
+w AS (SELECT alpha, CASE WHEN ok.alpha IS NOT NULL THEN ok.wa WHEN abs(b - r * one.wa) <= alpha THEN one.wa ELSE 0 END AS wa,
+ CASE WHEN ok.alpha IS NOT NULL THEN ok.wb WHEN abs(b - r * one.wa) <= alpha THEN 0 ELSE one.wb END AS wb FROM one LEFT JOIN ok USING (alpha)),
+n AS (SELECT *, CAST((abs(wa) < 1e-12)::INT + (abs(wb) < 1e-12)::INT AS BIGINT) AS n_zero FROM w)
+SELECT round(alpha, 6) AS alpha, 'l_extendedprice' AS feature, round(wa, 4) + 0.0 AS coefficient, n_zero FROM n UNION ALL SELECT round(alpha, 6), 'l_discount', round(wb, 4) + 0.0, n_zero FROM n""")
+def lasso_path_two(spark, sf_dir):
+    train = side(split_lines(spark, sf_dir), "train")
+    found = gram.grams(train, ["l_extendedprice", "l_discount"], "y")[None]
+    return round_columns(round_columns(tune.path(spark, found, "lasso", tune.LASSO_PATH), ["alpha"]), ["coefficient"], 4)
+
+
 @query()
 def lasso_path(spark, sf_dir):
     train = side(split_lines(spark, sf_dir), "train")
@@ -138,28 +154,26 @@ def polynomial_regression(spark, sf_dir):
 def tree_models(spark, sf_dir):
     train, test = prepared(spark, sf_dir, scale=False)
     return _fitted_metrics(train, test, {
-        "tree": models.tree_regressor(max_depth=12), "forest": models.forest_regressor(trees=10, max_depth=10),
-        "boosting": models.boosted_regressor(trees=20)})
+        "tree": models.tree_regressor(), "forest": models.forest_regressor(), "boosting": models.boosted_regressor()})
 
 
 @query()
 def importance(spark, sf_dir):
     train, _ = prepared(spark, sf_dir, scale=False)
-    model = models.tree_regressor(max_depth=10).fit(train)
-    names = [*NUMERIC, "l_linestatus_O", "l_returnflag_A", "l_returnflag_N", "l_returnflag_R"]
-    return round_columns(models.importances(model, names, train), ["importance"])
+    model = models.tree_regressor().fit(train)
+    return round_columns(models.importances(model, models.feature_names(train), train), ["importance"])
 
 
 @query()
 def rff_svr(spark, sf_dir):
     """RBF kernel regression through random Fourier features; ``score_source`` names the approximation."""
     train, test = prepared(spark, sf_dir)
-    rff = models.RandomFourierFeatures(gamma=models.scale_gamma(train), components=100)
+    rff = models.RandomFourierFeatures(gamma=models.scale_gamma(train), components=300)
     mapped = lambda df: rff.transform(df).select("y", F.col("kernel_features").alias("features"))
-    facts = {**models.target_facts(train, "y"), "p": 100}
+    facts = {**models.target_facts(train, "y"), "p": 300}
     scored = models.ridge(facts, 1.0).fit(mapped(train)).transform(mapped(test))
     return _regression(evaluate.regression_metrics(scored, "y", "prediction")).withColumn(
-        "score_source", F.lit("random Fourier features, D=100"))
+        "score_source", F.lit("random Fourier features, D=300"))
 
 
 # ---------------------------------------------------------------- neighbours
@@ -233,7 +247,8 @@ def knn_regress(spark, sf_dir):
 
 
 # SQL: every test text against every training text, from the weights of shared terms.
-_TEXT_FOUND = f"""{WEIGHTS_SQL}, qs AS (SELECT id FROM split_rows WHERE split = 'test'), ts AS (SELECT id, label FROM split_rows WHERE split = 'train'),
+def _text_found(weights: str) -> str:
+    return f"""{weights}, qs AS (SELECT id FROM split_rows WHERE split = 'test'), ts AS (SELECT id, label FROM split_rows WHERE split = 'train'),
 dot AS (SELECT a.id AS qid, b.id AS tid, sum(a.weight * b.weight) AS dot FROM weights a JOIN weights b USING (term) WHERE a.split = 'test' AND b.split = 'train' GROUP BY ALL),
 norm AS (SELECT id, sum(weight * weight) AS s FROM weights GROUP BY id),
 d AS (SELECT qs.id AS query_id, ts.id AS train_id, ts.label, round(sqrt(greatest(coalesce(nq.s, 0) + coalesce(nt.s, 0) - 2 * coalesce(dot, 0), 0)), 7) AS d
@@ -248,14 +263,17 @@ def _texts(spark, sf_dir, cap):
     return parts, len(model.getOrDefault("vocabulary"))
 
 
-@query(f"""WITH {_TEXT_FOUND} SELECT query_id, round(d, 5) AS nearest_distance FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) = 1""")
+@query(f"""WITH {_text_found(WEIGHTS_SQL)} SELECT query_id, round(d, 5) AS nearest_distance FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) = 1""")
 def knn_text(spark, sf_dir):
-    parts, size = _texts(spark, sf_dir, 1000)
+    parts, size = _texts(spark, sf_dir, CAP)
     found = knn.neighbours(side(parts, "test"), side(parts, "train").withColumn("payload", F.col("label")), 5, "euclidean", size)
     return found.where(F.col("rank") == 1).select("query_id", rounded("distance", 5).alias("nearest_distance"))
 
 
-@query()
+# Vocabulary of 40 terms; a text is empty when it has no weight.
+@query(f"""WITH {_text_found(weights_sql(40))}, f AS (SELECT query_id, train_id FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) <= 5),
+e AS (SELECT query_id, max((NOT EXISTS (SELECT 1 FROM norm WHERE norm.id = f.train_id))::INT) AS a, min((NOT EXISTS (SELECT 1 FROM norm WHERE norm.id = f.train_id))::INT) AS b
+ FROM f GROUP BY query_id) SELECT round(avg(a), 6) AS share_any, round(avg(b), 6) AS share_all FROM e""")
 def knn_empty_neighbours(spark, sf_dir):
     """With a tiny vocabulary some texts have no known term and sit near every query."""
     parts, size = _texts(spark, sf_dir, 40)
@@ -282,7 +300,7 @@ def gaussian_nb(spark, sf_dir):
 
 # ---------------------------------------------------------------- text classifiers
 
-def text_vectors(spark, sf_dir, cap=1000):
+def text_vectors(spark, sf_dir, cap=CAP):
     df = models.label_index(split_reviews(spark, sf_dir), "label", "negative")
     model = tfidf.Tfidf(maxFeatures=cap).fit(side(df, "train"))
     ready = materialise(model.transform(df).select("id", "split", "label", "y", "features"))
@@ -302,7 +320,7 @@ def text_classifiers(spark, sf_dir):
     lines = None
     for name, estimator, rows in (
         ("logistic", models.logistic(n), train), ("logistic balanced", models.logistic(n, weight="weight"), weighted),
-        ("tree", models.tree_classifier(max_depth=5), train), ("linear svc", models.linear_svc(n), train),
+        ("tree", models.tree_classifier(), train), ("linear svc", models.linear_svc(n), train),
         ("gaussian nb", models.gaussian_nb(), train),
     ):
         scored, source = scored_classes(estimator.fit(rows), test)
@@ -322,9 +340,9 @@ def odds_ratios(spark, sf_dir):
 @query()
 def rff_svc(spark, sf_dir):
     """RBF kernel margin classifier through random Fourier features."""
-    train, test, _ = text_vectors(spark, sf_dir, 300)
-    rff = models.RandomFourierFeatures(gamma=models.scale_gamma(train), components=100)
+    train, test, _ = text_vectors(spark, sf_dir)
+    rff = models.RandomFourierFeatures(gamma=models.scale_gamma(train), components=300)
     mapped = lambda df: rff.transform(df).select("label", "y", F.col("kernel_features").alias("features"))
     scored, source = scored_classes(models.linear_svc(train.count()).fit(mapped(train)), mapped(test))
     return round_columns(evaluate.classification_metrics(scored, "label", "predicted", "score"), METRIC_NAMES).withColumn(
-        "score_source", F.lit(f"{source}, random Fourier features, D=100"))
+        "score_source", F.lit(f"{source}, random Fourier features, D=300"))

@@ -97,15 +97,8 @@ def poly_interactions(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_extendedprice / l_quantity AS unit_price, round(l_quantity / q, 6) AS quantity, round(l_tax / t, 6) AS tax FROM lineitem, m""")
 def engineered_features(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
-    feature = P.RegisteredFeature(
-        "regression", "unit price", ("unit_price",), lambda d: {"unit_price": F.col("l_extendedprice") / F.col("l_quantity")},
-        "the price of a line grows with its quantity, the unit price does not", "registered query")
-    P.register_feature(feature)
-    try:
-        made = P.AddRegisteredFeatures(track="regression").transform(df)
-    finally:
-        P.unregister_feature("regression", "unit price")
-    scaled = P.max_abs_scaled(df, ["l_quantity", "l_tax"])
+    made = P.UserColumns(expressions={"unit_price": "l_extendedprice / l_quantity"}).transform(df)
+    scaled = P.max_abs_scaled(df, ["l_quantity", "l_tax"], split=None)
     return made.select("l_orderkey", "l_linenumber", "unit_price",
                        rounded(scaled["l_quantity"]).alias("quantity"), rounded(scaled["l_tax"]).alias("tax"))
 

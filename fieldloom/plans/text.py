@@ -11,7 +11,7 @@ from fieldloom.plans.splitting import REVIEWS_SQL, reviews, split_sql
 from fieldloom.session import materialise
 
 WORDS = r"regexp_extract_all(strip_accents(lower(text)), '[\p{L}\p{N}_]{2,}')"
-CAP = 1000
+CAP = 5000
 
 
 def pairs(words: str) -> str:
@@ -23,13 +23,20 @@ SPLIT_SQL = f"{REVIEWS_SQL}, {split_sql('reviews', 'label')}"
 TERMS_SQL = f"""{SPLIT_SQL}, worded AS (SELECT id, label, split, {WORDS} AS w FROM split_rows),
 termed AS (SELECT id, label, split, {pairs('w')} AS terms FROM worded),
 tf AS (SELECT id, split, term, count(*) AS tf FROM (SELECT id, split, unnest(terms) AS term FROM termed) GROUP BY ALL)"""
-VOCAB_SQL = f"""{TERMS_SQL}, n AS (SELECT count(*) AS n FROM termed WHERE split = 'train'),
+def vocabulary_sql(cap: int) -> str:
+    return f"""{TERMS_SQL}, n AS (SELECT count(*) AS n FROM termed WHERE split = 'train'),
 vocab AS (SELECT term, df, total, ln((1 + n) / (1 + df)::DOUBLE) + 1 AS idf FROM n, (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total FROM tf WHERE split = 'train'
-  GROUP BY term HAVING count(*) >= 2) ORDER BY total DESC, term LIMIT {CAP})"""
-WEIGHTS_SQL = f"""{VOCAB_SQL}, raw AS (SELECT id, split, term, (1 + ln(tf)) * idf AS raw FROM tf JOIN vocab USING (term)),
+  GROUP BY term HAVING count(*) >= 2) ORDER BY total DESC, term LIMIT {cap})"""
+
+
+def weights_sql(cap: int) -> str:
+    return f"""{vocabulary_sql(cap)}, raw AS (SELECT id, split, term, (1 + ln(tf)) * idf AS raw FROM tf JOIN vocab USING (term)),
 weights AS (SELECT id, split, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM raw)"""
 
 
+VOCAB_SQL, WEIGHTS_SQL = vocabulary_sql(CAP), weights_sql(CAP)
+
+
 def split_reviews(spark, sf_dir):
     return materialise(split.train_test_split(reviews(spark, sf_dir), "id", "label"))
 
@@ -99,8 +106,15 @@ def sparsity(spark, sf_dir):
                          ["nnz_per_row", "zero_share", "norm_min", "norm_max"])
 
 
-# A short list of English function words for the display of top terms.
-STOPS = ["and", "as", "by", "for", "in", "is", "it", "of", "on", "that", "the", "this", "to", "was", "with"]
+# Spark's English stop words without those that hold an apostrophe, which no token does.
+STOPS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now cannot could ought would
+""".split()
 
 
 @query(f"""WITH {REVIEWS_SQL}, w AS (SELECT id, label, list_filter({WORDS}, lambda x: x NOT IN ({", ".join(f"'{s}'" for s in STOPS)})) AS w FROM reviews),

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fieldloom.operators import evaluate, features, gram, models, split, tune
+from fieldloom.operators import bayes, evaluate, features, gram, models, split, tune
 from fieldloom.plans.modelling import NUMERIC, prepared, side
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded
 from fieldloom.plans.splitting import kfold_sql, split_lines
+from fieldloom.plans.text import SPLIT_SQL as REVIEWS_SPLIT_SQL
+from fieldloom.plans.text import split_reviews
 from fieldloom.session import materialise
 
 TWO = ["l_extendedprice", "l_discount"]
@@ -77,32 +79,40 @@ def grid_pivot(spark, sf_dir):
     return round_columns(pivot, [c for c in pivot.columns if c != "alpha"])
 
 
-def _linear_fits(train):
-    """Four linear models over raw columns; ``repeated`` is the same function as ``linear``."""
-    def least_squares(columns, **settings):
-        def fit(rows):
-            found = gram.fit(gram.grams(rows, columns, "y")[None], **settings)
-            return lambda df: df.withColumn("prediction", found.predict())
-        return fit
+def _score(df):
+    return evaluate.regression_metrics(df, "y", "prediction")
 
-    return {"linear": least_squares(TWO), "repeated": least_squares(TWO), "ridge": least_squares(TWO, alpha=1000.0),
-            "price only": least_squares(["l_extendedprice"])}
 
+# Four linear models over raw columns; ``repeated`` is the same function as ``linear``.
+LINEAR = {"linear": (TWO, {}), "repeated": (TWO, {}), "ridge": (TWO, {"alpha": 1000.0}), "price only": (["l_extendedprice"], {})}
 
-def _score(df):
-    return evaluate.regression_metrics(df, "y", "prediction")
+# SQL: mean fold R2 of the four; one feature is the other formula with its second coefficient left out.
+_FOUR = f"""{_ridge_scores("SELECT * FROM (VALUES (0, 0.0::DOUBLE), (1, 1000.0::DOUBLE)) t(i, alpha)")},
+single AS (SELECT s.fold, 1 - sum((y - my - ay / va * (a - ma)) ** 2) / (var_pop(y) * count(*)) AS r2 FROM folded f JOIN s ON s.fold = f.fold GROUP BY s.fold),
+four AS (SELECT 'linear' AS model, avg(r2) AS mean FROM sc WHERE i = 0 UNION ALL SELECT 'repeated', avg(r2) FROM sc WHERE i = 0
+ UNION ALL SELECT 'ridge', avg(r2) FROM sc WHERE i = 1 UNION ALL SELECT 'price only', avg(r2) FROM single)"""
 
 
-@query()
+def _cv_of_four(train):
+    """Fold scores of the four models from the fold sums of their columns: one pass each over the rows."""
+    sums = {tuple(c): tune.fold_grams(train, c, "y") for c, _ in LINEAR.values()}
+    lines = None
+    for name, (columns, setting) in LINEAR.items():
+        line = tune.linear_scores(train.sparkSession, sums[tuple(columns)], "ridge" if setting else "linear", [setting]).withColumn("model", F.lit(name))
+        lines = line if lines is None else lines.unionByName(line)
+    fits = {name: gram.fit(tune.sum_grams(sums[tuple(columns)].values()), **setting) for name, (columns, setting) in LINEAR.items()}
+    return lines, fits
+
+
+@query(f"""WITH {_FOUR}, o AS (SELECT model, row_number() OVER (ORDER BY round(mean, 12) DESC, model) AS cv_rank FROM four),
+j AS (SELECT cv_rank, model, model <> 'linear' AS tunable, CASE WHEN model = 'linear' THEN 'nothing to tune'
+ WHEN model = 'repeated' THEN 'repeats linear' ELSE 'eligible' END AS status FROM o)
+SELECT *, status = 'eligible' AND sum((status = 'eligible')::INT) OVER (ORDER BY cv_rank) <= 2 AS nominated FROM j""")
 def nominate(spark, sf_dir):
     train = training_folds(spark, sf_dir)
-    fits = _linear_fits(train)
-    cv = tune.cross_validate(train, fits, _score)
-    predicted = train
-    for name, fit in fits.items():
-        predicted = fit(train)(predicted).withColumnRenamed("prediction", name)
-    same = tune.same_functions(predicted, list(fits))
-    return tune.nominate(cv, same, ["repeated", "ridge", "price only"], "r2")
+    cv, fits = _cv_of_four(train)
+    predicted = train.withColumns({name: fit.predict() for name, fit in fits.items()})
+    return tune.nominate(cv, tune.same_functions(predicted, list(fits)), ["repeated", "ridge", "price only"], "r2")
 
 
 @query()
@@ -118,34 +128,69 @@ def tuning_summary(spark, sf_dir):
     return round_columns(tune.tuning_summary(base, best), ["baseline_mean", "baseline_std", "tuned_mean", "tuned_std", "change"])
 
 
-@query()
+# SQL: test scores of the four fits on all training rows.
+_TESTED = f"""{_FOUR}, g AS (SELECT count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS va, var_pop(b) AS vb, covar_pop(a, b) AS ab,
+ covar_pop(a, y) AS ay, covar_pop(b, y) AS by_ FROM tr), gz AS (SELECT *, ab / sqrt(va * vb) AS r, ay / sqrt(va) AS ra, by_ / sqrt(vb) AS rb, 1 + 1000.0::DOUBLE / n AS d FROM g),
+gw AS (SELECT m.model, ma, mb, my, CASE m.model WHEN 'price only' THEN ay / va WHEN 'ridge' THEN (ra * d - rb * r) / (d * d - r * r) / sqrt(va) ELSE (ra - rb * r) / (1 - r * r) / sqrt(va) END AS wa,
+ CASE m.model WHEN 'price only' THEN 0 WHEN 'ridge' THEN (rb * d - ra * r) / (d * d - r * r) / sqrt(vb) ELSE (rb - ra * r) / (1 - r * r) / sqrt(vb) END AS wb FROM gz, four m),
+tested AS (SELECT model, round(1 - sum((y - my - wa * (l_extendedprice - ma) - wb * (l_discount - mb)) ** 2) / (var_pop(y) * count(*)), 6) AS test_r2
+ FROM split_rows, gw WHERE split = 'test' GROUP BY model)"""
+
+
+@query(f"""WITH {_TESTED}, b AS (SELECT model, round(mean, 6) AS cv_r2, test_r2 FROM four JOIN tested USING (model)),
+r AS (SELECT *, row_number() OVER (ORDER BY cv_r2 DESC, model) AS cv_rank, row_number() OVER (ORDER BY test_r2 DESC, model) AS test_rank FROM b)
+SELECT *, cv_rank = test_rank AS agrees FROM r""")
 def rank_agreement(spark, sf_dir):
-    df = split_lines(spark, sf_dir)
-    train = training_folds(spark, sf_dir)
-    fits = _linear_fits(train)
-    cv = tune.summarise(tune.cross_validate(train, fits, _score).where(F.col("metric") == "r2")).select("model", F.col("mean").alias("cv_r2"))
-    lines = None
-    for name, fit in fits.items():
-        line = _score(fit(train)(side(df, "test"))).select(F.lit(name).alias("model"), F.col("r2").alias("test_r2"))
-        lines = line if lines is None else lines.unionByName(line)
+    """One split for both sides; the scores of all four models come from one aggregate over the test rows."""
+    df = materialise(split_lines(spark, sf_dir).select("id", "split", "y", *NUMERIC))
+    scores, fits = _cv_of_four(materialise(split.kfold(side(df, "train"), "id")))
+    cv = tune.summarise(scores.where(F.col("metric") == "r2")).select("model", F.col("mean").alias("cv_r2"))
+    test = side(df, "test")
+    wide = test.agg(*[evaluate.regression_aggregates("y", fit.predict())[0].alias(f"m{i}") for i, fit in enumerate(fits.values())])
+    lines = wide.select(F.inline(F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"m{i}").alias("test_r2")) for i, name in enumerate(fits)])))
     return round_columns(tune.rank_agreement(round_columns(cv, ["cv_r2"]), round_columns(lines, ["test_r2"]), "cv_r2", "test_r2"), ["cv_r2", "test_r2"])
 
 
-@query()
-def scaling_study(spark, sf_dir):
-    """The same penalised model with and without standardised features, cross-validated."""
-    grams = tune.fold_grams(training_folds(spark, sf_dir), NUMERIC, "y")
+# SQL: without scaling the penalty meets the raw sums of squares n va + alpha.
+@query(f"""WITH {_FOLDS}, z AS (SELECT *, ab / sqrt(va * vb) AS r, ay / sqrt(va) AS ra, by_ / sqrt(vb) AS rb, 1 + 1000.0::DOUBLE / n AS d FROM s),
+w AS (SELECT true AS scaled, fold, (ra * d - rb * r) / (d * d - r * r) / sqrt(va) AS wa, (rb * d - ra * r) / (d * d - r * r) / sqrt(vb) AS wb, ma, mb, my FROM z
+ UNION ALL SELECT false, fold, (ay * (vb + 1000.0::DOUBLE / n) - by_ * ab) / ((va + 1000.0::DOUBLE / n) * (vb + 1000.0::DOUBLE / n) - ab * ab),
+ (by_ * (va + 1000.0::DOUBLE / n) - ay * ab) / ((va + 1000.0::DOUBLE / n) * (vb + 1000.0::DOUBLE / n) - ab * ab), ma, mb, my FROM z),
+sc AS (SELECT scaled, w.fold, 1 - sum((y - my - wa * (a - ma) - wb * (b - mb)) ** 2) / (var_pop(y) * count(*)) AS r2 FROM folded f JOIN w ON w.fold = f.fold GROUP BY ALL)
+SELECT scaled, round(avg(r2), 6) AS mean, round(stddev_pop(r2), 6) AS std FROM sc GROUP BY scaled""")
+def scaling_study_ridge(spark, sf_dir):
+    """Ridge with and without standardised features, cross-validated from the fold sums."""
+    grams = tune.fold_grams(training_folds(spark, sf_dir), TWO, "y")
+    return _scaling(spark, grams, {"alpha": 1000.0})
+
+
+def _scaling(spark, grams, setting):
     total = tune.sum_grams(grams.values())
     rows = []
     for scale in (True, False):
         for f, held_out in sorted(grams.items()):
-            fit = gram.fit(total - held_out, 1.0, 0.5, scale=scale)
+            fit = gram.fit(total - held_out, **setting, scale=scale)
             rows.append((scale, f, gram.score(held_out, fit)["r2"]))
     scores = spark.createDataFrame(rows, "scaled boolean, fold int, r2 double")
     return round_columns(scores.groupBy("scaled").agg(F.avg("r2").alias("mean"), F.stddev_pop("r2").alias("std")), ["mean", "std"])
 
 
 @query()
+def scaling_study(spark, sf_dir):
+    """The same penalised model with and without standardised features, cross-validated."""
+    return _scaling(spark, tune.fold_grams(training_folds(spark, sf_dir), NUMERIC, "y"), {"alpha": 1.0, "l1_ratio": 0.5})
+
+
+# SQL: features made orthogonal one after the other on the training rows; then every coefficient stands alone.
+@query(f"""WITH {SPLIT_SQL}, x AS (SELECT split, y, l_extendedprice AS a, l_discount AS b, l_extendedprice * (1 - l_discount) AS c FROM split_rows),
+m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my, covar_pop(b, a) / var_pop(a) AS ba, covar_pop(c, a) / var_pop(a) AS ca, covar_pop(y, a) / var_pop(a) AS wa FROM x WHERE split = 'train'),
+e AS (SELECT split, y, my, wa, a - ma AS e1, b - mb - ba * (a - ma) AS e2, c - mc - ca * (a - ma) AS c1 FROM x, m),
+m2 AS (SELECT covar_pop(c1, e2) / var_pop(e2) AS cb, covar_pop(y, e2) / var_pop(e2) AS wb FROM e WHERE split = 'train'),
+e3 AS (SELECT split, y, my, wa, wb, e1, e2, c1 - cb * e2 AS e3 FROM e, m2),
+m3 AS (SELECT covar_pop(y, e3) / var_pop(e3) AS wc FROM e3 WHERE split = 'train'),
+p AS (SELECT y, my + wa * e1 + wb * e2 AS p2, my + wa * e1 + wb * e2 + wc * e3 AS p3 FROM e3, m3 WHERE split = 'test')
+SELECT 'without' AS features, round(1 - sum((y - p2) ** 2) / (var_pop(y) * count(*)), 6) AS r2, round(sqrt(avg((y - p2) ** 2)), 4) AS rmse FROM p
+UNION ALL SELECT 'with', round(1 - sum((y - p3) ** 2) / (var_pop(y) * count(*)), 6), round(sqrt(avg((y - p3) ** 2)), 4) FROM p""")
 def feature_effect(spark, sf_dir):
     """Test scores of a linear model with and without an engineered product."""
     df = split_lines(spark, sf_dir).withColumn("net", F.col("l_extendedprice") * (1 - F.col("l_discount")))
@@ -159,13 +204,107 @@ def feature_effect(spark, sf_dir):
 
 @query()
 def model_grid_search(spark, sf_dir):
-    """A grid over a fitted model kind: features prepared once, every candidate fitted per fold."""
+    """The published grid of one model kind: preprocessing learned within each fold, every candidate fitted per fold."""
     train = training_folds(spark, sf_dir)
-    pre = features.TabularPreprocessor(numeric=NUMERIC, categorical=["l_linestatus"], scale=False).fit(train)
-    ready = materialise(pre.transform(train).select("id", "split", "fold", "y", "features"))
+    pre = features.TabularPreprocessor(numeric=NUMERIC, categorical=["l_linestatus"], scale=False)
+    space = models.buildable(tune.REGRESSION_SPACES["tree"])
 
     def make(setting):
-        return lambda rows: models.tree_regressor(**setting, max_bins=64).fit(rows).transform
+        return lambda rows: models.tree_regressor(**setting).fit(rows).transform
 
-    table, _, _ = tune.grid_search(ready, "tree", make, {"max_depth": [3, 5], "min_leaf": [1, 20]}, _score, "r2")
+    table, _, _ = tune.grid_search(train, "tree", make, space, _score, "r2", prepare=lambda rows: pre.fit(rows).transform, parallelism=8)
     return table.select("rank", "setting", rounded("mean").alias("mean"), rounded("std").alias("std"))
+
+
+# ---------------------------------------------------------------- classification
+
+# Numbers read off the labelled texts; the label is the quality.
+SHAPE = "[length(text) / 1000.0::DOUBLE, (length(text) - length(replace(text, ' ', ''))) / 100.0::DOUBLE, (length(text) - length(replace(text, 'e', ''))) / 100.0::DOUBLE]"
+_SMOOTH = "SELECT CAST(i AS INT) AS i, power(10, i - 9.0::DOUBLE) AS vs FROM range(9) t(i)"
+
+
+def _nb_sql(training: str, scored: str, by: str) -> str:
+    """Log-likelihoods of Gaussian naive Bayes: ``training`` and ``scored`` have (k, id, label, x); predictions by k and smoothing."""
+    return f"""cells AS (SELECT k, label, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM {training}),
+st AS (SELECT k, label, j, avg(v) AS m, var_pop(v) AS s FROM cells GROUP BY ALL),
+ep AS (SELECT k, max(s) AS top FROM (SELECT k, j, var_pop(v) AS s FROM cells GROUP BY ALL) GROUP BY k),
+pr AS (SELECT k, label, ln(count(*) / sum(count(*)) OVER (PARTITION BY k)::DOUBLE) AS lp FROM {training} GROUP BY k, label),
+sl AS (SELECT c.k, c.id, c.label AS truth, i, st.label, pr.lp + sum(-0.5::DOUBLE * ln(2 * pi() * (s + vs * top)) - (v - m) * (v - m) / (2 * (s + vs * top))) AS score
+ FROM (SELECT k, id, label, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM {scored}) c JOIN st ON st.k = c.k AND st.j = c.j JOIN pr ON pr.k = c.k AND pr.label = st.label
+ JOIN ep ON ep.k = c.k, ({by}) sm GROUP BY c.k, c.id, c.label, i, st.label, pr.lp),
+said AS (SELECT k, i, id, truth AS actual, arg_max(label, score) AS predicted FROM sl GROUP BY ALL)"""
+
+
+_CELL = """ct AS (SELECT k, i, count(*) FILTER (WHERE actual = 'negative' AND predicted = 'negative')::DOUBLE AS tp, count(*) FILTER (WHERE actual <> 'negative' AND predicted = 'negative')::DOUBLE AS fp,
+ count(*) FILTER (WHERE actual = 'negative' AND predicted <> 'negative')::DOUBLE AS fn, count(*) FILTER (WHERE actual <> 'negative' AND predicted <> 'negative')::DOUBLE AS tn FROM said GROUP BY k, i),
+me AS (SELECT k, i, (tp + tn) / (tp + fp + fn + tn) AS accuracy, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
+ CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1,
+ (CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END * (tp + fn) + CASE WHEN 2 * tn + fp + fn > 0 THEN 2 * tn / (2 * tn + fp + fn) ELSE 0 END * (tn + fp)) / (tp + fp + fn + tn) AS weighted_f1 FROM ct)"""
+_SHAPED = f"{REVIEWS_SPLIT_SQL}, tr AS (SELECT id, label, {SHAPE} AS x FROM split_rows WHERE split = 'train'), {kfold_sql('tr')}"
+_CV = f"""{_SHAPED}, own AS (SELECT k, id, label, x FROM folded, range(1, 6) r(k) WHERE fold <> k), held AS (SELECT fold AS k, id, label, x FROM folded)"""
+
+
+def _shaped(spark, sf_dir):
+    length = lambda c: F.length(c)
+    x = F.array(length("text") / 1000.0, *[(length("text") - length(F.replace("text", F.lit(s), F.lit("")))) / 100.0 for s in (" ", "e")])
+    return materialise(split_reviews(spark, sf_dir).select("id", "split", "label", x.alias("x")))
+
+
+def _nb(setting):
+    return lambda rows: (lambda df, model=bayes.fit_gaussian_nb(rows, "x", "label", **setting): model.transform(df, "x"))
+
+
+def _class_scores(df):
+    return evaluate.classification_metrics(df, "label", "prediction").select("accuracy", "precision", "recall", "f1", "weighted_f1")
+
+
+@query(f"""WITH {_CV}, {_nb_sql('own', 'held', "SELECT 0 AS i, 1e-9::DOUBLE AS vs")}, {_CELL},
+l AS (UNPIVOT (SELECT k, accuracy, precision, recall, f1, weighted_f1 FROM me) ON accuracy, precision, recall, f1, weighted_f1 INTO NAME metric VALUE value)
+SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM l GROUP BY metric""")
+def classification_cv(spark, sf_dir):
+    """Five metrics of naive Bayes over five folds of the training rows."""
+    folded = materialise(split.kfold(side(_shaped(spark, sf_dir), "train"), "id"))
+    table_ = tune.summarise(tune.cross_validate(folded, {"gaussian nb": _nb({})}, _class_scores))
+    return table_.select("metric", rounded("mean").alias("mean"), rounded("std").alias("std"))
+
+
+_GRID_NB = f"""{_CV}, {_nb_sql('own', 'held', _SMOOTH)}, {_CELL},
+gr AS (SELECT i, round(avg(weighted_f1), 9) AS m, round(avg(weighted_f1), 6) AS mean, round(stddev_pop(weighted_f1), 6) AS std FROM me GROUP BY i)"""
+
+
+def _nb_grid(spark, sf_dir):
+    shaped = _shaped(spark, sf_dir)
+    folded = materialise(split.kfold(side(shaped, "train"), "id"))
+    settings = tune.candidates(tune.CLASSIFICATION_SPACES["gaussian_nb"])
+    names = {f"gaussian nb {i}": s for i, s in enumerate(settings)}
+    scores = tune.cross_validate(folded, {n: _nb(s) for n, s in names.items()}, _class_scores, params=names, parallelism=8)
+    table_ = tune.summarise(scores.where(F.col("metric") == "weighted_f1"))
+    table_ = table_.withColumn("candidate", F.element_at(F.split("model", " "), F.lit(-1)).cast("int"))
+    best = table_.orderBy(F.round("mean", 9).desc(), "candidate").first()["candidate"]
+    return shaped, settings, table_, best
+
+
+@query(f"""WITH {_GRID_NB} SELECT i AS candidate, mean, std, i = (SELECT i FROM gr ORDER BY m DESC, i LIMIT 1) AS best FROM gr""")
+def classification_grid(spark, sf_dir):
+    """Nine smoothings by weighted F1 over five folds; the first of equals is best."""
+    _, _, table_, best = _nb_grid(spark, sf_dir)
+    return table_.select("candidate", rounded("mean").alias("mean"), rounded("std").alias("std"), (F.col("candidate") == best).alias("best"))
+
+
+@query(f"""WITH {_SHAPED}, best AS (SELECT i FROM (WITH own AS (SELECT k, id, label, x FROM folded, range(1, 6) r(k) WHERE fold <> k), held AS (SELECT fold AS k, id, label, x FROM folded),
+ {_nb_sql('own', 'held', _SMOOTH)}, {_CELL} SELECT i FROM me GROUP BY i ORDER BY round(avg(weighted_f1), 9) DESC, i LIMIT 1)),
+whole AS (SELECT 0 AS k, id, label, x FROM tr), tested AS (SELECT 0 AS k, id, label, {SHAPE} AS x FROM split_rows WHERE split = 'test'),
+{_nb_sql('whole', 'tested', _SMOOTH)}, {_CELL},
+b AS (UNPIVOT (SELECT accuracy, weighted_f1 FROM me WHERE i = 0) ON accuracy, weighted_f1 INTO NAME metric VALUE before),
+a AS (UNPIVOT (SELECT accuracy, weighted_f1 FROM me WHERE i = (SELECT i FROM best)) ON accuracy, weighted_f1 INTO NAME metric VALUE after)
+SELECT 'gaussian nb' AS model, metric, round(before, 6) AS before, round(after, 6) AS after, round(round(after, 6) - round(before, 6), 6) + 0.0 AS change,
+ CASE WHEN round(after, 6) = round(before, 6) THEN 'no change' WHEN after > before THEN 'yes' ELSE 'no' END AS improved FROM b JOIN a USING (metric)""")
+def classification_before_after(spark, sf_dir):
+    """Test scores of the baseline and of the refitted best setting."""
+    shaped, settings, _, best = _nb_grid(spark, sf_dir)
+    lines = {}
+    for name, setting in (("before", {}), ("after", settings[best])):
+        scores = _class_scores(_nb(setting)(side(shaped, "train"))(side(shaped, "test"))).select("accuracy", "weighted_f1")
+        lines[name] = round_columns(scores, ["accuracy", "weighted_f1"]).unpivot([], ["accuracy", "weighted_f1"], "metric", name)
+    both = lines["before"].join(lines["after"], "metric").select(F.lit("gaussian nb").alias("model"), "*", F.lit(True).alias("higher_is_better"))
+    return evaluate.before_after(both).withColumn("change", rounded("change"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -28,11 +31,16 @@ def local_session(app: str = "fieldloom", cores: str = "8", shuffle_partitions:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a private one only where none is set."""
+    """The shared folder named by the cluster; a private one only where none is set and all runs on one machine."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
-        root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fieldloom-ckpt-")
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if root is None:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            root = tempfile.mkdtemp(prefix="fieldloom-ckpt-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
         context.setCheckpointDir(root)
         current = context.getCheckpointDir()
     return current

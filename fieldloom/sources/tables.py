@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldloom.sources.contracts import Contract, ContractError
 
@@ -22,7 +23,18 @@ def scan_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """Typed scan; text may hold quoted line breaks and doubled quotes."""
     return (
         spark.read.schema(contract.schema).option("header", True).option("multiLine", True).option("quote", '"')
-        .option("escape", '"').option("enforceSchema", True).csv(path))
+        .option("escape", '"').option("enforceSchema", True).option("mode", "FAILFAST").csv(path))
+
+
+def malformed_rows(spark: SparkSession, path: str, contract: Contract, show: int = 3) -> list[str]:
+    """The first rows with a cell that does not fit its type, or with too many or too few cells, as they stand in the file."""
+    schema = StructType([*contract.schema.fields, StructField("_malformed", StringType())])
+    reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
+    rows = reader.option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_malformed").csv(path)
+    # All columns are read, since only cells that are parsed can be found wrong.
+    cells = F.struct(*[F.col(f"`{c}`") for c in contract.schema.names])
+    bad = rows.select(cells.alias("cells"), "_malformed").where(F.col("_malformed").isNotNull() & (F.hash("cells").isNotNull()))
+    return [r["_malformed"] for r in bad.limit(show).collect()]
 
 
 def csv_columns(spark: SparkSession, path: str) -> list[str]:
@@ -45,9 +57,16 @@ def violations(df: DataFrame, contract: Contract, columns: list[str] | None = No
 
 
 def load_raw(spark: SparkSession, contract: Contract, path: str, verify_checksum: bool = True) -> DataFrame:
-    """Scan a raw CSV file; any departure from the contract raises, nothing is corrected."""
+    """Scan a raw CSV file; any departure from the contract raises, nothing is corrected.
+
+    A malformed row is named in the error; the scan itself also fails on one, so a file
+    that changes in between does not slip through. One file is one task (quoted line
+    breaks), so files should be small.
+    """
     df = scan_csv(spark, path, contract)
     problems = violations(df, contract, csv_columns(spark, path), file_digests(spark, path) if verify_checksum else None)
+    if not problems and (bad := malformed_rows(spark, path, contract)):
+        problems.append(f"rows that do not fit the types: {bad}")
     if problems:
         raise ContractError(f"{path}: " + "; ".join(problems))
     return df

@@ -109,3 +109,28 @@ def test_overlap_and_digest(spark):
     assert split.id_list_digest(df, "id") == hashlib.sha256(b"2,3").hexdigest()
     with pytest.raises(ValueError):
         split.id_list_digest(df, "id", max_ids=1)
+
+
+@pytest.mark.parametrize("ids", [[1, 2, None, 4], [1, 2, 2, 4]])
+def test_row_keys_are_neither_null_nor_repeated(spark, ids):
+    df = spark.createDataFrame([(i, "a") for i in ids], "id long, label string")
+    for cut in (lambda d: split.train_test_split(d, "id", "label"), lambda d: split.kfold(d, "id", 2)):
+        with pytest.raises(ValueError):
+            cut(df)
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error(monkeypatch):
+    from fieldloom import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())

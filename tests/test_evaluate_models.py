@@ -113,7 +113,7 @@ def rows(spark, xy):
     x, y = xy
     df = spark.createDataFrame([(i, *map(float, r), float(t), Vectors.dense(r)) for i, (r, t) in enumerate(zip(x, y))],
                                ["id", "a", "b", "c", "y", "features"])
-    return split.kfold(df, "id").cache()
+    return split.kfold(df, "id").withColumn("split", F.lit("train")).cache()
 
 
 def closed_form(x, y, alpha):
@@ -180,7 +180,7 @@ def test_nomination_skips_twins_and_fixed_models(spark):
     cv = spark.createDataFrame([(m, {}, 1, "r2", v, None) for m, v in (("lin", .9), ("poly", .9), ("ridge", .8), ("tree", .7), ("knn", .6))], tune.SCORES)
     rows = {r["model"]: r for r in tune.nominate(cv, [("lin", "poly")], ["poly", "ridge", "tree", "knn"], "r2").collect()}
     assert [m for m in rows if rows[m]["nominated"]] == ["ridge", "tree"]
-    assert rows["lin"]["status"] == "no hyperparameters to tune" and "lin" in rows["poly"]["status"]
+    assert rows["lin"]["status"] == "nothing to tune" and rows["poly"]["status"] == "repeats lin"
 
 
 def test_search_spaces():
@@ -277,7 +277,7 @@ def test_gaussian_nb_matches_the_formula(spark):
     x = np.vstack([rng.normal(0, 1, (60, 3)), rng.normal(1, 2, (90, 3))])
     y = np.array([0] * 60 + [1] * 90)
     df = spark.createDataFrame([([float(v) for v in r], int(t)) for r, t in zip(x, y)], "x array<double>, y int")
-    model = bayes.fit_gaussian_nb(df, "x", "y", 1e-3)
+    model = bayes.fit_gaussian_nb(df, "x", "y", 1e-3, split=None)
     eps = 1e-3 * x.var(axis=0).max()
     score = np.array([np.log((y == c).mean()) - 0.5 * (np.log(2 * np.pi * (x[y == c].var(0) + eps))
                       + (x - x[y == c].mean(0)) ** 2 / (x[y == c].var(0) + eps)).sum(1) for c in (0, 1)]).T
@@ -287,39 +287,76 @@ def test_gaussian_nb_matches_the_formula(spark):
     assert np.array([r["probability"] for r in rows]) == pytest.approx(p / p.sum(1, keepdims=True))
 
 
-def test_whole_pipelines_and_recorded_results(spark):
-    from fieldloom.operators import features
-
+def test_whole_text_pipeline(spark):
     texts = [(f"not good {i} food", N) if i % 3 == 0 else (f"good tasty {i % 5} food", POS) for i in range(60)]
-    df = models.label_index(spark.createDataFrame(texts, "text string, label string"), "label", N)
-    features.register_feature(features.RegisteredFeature(
-        "classification", "length", ("n",), lambda d: {"n": F.length("text").cast("double")}, "long texts complain", "test"))
-    try:
-        fitted = models.classification_pipeline(models.logistic(60), "text", 50).fit(df)
-        results = evaluate.Results("classification")
-        row = results.record("logistic", fitted, df, "label")
-    finally:
-        features.unregister_feature("classification", "length")
-    assert row["accuracy"] == 1.0 and row["score_source"] == "probability"
-    assert sum(r["predicted_negative"] + r["predicted_positive"] for r in results.confusion["logistic"].collect()) == 60
-    assert results.table(spark).columns[:3] == ["rank", "model", "accuracy"]
+    df = models.label_index(spark.createDataFrame(texts, "text string, label string"), "label", N).withColumn("split", F.lit("train"))
+    fitted = models.classification_pipeline(models.logistic(60), "text", 50, user={"n": "CAST(length(text) AS DOUBLE)"}).fit(df)
+
+    def line(scored):
+        scored, _ = evaluate.positive_scores(scored)
+        named = scored.withColumn("said", F.when(F.col("prediction") == 1.0, N).otherwise(POS))
+        return evaluate.classification_metrics(named, "label", "said", "score")
+
+    table = evaluate.test_results({"logistic": fitted}, df, line, "weighted_f1")
+    assert table.columns[:3] == ["rank", "model", "accuracy"] and table.first()["accuracy"] == 1.0
+
+
+def test_recall_of_a_chosen_class(spark):
+    df = frame(spark, [N, N, N, POS], [N, POS, N, N], [1, 0, 1, 1])
+    assert evaluate.class_recall(df, "actual", "predicted", N).first()["recall"] == pytest.approx(2 / 3)
+    assert evaluate.class_recall(df, "actual", "predicted", POS).first()["recall"] == 0.0
 
 
 def test_regression_catalogue(spark):
     from fieldloom.operators import features
 
     rng = np.random.default_rng(4)
-    df = spark.createDataFrame([(float(a), "Yes" if b else "No", float(3 * a + 2 * b + rng.normal() / 10))
-                                for a, b in zip(rng.normal(size=200), rng.random(200) < 0.5)], "a double, k string, y double")
+    df = spark.createDataFrame([(float(a), "Yes" if b else "No", float(3 * a + 2 * b + rng.normal() / 10), "train")
+                                for a, b in zip(rng.normal(size=200), rng.random(200) < 0.5)], "a double, k string, y double, split string")
     ready = features.TabularPreprocessor(numeric=["a"], categorical=["k"]).fit(df).transform(df)
     facts = models.target_facts(ready, "y")
-    results = evaluate.Results("regression")
     catalogue = models.regression_catalogue(facts, gamma=0.5)
     assert len(catalogue) == 9 and len(models.classification_catalogue(10)) == 4
-    for name in ("linear", "polynomial", "tree", "svr"):
-        assert results.record(name, catalogue[name].fit(ready), ready, "y", ready)["r2"] > 0.95
-    assert results.table(spark).first()["r2_gap"] == 0.0
-    assert models.regression_pipeline(models.linear(facts), ["a"], ["k"]).fit(df).transform(df).count() == 200
+    fitted = {name: catalogue[name].fit(ready) for name in ("linear", "polynomial", "tree", "svr")}
+    table = evaluate.test_results(fitted, ready, lambda d: evaluate.regression_metrics(d, "y", "prediction"), "r2").collect()
+    assert [r["rank"] for r in table] == [1, 2, 3, 4] and min(r["r2"] for r in table) > 0.95
+    pipeline = models.regression_pipeline(models.linear(facts), ["a"], ["k"], user={"a2": "a * a"})
+    assert pipeline.fit(df).transform(df).count() == 200
+    assert models.feature_names(ready) == ["a", "k_Yes"]
+
+
+def test_preparation_is_learned_within_each_fold(rows):
+    learned, scored = [], []
+
+    def prepare(own):
+        centre = own.agg(F.avg("a")).first()[0]
+        learned.append((own.count(), centre))
+        return lambda df: df.withColumn("x", F.col("a") - F.lit(centre))
+
+    def make(setting):
+        def fit(own):
+            scored.append(own.agg(F.avg("x")).first()[0])
+            return lambda df: df.withColumn("prediction", F.lit(setting["value"]))
+        return fit
+
+    _, best, model = tune.grid_search(rows, "constant", make, {"value": [0.0, -90.0]}, lambda d: evaluate.regression_metrics(d, "y", "prediction"),
+                                      "rmse", prepare=prepare)
+    # Once per fold for both candidates, on 320 of 400 rows, and once more on all rows for the refit.
+    assert sorted(n for n, _ in learned) == [320] * 5 + [400] and len({c for _, c in learned}) == 6
+    assert np.abs(scored).max() < 1e-9 and "x" in model(rows).columns
+
+
+def test_depths_beyond_the_limit_are_no_silent_clamp():
+    assert models.tree_depth(None) == 30 and models.tree_depth(None, 12) == 12
+    with pytest.raises(ValueError):
+        models.tree_regressor(max_depth=31)
+    space = models.buildable(tune.CLASSIFICATION_SPACES["tree"])
+    assert space["max_depth"] == [5, 10, 20, 30] and len(tune.candidates(space)) == 32
+
+
+def test_coordinate_descent_says_when_it_did_not_settle():
+    with pytest.raises(RuntimeError):
+        gram._coordinate_descent(np.array([[1.0, 0.999], [0.999, 1.0]]), np.array([1.0, 0.5]), 0.0, 0.0, limit=2)
 
 
 def test_wide_and_narrow_sums_of_products_agree(rows, monkeypatch):

@@ -3,7 +3,6 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fieldloom.functions import scalars as S
@@ -27,7 +26,7 @@ def test_scaler_learns_from_train_only(spark):
 def test_fill_encode_and_reload(spark, tmp_path):
     df = spark.createDataFrame([(1.0, "Yes", "a"), (2.0, "No", "b"), (float("nan"), None, "it's"), (10.0, "No", "a"), (3.0, "No", None)],
                                "x double, yes string, k string")
-    model = P.TabularPreprocessor(numeric=["x"], categorical=["yes", "k"], scale=False).fit(df)
+    model = P.TabularPreprocessor(numeric=["x"], categorical=["yes", "k"], scale=False, splitCol="").fit(df)
     new = spark.createDataFrame([(None, "Yes", "unseen"), (5.0, None, "it's")], "x double, yes string, k string")
     # Median 2.5; Yes = 1 in the only column of a two-level category; unknown levels set nothing.
     expected = [[2.5, 1.0, 0.0, 0.0, 0.0], [5.0, 0.0, 0.0, 0.0, 1.0]]
@@ -41,7 +40,7 @@ def test_fill_encode_and_reload(spark, tmp_path):
 
 def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "x double")
-    known = P.learn(df, ["x"])
+    known = P.learn(df, ["x"], split=None)
     assert [r[0] for r in df.select(known.standardised("x")).collect()] == [0.0, 0.0]
 
 
@@ -51,42 +50,43 @@ def test_polynomial_sizes():
     assert len(P.polynomial_terms(names, 2, interaction_only=True)) == 15
 
 
-def test_feature_registry(spark):
-    df = spark.createDataFrame([(1.0,), (2.0,)], "a double")
-    step = P.AddRegisteredFeatures(track="regression")
-    assert step.transform(df).columns == ["a"]
-    feature = P.RegisteredFeature("regression", "a_x2", ("a_x2",), lambda d: {"a_x2": 2 * F.col("a")}, "doubles", "me")
-    P.register_feature(feature)
-    try:
-        assert [r["a_x2"] for r in step.transform(df).collect()] == [2.0, 4.0]
-        assert P.status()["regression"]["complete"] and not P.status()["classification"]["complete"]
-        with pytest.raises(ValueError):
-            P.register_feature(feature)
-    finally:
-        P.unregister_feature("regression", "a_x2")
+def test_user_columns(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, "x"), (2.0, "selected")], "a double, s string")
+    assert P.UserColumns().transform(df).columns == ["a", "s"]
+    step = P.UserColumns(expressions={"a_x2": "2 * a", "both": "a_x2 + a", "flag": "s = 'select'"})
+    assert [(r["a_x2"], r["both"], r["flag"]) for r in step.transform(df).collect()] == [(2.0, 3.0, False), (4.0, 6.0, False)]
+    step.write().overwrite().save(str(tmp_path / "u"))
+    assert P.UserColumns.load(str(tmp_path / "u")).transform(df).columns == ["a", "s", "a_x2", "both", "flag"]
+
+
+@pytest.mark.parametrize("text", ["a - avg(a) OVER ()", "explode(array(a))", "sum(a)", "(SELECT 1)", "nowhere + 1"])
+def test_user_columns_must_be_row_wise(spark, text):
+    with pytest.raises(ValueError):
+        P.UserColumns(expressions={"b": text}).transform(spark.createDataFrame([(1.0,)], "a double"))
+
+
+def test_user_columns_must_be_new(spark):
     with pytest.raises(ValueError):
-        P.register_feature(P.RegisteredFeature("other", "x", (), lambda d: {}, "", ""))
+        P.UserColumns(expressions={"a": "2 * a"}).transform(spark.createDataFrame([(1.0,)], "a double"))
+
 
+def test_levels_of_any_type_and_spelling(spark):
+    df = spark.createDataFrame([(1, "St. A"), (2, "b`c"), (3, "St. A"), (None, None)], "n int, place string")
+    out = P.TabularPreprocessor(categorical=["n", "place"], splitCol="").fit(df).transform(df)
+    assert [r["features"].toArray().tolist() for r in out.collect()] == [[1, 0, 0, 0], [0, 1, 0, 1], [0, 0, 1, 0], [1, 0, 0, 0]]
 
-@pytest.mark.parametrize("make", [
-    lambda: F.col("a") - F.avg("a").over(W.partitionBy()), lambda: F.explode(F.array("a")), lambda: F.sum("a"),
-])
-def test_features_must_be_row_wise(spark, make):
-    df = spark.createDataFrame([(1.0,), (2.0,)], "a double")
-    assert P.is_row_wise(df, [(F.col("a") * 2).alias("b")])
-    try:
-        assert not P.is_row_wise(df, [make().alias("b")])
-    except Exception as e:  # an aggregate without grouping is refused by the analyser itself
-        assert "GROUP" in str(e).upper()
+
+def test_rows_must_be_known_to_be_training_rows(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    with pytest.raises(P.LeakageError):
+        P.learn(df, ["x"])
+    assert P.learn(df, ["x"], split=None).medians == {"x": 1.5}
 
 
-def test_wrong_columns_are_refused(spark):
-    P.register_feature(P.RegisteredFeature("regression", "bad", ("x",), lambda d: {"y": F.col("a")}, "", ""))
-    try:
-        with pytest.raises(ValueError):
-            P.AddRegisteredFeatures(track="regression").transform(spark.createDataFrame([(1.0,)], "a double"))
-    finally:
-        P.unregister_feature("regression", "bad")
+def test_numbers_with_type_suffixes_are_text(spark):
+    texts = ["5", " 5.5 ", "5d", "1F", "2L", "1e3", "-.5", "5.", "inf", "nan", "0x1", "", None, "1_0"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(S.to_number("t")).collect()]
+    assert got == [5.0, 5.5, None, None, None, 1000.0, -0.5, 5.0, math.inf, None, None, None, None, None]
 
 
 def test_scalars(spark):
@@ -128,7 +128,7 @@ def numpy_tfidf(texts):
 def test_tfidf_equals_the_formula_and_keeps_negations(spark, tmp_path):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
     vocab, expected = numpy_tfidf(TEXTS)
-    model = tfidf.Tfidf(maxFeatures=100).fit(df)
+    model = tfidf.Tfidf(maxFeatures=100, splitCol="").fit(df)
     assert model.getOrDefault("vocabulary") == vocab and {"not", "no"} <= set(vocab)
     for r in model.transform(df).collect():
         got = {vocab[i]: v for i, v in zip(r["features"].indices, r["features"].values)}

@@ -83,7 +83,7 @@ def test_split_table_round_trip(spark, tmp_path):
 def test_saved_and_refitted_models_agree(spark, tmp_path):
     df = spark.createDataFrame([(i, float(i), float(i % 7), "Yes" if i % 2 else "No", 3.0 * i - i % 7) for i in range(100)],
                                "id long, a double, b double, k string, y double")
-    pipeline = Pipeline(stages=[features.TabularPreprocessor(numeric=["a", "b"], categorical=["k"]),
+    pipeline = Pipeline(stages=[features.TabularPreprocessor(numeric=["a", "b"], categorical=["k"], splitCol=""),
                                 models.linear({"p": 3})])
     model = pipeline.fit(df)
     artifacts.save_model(model, str(tmp_path / "m"))
@@ -99,7 +99,7 @@ def test_stream_scoring(spark, tmp_path):
     from fieldloom.streaming import score_stream
 
     df = spark.createDataFrame([(float(i), 2.0 * i) for i in range(20)], "a double, y double")
-    model = Pipeline(stages=[features.TabularPreprocessor(numeric=["a"]), models.linear({"p": 1})]).fit(df)
+    model = Pipeline(stages=[features.TabularPreprocessor(numeric=["a"], splitCol=""), models.linear({"p": 1})]).fit(df)
     df.write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
     q = score_stream(stream, model).select("y", "prediction").writeStream.format("memory").queryName("scored").option(
@@ -110,3 +110,13 @@ def test_stream_scoring(spark, tmp_path):
     assert len(rows) == 20 and all(abs(r["y"] - r["prediction"]) < 1e-6 for r in rows)
     with pytest.raises(ValueError):
         score_stream(df, model)
+
+
+def test_malformed_cells_are_named(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("id,score\n1,2.5\noops,Like\n3,4.0\n")
+    contract = Contract("bad", "bad.csv", "regression", T.StructType([T.StructField("id", T.IntegerType()), T.StructField("score", T.DoubleType())]))
+    with pytest.raises(ContractError, match="oops"):
+        tables.load_raw(spark, contract, str(path), verify_checksum=False)
+    path.write_text("id,score\n1,2.5\n,\n3,4.0\n")
+    assert [tuple(r) for r in tables.load_raw(spark, contract, str(path), verify_checksum=False).collect()] == [(1, 2.5), (None, None), (3, 4.0)]
