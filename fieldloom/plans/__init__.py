@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("profiling", "cleaning", "splitting", "preparation", "text", "evaluation", "modelling", "tuning")
+MODULES = ("profiling", "cleaning", "splitting", "preparation", "text", "evaluation", "modelling", "tuning", "storage")
 
 
 def load_all():
