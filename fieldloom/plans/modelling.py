@@ -270,6 +270,15 @@ def knn_text(spark, sf_dir):
     return found.where(F.col("rank") == 1).select("query_id", rounded("distance", 5).alias("nearest_distance"))
 
 
+@query(f"""WITH {_text_found(WEIGHTS_SQL)} SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) AS INT) AS rank, round(d, 3) AS distance
+ FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) <= 5""")
+def knn_text_distances(spark, sf_dir):
+    """All five distances; which of equally distant texts stands where is left to rounding, so ids are left out."""
+    parts, size = _texts(spark, sf_dir, CAP)
+    found = knn.neighbours(side(parts, "test"), side(parts, "train").withColumn("payload", F.col("label")), 5, "euclidean", size)
+    return found.select("query_id", "rank", rounded("distance", 3).alias("distance"))
+
+
 # Vocabulary of 40 terms; a text is empty when it has no weight.
 @query(f"""WITH {_text_found(weights_sql(40))}, f AS (SELECT query_id, train_id FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) <= 5),
 e AS (SELECT query_id, max((NOT EXISTS (SELECT 1 FROM norm WHERE norm.id = f.train_id))::INT) AS a, min((NOT EXISTS (SELECT 1 FROM norm WHERE norm.id = f.train_id))::INT) AS b

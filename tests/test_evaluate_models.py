@@ -368,3 +368,17 @@ def test_wide_and_narrow_sums_of_products_agree(rows, monkeypatch):
     for f in wide:
         assert wide[f].products == pytest.approx(narrow[f].products, rel=1e-9, abs=1e-6)
     assert gram.grams(rows, ["a", "b", "c"], "y")[None].products == pytest.approx(whole[None].products, rel=1e-9, abs=1e-6)
+
+
+def test_approximate_neighbours_find_most(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 8)) * 10
+    points = (centres[:, None, :] + rng.normal(size=(40, 20, 8)) * 0.3).reshape(-1, 8)
+    df = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(points)], ["id", "features"])
+    got = knn.approximate_neighbours(df.where("id % 20 = 0"), df.where("id % 20 > 0"), 5, radius=4.0, bucket=4.0).collect()
+    hits = 0
+    for q in range(0, len(points), 20):
+        d = np.linalg.norm(points - points[q], axis=1)
+        want = [i for i in np.argsort(d, kind="stable") if i % 20][:5]
+        hits += len(set(want) & {r["train_id"] for r in got if r["query_id"] == q})
+    assert hits >= 0.9 * 200
