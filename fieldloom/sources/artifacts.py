@@ -30,8 +30,9 @@ def save_table(df: DataFrame, root: str, name: str, mode: str | None = None) ->
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
+    """A stored result table under ``schema``; without one every column is text, since nothing is guessed from the cells."""
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def save_search(table: DataFrame, root: str, name: str, mode: str | None = None) -> str:

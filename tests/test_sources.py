@@ -69,7 +69,7 @@ def test_provenance(spark, small, tmp_path):
 def test_result_tables_and_run_mode(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([("a", 0.5)], "model string, r2 double")
     path = artifacts.save_table(df, str(tmp_path), "t", "dev")
-    assert path.endswith("t_dev") and artifacts.read_table(spark, path).collect() == df.collect()
+    assert path.endswith("t_dev") and artifacts.read_table(spark, path, df.schema).collect() == df.collect()
     with pytest.raises(ValueError):
         artifacts.suffix("other")
 
