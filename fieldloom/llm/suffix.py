@@ -43,7 +43,7 @@ from fieldloom.llm.substring import bucket_count
 from fieldloom.session import materialise
 
 #: Bytes of a chunk and of text for each bucket, segments for each shard and for one transform: all for bounded memory.
-CHUNK_BYTES, BUCKET_BYTES, SHARD_SEGMENTS, COLLECTION = 8_000_000, 40_000_000, 16_384, 1_024
+CHUNK_BYTES, BUCKET_BYTES, SHARD_SEGMENTS, COLLECTION = 2_000_000, 16_000_000, 16_384, 384
 GRAM = 32
 LANES = [np.uint64, np.uint8]
 REPLY = "chunk long, kind int, ids binary, texts binary, counts binary, gaps binary, far binary, hashes binary, lanes binary"
