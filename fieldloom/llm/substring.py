@@ -31,7 +31,7 @@ from fieldloom.llm.common import merge_intervals, text_key, utf8_texts
 from fieldloom.session import materialise
 
 #: Words of a chunk and UTF-8 bytes of text for each bucket, both for bounded memory.
-CHUNK_WORDS, BUCKET_BYTES, MEMO = 2_000_000, 12_000_000, 1 << 18
+CHUNK_WORDS, BUCKET_BYTES, MEMO = 500_000, 5_000_000, 1 << 17
 _BASES = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -93,13 +93,14 @@ def _send(width: int, buckets: int):
             if len(words) < width:
                 continue
             begin = np.cumsum(sizes) - sizes
-            doc = np.repeat(np.arange(len(sizes)), np.maximum(0, sizes - width + 1))
-            place = np.arange(len(doc)) - np.repeat(np.cumsum(np.maximum(0, sizes - width + 1)) - np.maximum(0, sizes - width + 1), np.maximum(0, sizes - width + 1))
+            windows = np.maximum(0, sizes - width + 1)
+            doc = np.repeat(np.arange(len(sizes), dtype=np.int32), windows)
             if not len(doc):
                 continue
+            place = (np.arange(len(doc)) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
             at = begin[doc] + place
             keys = rolled(words, width, _BASES[0])[at]
-            bucket = (rolled(words, width, _BASES[1])[at] >> np.uint64(20)) % np.uint64(buckets)
+            bucket = ((rolled(words, width, _BASES[1])[at] >> np.uint64(20)) % np.uint64(buckets)).astype(np.uint32)
             together, first = packed.runs(keys)
             low = ids[doc[np.minimum.reduceat(together, first)]]
             late = np.zeros(len(keys), bool)
