@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from fieldloom.functions.scalars import order_hash
 from fieldloom.operators import bayes, evaluate, features, gram, knn, models, split, tfidf, tune
-from fieldloom.plans.evaluation import METRIC_NAMES, _CELLS, _METRICS, _auc_sql
+from fieldloom.plans.evaluation import METRIC_NAMES
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded, table
 from fieldloom.plans.splitting import split_lines, split_sql

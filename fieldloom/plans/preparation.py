@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.operators import features as P
 from fieldloom.plans.registry import query, round_columns, rounded, table
-from fieldloom.plans.splitting import LINES_SQL, lines, quantile_bins_sql, split_sql, split_lines
+from fieldloom.plans.splitting import LINES_SQL, quantile_bins_sql, split_sql, split_lines
 from fieldloom.session import materialise
 
 SPLIT_SQL = f"{LINES_SQL}, {quantile_bins_sql('lines', 'y', 10)}, {split_sql('binned', 'bin')}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldloom.operators import bayes, evaluate, features, gram, models, split, tune
-from fieldloom.plans.modelling import NUMERIC, prepared, side
+from fieldloom.plans.modelling import NUMERIC, side
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded
 from fieldloom.plans.splitting import kfold_sql, split_lines
