@@ -47,6 +47,13 @@ def merge_intervals(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, n
     return starts[first], ends[last]
 
 
+def lowest_hashes(df: DataFrame, column: str, seed: int, share: float) -> DataFrame:
+    """The rows whose hash lies in the lowest ``share`` of all hashes: a sample that no task has to send beyond its part."""
+    if share >= 1:
+        return df
+    return df.where(F.xxhash64(column, F.lit(seed)) < F.lit(int(share * 2**64) - 2**63))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (src, dst), component = smallest reachable node.
 

@@ -4,7 +4,7 @@ A pair within ``max_bits`` of 64 bits differs by at most max_bits / blocks bits,
 ``blocks`` equal parts of the fingerprint, and the Hamming distance on a part is a metric of its own. So
 each part gets a tree, searched with the smaller radius: with 3 bits and 2 parts the radius is 1.
 
-* The upper levels are grown from a bounded sample of distinct fingerprints (``SAMPLE``, by hash order). The
+* The upper levels are grown from a sample of about ``SAMPLE`` distinct fingerprints, by their hashes. The
   sample shapes the shards only, never the result. Each fingerprint goes home to one leaf and visits every
   other leaf that the triangle bound cannot exclude (the leaves whose boundary its ball overlaps).
 * Each shard grows its own tree below that, prunes the same way, and compares whole fingerprints exactly.
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import connected_components, text_key, utf8_texts
+from fieldloom.llm.common import connected_components, lowest_hashes, text_key, utf8_texts
 from fieldloom.session import materialise
 
 #: Fingerprints whose shape the upper levels follow, and those wanted in a shard.
@@ -168,8 +168,9 @@ def near_links(nodes: DataFrame, max_bits: int = 3, blocks: int = 2) -> DataFram
     spark, radius, width = nodes.sparkSession, max_bits // blocks, 64 // blocks
     masks = [np.uint64(((1 << width) - 1) << (width * i)) for i in range(blocks)]
     masks[-1] |= np.uint64((1 << 64) - (1 << (width * blocks)))  # what the division left over
-    sample = np.array([r["fp"] for r in nodes.select("fp").orderBy(F.xxhash64("fp", F.lit(7))).limit(SAMPLE).collect()], np.int64).view(np.uint64)
-    depth = max(0, math.ceil(math.log2(max(1, nodes.count()) / SHARD)))
+    total = max(1, nodes.count())
+    sample = np.array([r["fp"] for r in lowest_hashes(nodes.select("fp"), "fp", 7, SAMPLE / total).collect()], np.int64).view(np.uint64)
+    depth = max(0, math.ceil(math.log2(total / SHARD)))
     trees = spark.sparkContext.broadcast([grow(np.unique(sample & m), depth, np.random.default_rng(i)) for i, m in enumerate(masks)])
 
     def place(batches):
