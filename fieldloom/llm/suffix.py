@@ -14,10 +14,15 @@ strings are short pieces, dealt to shards so that equal substrings meet:
    is sent, with its bytes, to a shard of its anchor.
 3. The shard builds the transform of its segments. Suffixes of ``width`` bytes and more then stand in order, the
    common prefixes of neighbours delimit the classes of equal windows, and the earliest window of a class stays.
-4. Intervals from 2 and 3 are merged by document and meet the texts.
+4. An anchor with more than ``COLLECTION`` contents (text that very many documents share, each among words of its
+   own) goes to no shard. Its windows are dealt one by one as in step 2, named by 128 bits of BLAKE2b; of equal
+   names a chunk sends the earliest only. Anchors that a sample of the documents shows as common are dealt by
+   content in step 2 already, so that no bucket holds all of one anchor.
+5. Intervals from 2, 3 and 4 are merged by document and meet the texts.
 
-The transform and its arrays are read and written in order, but kept in the memory of the task: a shard is
-bounded (``COLLECTION`` segments at a time), so no file outside the shared folder is needed.
+The transform and its arrays are read and written in order, but kept in the memory of the task: a collection has
+at most ``COLLECTION`` segments and a shard whole anchors of at most so many, so no file outside the shared folder
+is needed.
 
 Cases: NULL and empty texts have no bytes; texts shorter than ``width`` lose nothing; a row with a NULL id is kept
 whole and removes nothing elsewhere; rows with one id and equal text are one document, those with one id and
@@ -44,10 +49,14 @@ from fieldloom.session import materialise
 
 #: Bytes of a chunk and of text for each bucket, segments for each shard and for one transform: all for bounded memory.
 CHUNK_BYTES, BUCKET_BYTES, SHARD_SEGMENTS, COLLECTION = 2_000_000, 16_000_000, 16_384, 384
+#: One document of so many is looked at for common anchors; how often an anchor must occur there, and how many are listed.
+SAMPLE, COMMON, LISTED = 64, 64, 50_000
+#: Windows of common anchors in a chunk and for each bucket.
+CHUNK_WINDOWS, BUCKET_WINDOWS = 500_000, 400_000
 GRAM = 32
 LANES = [np.uint64, np.uint8]
 REPLY = "chunk long, kind int, ids binary, texts binary, counts binary, gaps binary, far binary, hashes binary, lanes binary"
-KNOWN, ASKED = 1, 2
+KNOWN, ASKED, SPREAD = 1, 2, 3
 _BYTE = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=8).digest(), "little") | 1 for b in range(256)], np.uint64)
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
 _TURN = 0xD6E8FEB86659FD93
@@ -108,7 +117,43 @@ def segments(data: np.ndarray, sizes: np.ndarray, width: int, gram: int = GRAM):
     return doc, begin - (ends - sizes)[doc], span.astype(np.uint8), hashes[anchor], digest
 
 
-def _send(width: int, buckets: int):
+def _common_anchors(rows: DataFrame, width: int) -> np.ndarray:
+    """The most frequent anchors of a sample of the documents, ascending; they shape the exchange and never the result."""
+
+    def run(batches):
+        for b in batches:
+            texts = [t for t in utf8_texts(b["text"]) if len(t) >= width]
+            if texts:
+                _, _, _, key, _ = _long_segments(texts, width)
+                found, n = np.unique(key.view(np.int64), return_counts=True)
+                yield pa.record_batch([pa.array(found), pa.array(n)], names=["anchor", "n"])
+
+    sample = rows.where(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SAMPLE)) == 0)).select("text")
+    counts = sample.mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    listed = [r["anchor"] for r in counts.orderBy(F.col("n").desc(), "anchor").limit(LISTED).collect()]
+    return np.sort(np.array(listed, np.int64).view(np.uint64))
+
+
+def _chunk_rows(chunk: int, buckets: int, ids, keys, doc, start, span, key, digest, dealt) -> list[dict]:
+    """Packed rows of a chunk: equal entries but the earliest as KNOWN, the others for the bucket that ``dealt`` tells."""
+    # Documents and starts ascend, so the least number of a run is its earliest segment.
+    together, first = packed.runs(key * np.uint64(_BASE) + digest)
+    least = np.empty(len(key), np.int64)
+    least[together] = np.repeat(np.minimum.reduceat(together, first), packed.run_lengths(first, len(key)))
+    late = (ids[doc] != ids[doc[least]]) | (keys[doc] != keys[doc[least]]) | (start != start[least])
+    rows = []
+    if late.any():
+        rows.append(packed.pack(int(chunk % buckets), chunk, KNOWN, ids, keys, doc[late], start[late], None, [span[late]]))
+    kept = np.flatnonzero(~late)
+    bucket = (dealt[kept] >> np.uint64(24)) % np.uint64(buckets)
+    for k, own in enumerate(packed.by_bucket(bucket, buckets)):
+        if len(own):
+            e = kept[own]
+            rows.append(packed.pack(k, chunk, 0, ids, keys, doc[e], start[e], key[e], [digest[e], span[e]]))
+    return rows
+
+
+def _send(width: int, buckets: int, common: np.ndarray):
     def chunks(batches):
         ids, keys, texts, size = [], [], [], 0
         for b in batches:
@@ -135,20 +180,7 @@ def _send(width: int, buckets: int):
             doc, start, span, key, digest = _long_segments(texts, width)
             if not len(doc):
                 continue
-            # Documents and starts ascend, so the least number of a run is its earliest segment.
-            together, first = packed.runs(key * np.uint64(_BASE) + digest)
-            least = np.empty(len(key), np.int64)
-            least[together] = np.repeat(np.minimum.reduceat(together, first), packed.run_lengths(first, len(key)))
-            late = (ids[doc] != ids[doc[least]]) | (keys[doc] != keys[doc[least]]) | (start != start[least])
-            rows = []
-            if late.any():
-                rows.append(packed.pack(int(chunk % buckets), chunk, KNOWN, ids, keys, doc[late], start[late], None, [span[late]]))
-            kept = np.flatnonzero(~late)
-            bucket = (key[kept] >> np.uint64(24)) % np.uint64(buckets)
-            for k, own in enumerate(packed.by_bucket(bucket, buckets)):
-                if len(own):
-                    e = kept[own]
-                    rows.append(packed.pack(k, chunk, 0, ids, keys, doc[e], start[e], key[e], [digest[e], span[e]]))
+            rows = _chunk_rows(chunk, buckets, ids, keys, doc, start, span, key, digest, np.where(np.isin(key, common), digest, key))
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
     return run
@@ -168,8 +200,44 @@ def _long_segments(texts: list[bytes], width: int):
     return [np.concatenate(c) for c in zip(*found)]
 
 
-def _settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: equal segments but the earliest (KNOWN), and what only a comparison of bytes can tell (ASKED)."""
+def _send_windows(width: int, buckets: int):
+    """Windows of the segments (doc_id, text_key, text, parts), each an entry of its own, named by 128 bits."""
+
+    def documents(batches):
+        for b in batches:
+            for doc, key, text, parts in zip(b["doc_id"].to_pylist(), b["text_key"].to_pylist(), utf8_texts(b["text"]), b["parts"].to_pylist()):
+                start, span = (np.frombuffer(b"".join(p[c] for p in parts), t).astype(np.int64) for c, t in (("start", np.int32), ("span", np.uint8)))
+                first = np.cumsum(span + 1) - span - 1
+                at = np.sort(np.arange((span + 1).sum()) + np.repeat(start - first, span + 1))
+                yield doc, key, at, b"".join(hashlib.blake2b(text[x: x + width], digest_size=16).digest() for x in at.tolist())
+
+    def chunks(batches):
+        held, size = [], 0
+        for d in documents(batches):
+            if held and size + len(d[2]) > CHUNK_WINDOWS:
+                yield held
+                held, size = [], 0
+            held.append(d)
+            size += len(d[2])
+        if held:
+            yield held
+
+    def run(batches):
+        part = TaskContext.get().partitionId()
+        for number, held in enumerate(chunks(batches)):
+            held.sort(key=lambda d: d[:2])
+            ids, keys = np.array([d[0] for d in held], np.int64), np.array([d[1] for d in held], np.int64)
+            doc, start = np.repeat(np.arange(len(held)), [len(d[2]) for d in held]), np.concatenate([d[2] for d in held])
+            names = np.frombuffer(b"".join(d[3] for d in held), np.uint64).reshape(-1, 2)
+            key, digest = names[:, 0].copy(), names[:, 1].copy()
+            rows = _chunk_rows((part << 20) + number, buckets, ids, keys, doc, start, np.zeros(len(doc), np.uint8), key, digest, key)
+            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+
+    return run
+
+
+def _settled(rows: pd.DataFrame, common: np.ndarray) -> pd.DataFrame:
+    """Of one bucket: equal segments but the earliest (KNOWN), and what only the bytes can tell, by transforms (ASKED) or by windows (SPREAD)."""
     out = [r._asdict() | {"hashes": b""} for r in rows[rows["kind"] == KNOWN].drop(columns="bucket").itertuples(index=False)]
     parts = [(r.chunk, *packed.unpack(r), *(packed.lane(r, k, LANES) for k in range(2))) for r in rows[rows["kind"] == 0].itertuples(index=False)]
     if parts:
@@ -190,11 +258,12 @@ def _settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         late = np.zeros(len(ids), bool)
         late[order] = (ids[order] != ids[lead]) | (texts[order] != texts[lead]) | (place[order] != place[lead])
         kinds = np.add.reduceat(new, np.flatnonzero(new_key))[np.cumsum(new_key) - 1]
-        asked = np.zeros(len(ids), bool)
-        asked[order] = new & (kinds > 1)
+        wide = np.isin(k, common) | (kinds > COLLECTION)
+        asked, spread = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+        asked[order], spread[order] = new & (kinds > 1) & ~wide, new & wide
         at = 0
         for chunk, names, keys_, doc, place, hashes, _, span in parts:
-            for kind, own in ((KNOWN, late[at: at + len(doc)]), (ASKED, asked[at: at + len(doc)])):
+            for kind, own in ((KNOWN, late[at: at + len(doc)]), (ASKED, asked[at: at + len(doc)]), (SPREAD, spread[at: at + len(doc)])):
                 if own.any():
                     more = (hashes[own] if kind == ASKED else None, [span[own]])
                     row = packed.pack(0, chunk, kind, names, keys_, doc[own], place[own], *more)
@@ -204,6 +273,13 @@ def _settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=[c.split()[0] for c in REPLY.split(", ")])
 
 
+def _settle(common: np.ndarray):
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _settled(rows, common)
+
+    return run
+
+
 def _by_document(rows: pd.DataFrame, lanes: list):
     """For each document of a chunk's replies: id, text key, starts, hashes and lanes."""
     parts = [(*packed.unpack(r), *(packed.lane(r, k, lanes) for k in range(len(lanes)))) for r in rows.itertuples(index=False)]
@@ -240,12 +316,14 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     m = len(strings)
     sizes = np.array([len(s) for s in strings])
     longest = int(sizes.max())
+    if longest > 1023 or int(sizes.sum()) >= 1 << 31:
+        raise OverflowError(f"{m} strings of up to {longest} bytes are beyond one transform")
     table = np.frombuffer(b"".join(s.rjust(longest, b"\0") for s in strings), np.uint8).reshape(m, longest)
     used = np.unique(np.frombuffer(b"".join(strings), np.uint8))
     code = np.zeros(256, np.uint16 if len(used) > 255 else np.uint8)
     code[used] = np.arange(1, len(used) + 1)
     columns = np.ascontiguousarray(code[table].T)
-    symbols, names = np.zeros(m, code.dtype), np.full(m, -1, np.int32)
+    symbols, names = np.zeros(m, code.dtype), np.full(m, -1, np.int64)
     place = np.arange(m)
     for t in range(1, longest + 1):
         active = np.flatnonzero(sizes >= t)
@@ -256,7 +334,7 @@ def transform(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         new = rank[place[active]] - np.count_nonzero(symbols == 0) + m
         old = np.ones(len(symbols) + len(active), bool)
         old[new] = False
-        wider, called = np.zeros(len(old), code.dtype), np.empty(len(old), np.int32)
+        wider, called = np.zeros(len(old), code.dtype), np.empty(len(old), np.int64)
         wider[old], called[old] = symbols, names
         called[new] = active * 1024 + t
         symbols, names = wider, called
@@ -295,11 +373,14 @@ def _compare(width: int):
         rows = rows.sort_values(["anchor", "doc_id", "text_key", "start"], kind="stable").reset_index(drop=True)
         anchors = rows["anchor"].to_numpy()
         first = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
-        # A collection ends at the first anchor that begins past its size; one anchor's segments stay together.
-        cuts = [0]
-        for b in [*first[1:].tolist(), len(rows)]:
-            if b - cuts[-1] >= COLLECTION or b == len(rows):
-                cuts.append(b)
+        # A collection ends before the anchor that would pass its size; one anchor's segments stay together.
+        cuts, ends = [0], [*first[1:].tolist(), len(rows)]
+        for a, b in zip(first.tolist(), ends):
+            if b - a > COLLECTION:
+                raise OverflowError(f"{b - a} segments of one anchor in a transform")
+            if b - cuts[-1] > COLLECTION:
+                cuts.append(a)
+        cuts.append(len(rows))
         data, start, found = rows["data"].tolist(), rows["start"].to_numpy(np.int64), []
         for a, b in zip(cuts[:-1], cuts[1:]):
             # Rows ascend within an anchor, and equal windows lie in one anchor's rows, so the row number ranks them.
@@ -323,15 +404,23 @@ def repeated_intervals(docs: DataFrame, width: int = 100) -> DataFrame:
     if not GRAM < width <= GRAM + 255:
         raise ValueError(f"width must be above {GRAM} and at most {GRAM + 255}")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), "text")
-    sent = rows.mapInArrow(_send(width, bucket_count(docs, BUCKET_BYTES)), packed.SCHEMA)
-    settled = materialise(sent.groupBy("bucket").applyInPandas(_settle, REPLY))
+    common = _common_anchors(rows, width)
+    sent = rows.mapInArrow(_send(width, bucket_count(docs, BUCKET_BYTES), common), packed.SCHEMA)
+    settled = materialise(sent.groupBy("bucket").applyInPandas(_settle(common), REPLY))
     schema = "doc_id long, text_key long, starts binary, ends binary"
     known = settled.where(F.col("kind") == KNOWN).groupBy("chunk").applyInPandas(_known(width), schema)
     entries = settled.where(F.col("kind") == ASKED)
-    asked = entries.groupBy("chunk").applyInPandas(_asked, "_id long, _key long, start binary, anchor binary, span binary")
-    asked = asked.groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "anchor", "span")).alias("parts"))
     shards = max(1, math.ceil((entries.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0) / 8 / SHARD_SEGMENTS))
 
+    def segments_of(kind: int) -> DataFrame:
+        """The texts with places, anchors and spans of their segments of this kind."""
+        asked = settled.where(F.col("kind") == kind).groupBy("chunk").applyInPandas(_asked, "_id long, _key long, start binary, anchor binary, span binary")
+        asked = asked.groupBy("_id", "_key").agg(F.collect_list(F.struct("start", "anchor", "span")).alias("parts"))
+        return (
+            rows.join(asked, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key"))).dropDuplicates(["_id", "_key"])
+            .select("doc_id", "text_key", "text", "parts")
+        )
+
     def cut(batches):
         for b in batches:
             out = []
@@ -344,14 +433,15 @@ def repeated_intervals(docs: DataFrame, width: int = 100) -> DataFrame:
             types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=["shard", "anchor", "doc_id", "text_key", "start", "data"])
 
-    pieces = (
-        rows.join(asked, (F.col("doc_id") == F.col("_id")) & (F.col("text_key") == F.col("_key"))).dropDuplicates(["_id", "_key"])
-        .select("doc_id", "text_key", "text", "parts")
-        .mapInArrow(cut, "shard int, anchor long, doc_id long, text_key long, start int, data binary")
-    )
+    pieces = segments_of(ASKED).mapInArrow(cut, "shard int, anchor long, doc_id long, text_key long, start int, data binary")
     compared = pieces.groupBy("shard").applyInPandas(_compare(width), schema)
-    both = known.union(compared).groupBy("doc_id", "text_key").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
-    return both
+    found = known.union(compared)
+    spread = settled.where(F.col("kind") == SPREAD).agg(F.sum(F.octet_length("gaps"))).first()[0] or 0
+    if spread:
+        buckets = math.ceil(spread * (width - GRAM + 1) / BUCKET_WINDOWS)
+        named = segments_of(SPREAD).mapInArrow(_send_windows(width, buckets), packed.SCHEMA).groupBy("bucket").applyInPandas(_settle(np.zeros(0, np.uint64)), REPLY)
+        found = found.union(named.where(F.col("kind") == KNOWN).groupBy("chunk").applyInPandas(_known(width), schema))
+    return found.groupBy("doc_id", "text_key").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
 
 
 def removed_spans(starts: list[bytes] | None, ends: list[bytes] | None) -> list[tuple[int, int]]:

@@ -142,6 +142,25 @@ def test_substrings_tables(spark, sf, monkeypatch):
     assert suffix.dedup_substrings(docs.where("false")).count() == 0
 
 
+def test_one_passage_in_many_documents(spark, monkeypatch):
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage, tail = some(160), some(100)
+    rows = [(i, some(rng.randint(40, 80)) + passage + (tail if i % 3 else "") + some(60)) for i in range(900)] + [(None, some(50) + passage), (5, some(70) + passage), (7, passage)]
+    rows += [rows[11], rows[12]]
+    docs, want = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), ordered(brute.substrings(rows))
+    compare, most = suffix.late_windows, suffix.COLLECTION
+
+    def bounded(strings, before, width):
+        assert len(strings) <= most
+        return compare(strings, before, width)
+
+    monkeypatch.setattr(suffix, "late_windows", bounded)
+    for sample in (64, 1):
+        monkeypatch.setattr(suffix, "SAMPLE", sample, raising=False)
+        assert rows_of(suffix.dedup_substrings(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
 def test_transform_orders_all_suffixes():
     rng = random.Random(4)
     strings = [bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 30))) for _ in range(60)] + [bytes(range(256)), b"abc", b"abc"]
