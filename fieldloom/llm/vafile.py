@@ -11,8 +11,9 @@ to the exact vector; being columnar, a scan of the cells does not read the vecto
 2. Read: exact vectors are fetched in the order of the bounds, first ``2 (k + 1)`` for each query; then those
    whose bound still reaches the k-th exact score. After that no other vector can be in the result.
 
-The search itself asks for k + 1 so that a query's own row can be left out afterwards. Blocks have fixed
-sizes, so memory does not grow; work is queries x rows, as exact search with a weak bound must be.
+A query whose id has one vector asks for k + 1, so that its own row can be left out afterwards. Where the id has
+several, it is a search of its own (``own``), and classes that hold no other id are left out before any bound is
+taken; its id leaves the other classes before the last cut. Blocks have fixed sizes, so memory does not grow; work is queries x rows, as exact search with a weak bound must be.
 
 Cases: rows with NULL id, NULL vector, or a NULL or non-finite component take no part; exact repeats of a
 row count once; one id with several vectors is a candidate by each and a query by each; only vectors of
@@ -106,6 +107,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, bits:
         .agg(F.first("vector").alias("vector"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
     )
     queries = every.where(is_query).select(F.col("vec_id").alias("query_id"), "key")
+    several = every.join(queries.select(F.col("query_id").alias("vec_id")).distinct(), "vec_id", "left_semi").groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1")
+    several = materialise(several.select(F.col("vec_id").alias("query_id"), F.col("vec_id").alias("own")))
+    name = F.when(F.col("own").isNull(), F.col("key")).otherwise(F.concat("key", F.col("own").cast("string").cast("binary")))
+    queries = materialise(queries.join(several, "query_id", "left").withColumn("query", name))
     grids = {d: Grid(low, high, bits) for d, (low, high) in component_ranges(every).items()}
 
     def code(batches):
@@ -119,15 +124,16 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, bits:
                                   names=["key", "d", "cells", "packed", "vector", "ids"])
 
     file = materialise(classes.mapInArrow(code, "key binary, d int, cells binary, packed binary, vector array<bigint>, ids array<bigint>"))
-    asked = materialise(file.join(queries.select("key").distinct(), "key", "left_semi").select("key", "d", "packed", "vector"))
+    asked = materialise(file.join(queries.select("key", "query", "own").distinct(), "key").select("query", "own", "d", "packed", "vector"))
     shards, blocks = max(1, math.ceil(file.count() / SHARD_ROWS)), max(1, math.ceil(asked.count() / QUERY_ROWS))
 
     def every_number(n):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    part = lambda n: F.pmod(F.xxhash64("key"), F.lit(n)).cast("int")
-    left = asked.select("key", "d", "packed", part(blocks).alias("block"), every_number(shards).alias("shard"))
-    right = file.select("key", "d", "cells", part(shards).alias("shard"), every_number(blocks).alias("block"))
+    part = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    sole = F.when(F.size("ids") == 1, F.col("ids")[0])
+    left = asked.select("query", F.col("own").cast("string").alias("own"), "d", "packed", part("query", blocks).alias("block"), every_number(shards).alias("shard"))
+    right = file.select("key", sole.cast("string").alias("sole"), "d", "cells", part("key", shards).alias("shard"), every_number(blocks).alias("block"))
 
     def scan(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -138,10 +144,14 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, bits:
         plus, minus = np.maximum(asked, 0), np.minimum(asked, 0)
         least = plus @ low.T + minus @ high.T
         most = plus @ high.T + minus @ low.T
+        # Classes of nobody but the query's id: ids as numbers, those of no such query or class apart.
+        ids = {x: i for i, x in enumerate(q["own"].dropna().unique())}
+        out = np.array([ids.get(x, -1) for x in q["own"]])[:, None] == np.array([ids.get(x, -2) for x in c["sole"]])
+        least[out] = most[out] = -np.inf
         n = min(want, len(c))
         bar = -np.partition(-least, n - 1, axis=1)[:, n - 1: n] if len(c) >= want else np.full((len(q), 1), -np.inf)
-        i, j = np.nonzero(most >= bar)
-        return pd.DataFrame({"query": q["key"].to_numpy()[i], "key": c["key"].to_numpy()[j], "low": least[i, j], "high": most[i, j]})
+        i, j = np.nonzero((most >= bar) & ~out)
+        return pd.DataFrame({"query": q["query"].to_numpy()[i], "key": c["key"].to_numpy()[j], "low": least[i, j], "high": most[i, j]})
 
     by = ["d", "block", "shard"]
     found = materialise(left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(scan, "query binary, key binary, low double, high double"))
@@ -153,16 +163,16 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, bits:
     def score(pairs: DataFrame) -> DataFrame:
         exact = F.aggregate(F.zip_with("asked", "vector", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
         return (
-            pairs.join(file.select("key", "vector", "ids"), "key").join(asked.select(F.col("key").alias("query"), F.col("vector").alias("asked")), "query")
-            .select("query", exact.alias("score"), "ids")
+            pairs.join(file.select("key", "vector", "ids"), "key").join(asked.select("query", "own", F.col("vector").alias("asked")), "query")
+            .select("query", "own", exact.alias("score"), "ids")
         )
 
     near = materialise(score(kept.where(F.col("at") <= 2 * want)))
     sure = first_rows(near, ["query"], [F.col("score").desc()], want).groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("score"))
     sure = sure.select("query", F.when(F.col("n") == want, F.col("score").cast("double")).otherwise(F.lit(float("-inf"))).alias("bar"))
     far = score(kept.where(F.col("at") > 2 * want).join(sure, "query").where("high >= bar"))
-    rows_found = near.union(far).select("query", "score", F.explode("ids").alias("vec_id"))
-    best = first_rows(rows_found, ["query"], [F.col("score").desc(), F.col("vec_id")], want).select(F.col("query").alias("key"), "vec_id", "score")
-    pairs = queries.join(best, "key").where("vec_id <> query_id")
-    ranked = first_rows(pairs, ["query_id", "key"], [F.col("score").desc(), F.col("vec_id")], k)
+    rows_found = near.union(far).select("query", "own", "score", F.explode("ids").alias("vec_id")).where("own IS NULL OR vec_id <> own")
+    best = first_rows(rows_found, ["query"], [F.col("score").desc(), F.col("vec_id")], want).select("query", "vec_id", "score")
+    pairs = queries.join(best, "query").where("vec_id <> query_id")
+    ranked = first_rows(pairs, ["query_id", "query"], [F.col("score").desc(), F.col("vec_id")], k)
     return ranked.select("query_id", F.col("_n").alias("rank"), "vec_id", "score")

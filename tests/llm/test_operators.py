@@ -33,6 +33,15 @@ def test_top_k_equals_all_pairs(spark):
         assert rows_of(got, "query_id", "rank", "vec_id", "score") == ordered(brute.top_k(rows))
 
 
+def test_top_k_of_ids_with_several_vectors(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(300)]
+    rows += [(50, [3 + j / 256] * 6) for j in range(8)] + [(100, [2 + j / 256] * 6) for j in range(40)] + [(7, [2.0] * 6), (11, [3.0] * 6), (50, [2.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = rows_of(vafile.top_k(df, F.col("vec_id") % 50 == 0), "query_id", "rank", "vec_id", "score")
+    assert got == ordered(brute.top_k(rows))
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vafile.top_k(df, F.col("vec_id") % 50 == 0).count() == 0
