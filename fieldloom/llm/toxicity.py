@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 import string
+from bisect import bisect_left
 from collections import Counter
 
 import pandas as pd
@@ -95,7 +96,9 @@ class Features:
         if hits:
             people = [i for i, w in enumerate(words) if w in SECOND_PERSON]
             if people:
-                gaps = [min(abs(i - p) for p in people) for i in hits[:1000]]
+                # Between two sentinels, the nearest place is a neighbour of where the hit would stand.
+                places = [-math.inf, *people, math.inf]
+                gaps = [min(places[at] - i, i - places[at - 1]) for i in hits for at in (bisect_left(places, i),)]
                 near, nearest = sum(g <= 8 for g in gaps), min(gaps)
         letters = sum(map(str.isalpha, text)) if not text.isascii() else len(text) - len(text.translate(_LETTERS))
         upper = len(text) - len(text.translate(_UPPER))

@@ -198,6 +198,18 @@ def test_places_beyond_a_byte_travel(monkeypatch):
 # Toxicity
 
 
+def test_second_person_after_many_insults():
+    place = toxicity.NAMES.index
+    found = toxicity.Features({}).of("moron " * 3000 + "word " * 20 + "you moron")
+    assert found[place("nearest_you")] == 0.5 and found[place("near_you")] == 100 / 3022
+    rng = random.Random(2)
+    words = rng.choices(["moron", "you", "word"], [5, 1, 200], k=4000)
+    people = [i for i, w in enumerate(words) if w == "you"]
+    gaps = [min(abs(i - p) for p in people) for i, w in enumerate(words) if w == "moron"]
+    found = toxicity.Features({}).of(" ".join(words))
+    assert found[place("nearest_you")] == 1 / (1 + min(gaps)) and found[place("near_you")] == sum(g <= 8 for g in gaps) / 4000 * 100
+
+
 def test_toxicity_finds_what_labels_mark(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     out = toxicity.scored(docs, labels).join(labels, "doc_id").collect()
