@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import decontaminate, html_extract, mixing, secrets, simhash, substring, suffix, toxicity, url_filter, vafile
+from fieldloom.llm import decontaminate, html_extract, merkle, mixing, secrets, simhash, substring, suffix, toxicity, url_filter, vafile
 from fieldloom.llm.common import table
 from fieldloom.session import checkpoint_root
 
@@ -64,7 +64,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op3_substring_dedup, op4_toxicity, op5_mixing, op6_html_extraction, op7_url_filters, op8_suffix_dedup, op9_secret_scans, op10_decontamination)}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    leaf = lambda n_chars: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, leaf(F.col("n_chars") + 1))
+    proved = merkle.proofs(docs, leaf(F.col("n_chars")), "lang", "doc_id", [F.col("doc_id"), tampered.alias("tampered")])
+    judged = proved.withColumn("folded_root", merkle.folded("path", F.coalesce("tampered", "leaf")))
+    return judged.select("doc_id", "leaf", "subroot", "root", merkle.path_digest("path").alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op3_substring_dedup, op4_toxicity, op5_mixing, op6_html_extraction, op7_url_filters, op8_suffix_dedup, op9_secret_scans, op10_decontamination,
+                                   op13_merkle_manifest)}
 
 SQL: dict[str, str] = {}
 
@@ -159,3 +169,49 @@ SELECT d.doc_id, COALESCE(z.n_assign, 0) AS n_assign, COALESCE(z.n_access, 0) AS
        sha256(COALESCE(z.base, '')) AS base_sha256, COALESCE(z.spans, '') AS spans
 FROM d LEFT JOIN z ON d.n = z.n
 """)
+
+SQL["op13_merkle_manifest"] = r"""
+WITH RECURSIVE
+t AS (
+  SELECT row_number() OVER () AS n, doc_id, lang, n_chars,
+         CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+           || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+           || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
+         CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
+         list_reduce(list_concat([4294967295], flatten(list_transform(str_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc
+  FROM documents),
+l AS (
+  SELECT n, doc_id, lang, sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END || tail) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 7 = 0
+              THEN sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1) END || tail) END AS bad
+  FROM t),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+up AS (
+  SELECT lang, 0 AS level, pos, leaf AS h FROM p
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS c FROM up) WHERE c > 1 GROUP BY lang, level, pos // 2),
+sub AS (SELECT lang, level AS height, h AS subroot FROM up QUALIFY row_number() OVER (PARTITION BY lang ORDER BY level DESC) = 1),
+sp AS (SELECT *, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS spot FROM sub),
+up2 AS (
+  SELECT 0 AS level, spot AS pos, subroot AS h FROM sp
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS c FROM up2) WHERE c > 1 GROUP BY level, pos // 2),
+top AS (SELECT max(level) AS height, arg_max(h, level) AS root FROM up2),
+x AS (SELECT p.*, sp.height, sp.spot, sp.subroot, top.root, sp.height + top.height AS total FROM p JOIN sp ON p.lang IS NOT DISTINCT FROM sp.lang, top),
+own AS (SELECT n, lang, spot, height, k, CASE WHEN k < height THEN pos >> k ELSE spot >> (k - height) END AS node FROM (SELECT *, unnest(range(0, total)) AS k FROM x)),
+sib AS (
+  SELECT own.n, k, up.h, up.pos < node AS before FROM own JOIN up ON k < height AND up.level = k AND up.pos = xor(node, 1) AND up.lang IS NOT DISTINCT FROM own.lang
+  UNION ALL
+  SELECT own.n, k, up2.h, up2.pos < node FROM own JOIN up2 ON k >= height AND up2.level = k - height AND up2.pos = xor(node, 1)),
+step AS (SELECT own.n, own.k, COALESCE(CASE WHEN before THEN h END, '') AS a, COALESCE(CASE WHEN NOT before THEN h END, '') AS b FROM own LEFT JOIN sib ON own.n = sib.n AND own.k = sib.k),
+proof AS (SELECT n, string_agg(a || b, '' ORDER BY k) AS s FROM step GROUP BY n),
+fold AS (
+  SELECT n, CAST(0 AS BIGINT) AS k, COALESCE(bad, leaf) AS h FROM x
+  UNION ALL
+  SELECT fold.n, fold.k + 1, sha256(a || h || b) FROM fold JOIN step ON fold.n = step.n AND fold.k = step.k)
+SELECT x.doc_id, x.leaf, x.subroot, x.root, sha256(COALESCE(proof.s, '')) AS proof_sha256, fold.h AS folded_root, fold.h = x.root AS verified
+FROM x JOIN fold ON x.n = fold.n AND fold.k = x.total LEFT JOIN proof ON x.n = proof.n
+"""
