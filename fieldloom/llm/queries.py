@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm import decontaminate, html_extract, merkle, mixing, secrets, simhash, substring, suffix, toxicity, url_filter, vafile
+from fieldloom.llm import decontaminate, html_extract, hybrid_search, merkle, mixing, secrets, sharding, simhash, substring, suffix, toxicity, url_filter, vafile
 from fieldloom.llm.common import table
 from fieldloom.session import checkpoint_root
 
@@ -64,6 +64,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hybrid_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    return sharding.shuffle(docs, shards=16, seed=42).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     leaf = lambda n_chars: merkle.leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
@@ -74,7 +84,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_exact_top_k, op2_simhash, op3_substring_dedup, op4_toxicity, op5_mixing, op6_html_extraction, op7_url_filters, op8_suffix_dedup, op9_secret_scans, op10_decontamination,
-                                   op13_merkle_manifest)}
+                                   op11_ranked_search, op12_sharding, op13_merkle_manifest)}
 
 SQL: dict[str, str] = {}
 
@@ -170,6 +180,21 @@ SELECT d.doc_id, COALESCE(z.n_assign, 0) AS n_assign, COALESCE(z.n_access, 0) AS
 FROM d LEFT JOIN z ON d.n = z.n
 """)
 
+SQL["op11_ranked_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+a AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(len(w)) AS BIGINT) AS L FROM d WHERE len(w) > 0),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) GROUP BY row, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * N + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM tf, a GROUP BY term, N),
+m AS (SELECT row, doc_id, 100 - 90 + ((90 * len(w) * N) // L) AS m FROM d, a),
+asked AS (SELECT DISTINCT item, item_id, unnest(w) AS term FROM i),
+s AS (
+  SELECT item, any_value(item_id) AS item_id, row, any_value(doc_id) AS doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (row) GROUP BY item, row),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 SQL["op13_merkle_manifest"] = r"""
 WITH RECURSIVE
 t AS (

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import re
+import zlib
+from collections import Counter
 
 import xxhash
 
@@ -156,3 +160,70 @@ def leaks(docs, items, threshold=0.6, overlap=0.8, n=5, k1=1.2, b=0.75, least=32
                         best[i] = max(best.get(i, 0), score)
         out += [(d, i, round(s, 9)) for i, s in best.items()]
     return out
+
+
+def _field(value):
+    return b"-" if value is None else b"%d:%s" % (len(str(value).encode()), str(value).encode())
+
+
+def _h(*parts):
+    return hashlib.sha256(b"".join(p if isinstance(p, bytes) else p.encode() for p in parts)).hexdigest()
+
+
+def leaf(doc, source, lang, n_chars, text):
+    return _h(*map(_field, (doc, source, lang, n_chars, text)))
+
+
+def _tree(nodes, fanout):
+    """Levels of one tree, the last of one node."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([_h(*levels[-1][i: i + fanout]) for i in range(0, len(levels[-1]), fanout)])
+    return levels
+
+
+def _path(levels, at, fanout):
+    out = []
+    for level in levels[:-1]:
+        first = at // fanout * fanout
+        out.append((level[first:at], level[at + 1: first + fanout]))
+        at //= fanout
+    return out
+
+
+def merkle(rows, fanout=2):
+    """rows: (doc_id, source, lang, n_chars, text) -> the manifest query's rows."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((leaf(*r), r))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: _tree([h for h, _ in members], fanout) for g, members in groups.items() if not members.sort(key=lambda m: (m[1][0] is not None, m[1][0] or 0, m[0]))}
+    top = _tree([trees[g][-1][0] for g in order], fanout)
+    out = []
+    for spot, g in enumerate(order):
+        for at, (own, r) in enumerate(groups[g]):
+            path = _path(trees[g], at, fanout) + _path(top, spot, fanout)
+            bad = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0 and r[3] is not None
+            below = leaf(r[0], r[1], r[2], r[3] + 1, r[4]) if bad else own
+            for left, right in path:
+                below = _h(*left, below, *right)
+            out.append((r[0], own, trees[g][-1][0], top[-1][0], _h(*[h for left, right in path for h in left + right]), below, below == top[-1][0]))
+    return out
+
+
+def ranked(rows, items, k):
+    """rows: (doc_id, text), items: (item_id, text) -> (item_id, rank, doc_id, score)."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    docs = [(doc, words(t)) for doc, t in rows]
+    docs = [(doc, len(w), Counter(w)) for doc, w in docs if w]
+    n, total = len(docs), sum(d[1] for d in docs)
+    df = Counter(t for *_, c in docs for t in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for doc, size, tf in docs:
+            m = 10 + 90 * size * n // total
+            scores.append((sum(math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * tf[t] // (1000 * tf[t] + 8 * m)) for t in set(words(text)) if t in tf), doc))
+        best = sorted((s for s in scores if s[0] > 0), key=lambda s: (-s[0], s[1] is None, s[1] or 0))[:k]
+        out += [(item, i + 1, doc, score) for i, (score, doc) in enumerate(best)]
+    return out
