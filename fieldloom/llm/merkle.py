@@ -139,6 +139,7 @@ def proofs(rows: DataFrame, leaf: Column, group: str, order: str, carry: Sequenc
     ``path`` holds the siblings left and right of the own node at each level, from the leaf up to the root.
     """
     leaves = rows.select(field(F.col(group)).alias("g"), F.col(group).alias("grp"), F.col(order).alias("ord"), leaf.alias("digest"), F.struct(F.lit(0).alias("_"), *carry).alias("row"))
+    leaves = materialise(leaves)  # texts are read and hashed once; range bounds are sampled from the digests
     stored = materialise(placed(leaves.withColumn("by", F.struct("ord", "digest")).drop("ord"), "by").drop("by"))
     low = build(stored.drop("grp"), fanout, step)
     names = stored.where("at = 0").select("g", "grp")
