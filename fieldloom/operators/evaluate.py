@@ -46,18 +46,17 @@ def prediction_change(df: DataFrame, before: str, after: str, large: float = 1.0
 
 # ---------------------------------------------------------------- classification
 
-def positive_scores(df: DataFrame, positive_index: int = 1) -> tuple[DataFrame, str]:
-    """Add ``score`` for the positive class from what a fitted classifier left behind.
+#: What a fitted classifier may leave, best first: the column, and which entry (by positive class) times which sign is the score.
+SCORE_COLUMNS = (("probability", {0: (0, 1.0), 1: (1, 1.0)}), ("rawPrediction", {0: (1, -1.0), 1: (1, 1.0)}))
+
 
-    Probabilities first; otherwise the raw decision value, whose sign points to class 1
-    and is turned when class 0 is the positive one. Predicted labels are never used.
-    """
-    if "probability" in df.columns:
-        return df.withColumn("score", vector_to_array("probability")[positive_index]), "probability"
-    if "rawPrediction" in df.columns:
-        raw = vector_to_array("rawPrediction")[1]
-        return df.withColumn("score", raw if positive_index == 1 else -raw), "rawPrediction"
-    raise TypeError("the model left neither probability nor rawPrediction")
+def positive_scores(df: DataFrame, positive_index: int = 1) -> tuple[DataFrame, str]:
+    """Add ``score``, higher where class ``positive_index`` is likelier, and name the column it was read from."""
+    found = [(column, turns[positive_index]) for column, turns in SCORE_COLUMNS if column in df.columns]
+    if not found:
+        raise ValueError(f"none of {[c for c, _ in SCORE_COLUMNS]} among the columns {df.columns}")
+    column, (entry, sign) = found[0]
+    return df.withColumn("score", F.lit(sign) * vector_to_array(column)[entry]), column
 
 
 def confusion_matrix(
@@ -149,11 +148,10 @@ def comparison_table(results: DataFrame, metric: str, model: str = "model") -> D
 
 
 def before_after(rows: DataFrame) -> DataFrame:
-    """(model, metric, before, after, higher_is_better) with the change and an honest verdict."""
-    change = F.col("after") - F.col("before")
-    better = F.when(F.col("higher_is_better"), change > 0).otherwise(change < 0)
-    return rows.select("model", "metric", "before", "after", change.alias("change"),
-                       F.when(change == 0, "no change").when(better, "yes").otherwise("no").alias("improved"))
+    """The move of each (model, metric), and which way it went: the gain is the change, turned where less is better."""
+    gain = F.signum(F.col("after") - F.col("before")) * F.when(F.col("higher_is_better"), 1).otherwise(-1)
+    verdict = F.element_at(F.array(*map(F.lit, ("no", "no change", "yes"))), (gain + 2).cast("int"))  # fixed values
+    return rows.withColumns({"change": F.col("after") - F.col("before"), "improved": verdict}).drop("higher_is_better")
 
 
 def largest_difference(stored: DataFrame, recomputed: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldloom.operators import bayes, evaluate, features, gram, knn, models, split, tfidf, tune
+from fieldloom.operators import bayes, evaluate, features, gram, knn, models, sparse_knn, split, tfidf, tune
 from fieldloom.plans.evaluation import METRIC_NAMES
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded, table
@@ -245,46 +246,72 @@ def knn_regress(spark, sf_dir):
 
 
 # SQL: every test text against every training text, from the weights of shared terms.
-def _text_found(weights: str) -> str:
+def _text_found(weights: str, metric: str = "euclidean") -> str:
+    own, shared, distance = {
+        "euclidean": ("sum(weight * weight)", "sum(a.weight * b.weight)", "sqrt(greatest(coalesce(nq.s, 0) + coalesce(nt.s, 0) - 2 * coalesce(shared, 0), 0))"),
+        "manhattan": ("sum(weight)", "sum(least(a.weight, b.weight))", "greatest(coalesce(nq.s, 0) + coalesce(nt.s, 0) - 2 * coalesce(shared, 0), 0)"),
+        "cosine": ("sqrt(sum(weight * weight))", "sum(a.weight * b.weight)", "greatest(1 - coalesce(shared / (nq.s * nt.s), 0), 0)"),
+    }[metric]
     return f"""{weights}, qs AS (SELECT id FROM split_rows WHERE split = 'test'), ts AS (SELECT id, label FROM split_rows WHERE split = 'train'),
-dot AS (SELECT a.id AS qid, b.id AS tid, sum(a.weight * b.weight) AS dot FROM weights a JOIN weights b USING (term) WHERE a.split = 'test' AND b.split = 'train' GROUP BY ALL),
-norm AS (SELECT id, sum(weight * weight) AS s FROM weights GROUP BY id),
-d AS (SELECT qs.id AS query_id, ts.id AS train_id, ts.label, round(sqrt(greatest(coalesce(nq.s, 0) + coalesce(nt.s, 0) - 2 * coalesce(dot, 0), 0)), 7) AS d
- FROM qs CROSS JOIN ts LEFT JOIN dot ON qid = qs.id AND tid = ts.id LEFT JOIN norm nq ON nq.id = qs.id LEFT JOIN norm nt ON nt.id = ts.id)"""
+dot AS (SELECT a.id AS qid, b.id AS tid, {shared} AS shared FROM weights a JOIN weights b USING (term) WHERE a.split = 'test' AND b.split = 'train' GROUP BY ALL),
+norm AS (SELECT id, {own} AS s FROM weights GROUP BY id),
+d AS (SELECT qs.id AS query_id, ts.id AS train_id, ts.label, round({distance}, 7) + 0.0 AS d
+ FROM qs CROSS JOIN ts LEFT JOIN dot ON qid = qs.id AND tid = ts.id LEFT JOIN norm nq ON nq.id = qs.id LEFT JOIN norm nt ON nt.id = ts.id),
+found AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) AS INT) AS rank FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) <= 5)"""
 
 
 def _texts(spark, sf_dir, cap):
     df = split_reviews(spark, sf_dir)
     model = tfidf.Tfidf(maxFeatures=cap).fit(side(df, "train"))
-    parts = materialise(model.weights(df).select(
+    return materialise(model.weights(df).select(
         "id", "split", "label", *knn.sparse_parts("_weights"), F.when(F.size("_weights.indices") == 0, "empty").otherwise("full").alias("fill")))
-    return parts, len(model.getOrDefault("vocabulary"))
 
 
-@query(f"""WITH {_text_found(WEIGHTS_SQL)} SELECT query_id, round(d, 5) AS nearest_distance FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) = 1""")
+def text_neighbours(spark, sf_dir, metric="euclidean", payload="label", cap=CAP):
+    parts = _texts(spark, sf_dir, cap)
+    return sparse_knn.neighbours(side(parts, "test"), side(parts, "train").withColumn("payload", F.col(payload)), 5, metric)
+
+
+@query(f"""WITH {_text_found(WEIGHTS_SQL)} SELECT query_id, rank, train_id, round(d, 6) AS distance FROM found""")
 def knn_text(spark, sf_dir):
-    parts, size = _texts(spark, sf_dir, CAP)
-    found = knn.neighbours(side(parts, "test"), side(parts, "train").withColumn("payload", F.col("label")), 5, "euclidean", size)
-    return found.where(F.col("rank") == 1).select("query_id", rounded("distance", 5).alias("nearest_distance"))
+    """The five nearest training texts of every test text, with their ids."""
+    return text_neighbours(spark, sf_dir).select("query_id", "rank", "train_id", rounded("distance").alias("distance"))
 
 
-@query(f"""WITH {_text_found(WEIGHTS_SQL)} SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) AS INT) AS rank, round(d, 3) AS distance
- FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) <= 5""")
+@query(f"""WITH {_text_found(WEIGHTS_SQL)} SELECT query_id, rank, round(d, 3) AS distance FROM found""")
 def knn_text_distances(spark, sf_dir):
-    """All five distances; which of equally distant texts stands where is left to rounding, so ids are left out."""
-    parts, size = _texts(spark, sf_dir, CAP)
-    found = knn.neighbours(side(parts, "test"), side(parts, "train").withColumn("payload", F.col("label")), 5, "euclidean", size)
-    return found.select("query_id", "rank", rounded("distance", 3).alias("distance"))
+    return text_neighbours(spark, sf_dir).select("query_id", "rank", rounded("distance", 3).alias("distance"))
+
+
+def _vote_sql(metric: str, weighting: str) -> str:
+    weight = "1.0::DOUBLE" if weighting == "uniform" else "CASE WHEN min(d) OVER (PARTITION BY query_id) = 0 THEN (d = 0)::INT::DOUBLE ELSE 1 / d END"
+    return f"""WITH {_text_found(WEIGHTS_SQL, metric)}, w AS (SELECT query_id, label, {weight} AS w FROM found),
+v AS (SELECT query_id, label, sum(w) / sum(sum(w)) OVER (PARTITION BY query_id) AS share FROM w GROUP BY query_id, label)
+SELECT query_id, label, round(share, 6) AS share, label = first_value(label) OVER (PARTITION BY query_id ORDER BY round(share, 9) DESC, label) AS predicted FROM v"""
+
+
+def _votes(metric, weighting):
+    def run(spark, sf_dir):
+        shares = knn.knn_shares(text_neighbours(spark, sf_dir, metric), weighting)
+        first = F.first("label").over(W.partitionBy("query_id").orderBy(F.round("share", 9).desc(), "label"))
+        return shares.select("query_id", "label", rounded("share").alias("share"), (F.col("label") == first).alias("predicted"))
+
+    run.__name__ = f"knn_text_votes_{metric}_{weighting}"
+    return run
+
+
+for _m in sparse_knn.METRICS:
+    for _w in ("uniform", "distance"):
+        query(_vote_sql(_m, _w))(_votes(_m, _w))
 
 
 # Vocabulary of 40 terms; a text is empty when it has no weight.
-@query(f"""WITH {_text_found(weights_sql(40))}, f AS (SELECT query_id, train_id FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, train_id) <= 5),
+@query(f"""WITH {_text_found(weights_sql(40))}, f AS (SELECT query_id, train_id FROM found),
 e AS (SELECT query_id, max((NOT EXISTS (SELECT 1 FROM norm WHERE norm.id = f.train_id))::INT) AS a, min((NOT EXISTS (SELECT 1 FROM norm WHERE norm.id = f.train_id))::INT) AS b
  FROM f GROUP BY query_id) SELECT round(avg(a), 6) AS share_any, round(avg(b), 6) AS share_all FROM e""")
 def knn_empty_neighbours(spark, sf_dir):
     """With a tiny vocabulary some texts have no known term and sit near every query."""
-    parts, size = _texts(spark, sf_dir, 40)
-    found = knn.neighbours(side(parts, "test"), side(parts, "train").withColumn("payload", F.col("fill")), 5, "euclidean", size)
+    found = text_neighbours(spark, sf_dir, payload="fill", cap=40)
     return round_columns(knn.empty_neighbour_share(found), ["share_any", "share_all"])
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldloom.operators import bayes, evaluate, features, gram, models, split, tune
+from fieldloom.operators import bayes, evaluate, features, gram, models, sparse_bayes, split, tfidf, tune
 from fieldloom.plans.modelling import NUMERIC, side
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded
 from fieldloom.plans.splitting import kfold_sql, split_lines
+from fieldloom.plans.text import CAP, WORDS, pairs, split_reviews
 from fieldloom.plans.text import SPLIT_SQL as REVIEWS_SPLIT_SQL
-from fieldloom.plans.text import split_reviews
 from fieldloom.session import materialise
 
 TWO = ["l_extendedprice", "l_discount"]
@@ -218,93 +219,106 @@ def model_grid_search(spark, sf_dir):
 
 # ---------------------------------------------------------------- classification
 
-# Numbers read off the labelled texts; the label is the quality.
-SHAPE = "[length(text) / 1000.0::DOUBLE, (length(text) - length(replace(text, ' ', ''))) / 100.0::DOUBLE, (length(text) - length(replace(text, 'e', ''))) / 100.0::DOUBLE]"
+# TF-IDF learned in every fold anew, folds stratified by the label; the rare class is the positive one.
 _SMOOTH = "SELECT CAST(i AS INT) AS i, power(10, i - 9.0::DOUBLE) AS vs FROM range(9) t(i)"
-
-
-def _nb_sql(training: str, scored: str, by: str) -> str:
-    """Log-likelihoods of Gaussian naive Bayes: ``training`` and ``scored`` have (k, id, label, x); predictions by k and smoothing."""
-    return f"""cells AS (SELECT k, label, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM {training}),
-st AS (SELECT k, label, j, avg(v) AS m, var_pop(v) AS s FROM cells GROUP BY ALL),
-ep AS (SELECT k, max(s) AS top FROM (SELECT k, j, var_pop(v) AS s FROM cells GROUP BY ALL) GROUP BY k),
-pr AS (SELECT k, label, ln(count(*) / sum(count(*)) OVER (PARTITION BY k)::DOUBLE) AS lp FROM {training} GROUP BY k, label),
-sl AS (SELECT c.k, c.id, c.label AS truth, i, st.label, pr.lp + sum(-0.5::DOUBLE * ln(2 * pi() * (s + vs * top)) - (v - m) * (v - m) / (2 * (s + vs * top))) AS score
- FROM (SELECT k, id, label, unnest(x) AS v, generate_subscripts(x, 1) AS j FROM {scored}) c JOIN st ON st.k = c.k AND st.j = c.j JOIN pr ON pr.k = c.k AND pr.label = st.label
- JOIN ep ON ep.k = c.k, ({by}) sm GROUP BY c.k, c.id, c.label, i, st.label, pr.lp),
-said AS (SELECT k, i, id, truth AS actual, arg_max(label, score) AS predicted FROM sl GROUP BY ALL)"""
+_BASE = "SELECT 0 AS i, 1e-9::DOUBLE AS vs"
+_TR = f"""{REVIEWS_SPLIT_SQL}, tr AS (SELECT id, label, text FROM split_rows WHERE split = 'train'), {kfold_sql('tr', 'PARTITION BY label')}"""
+# (k, id, label, held, text): under every fold k its own training rows and its held-out ones; or all training rows and the test rows as one group.
+_GROUPED_CV = "grouped AS (SELECT k, id, label, fold = k AS held, text FROM folded, range(1, 6) r(k))"
+_GROUPED_TEST = "grouped AS (SELECT 0 AS k, id, label, split = 'test' AS held, text FROM split_rows)"
+
+# Weights of every row under its group's vocabulary, (k, id, label, held, term, w).
+_WEIGHTED = f"""wd AS (SELECT k, id, label, held, {WORDS} AS w FROM grouped), tf AS (SELECT k, id, label, held, term, count(*) AS tf FROM (SELECT k, id, label, held, unnest({pairs('w')}) AS term FROM wd) GROUP BY ALL),
+gn AS (SELECT k, count(*) AS n FROM grouped WHERE NOT held GROUP BY k),
+vo AS (SELECT k, term, ln((1 + n) / (1 + df)::DOUBLE) + 1 AS idf FROM (SELECT k, term, count(*) AS df, sum(tf) AS total FROM tf WHERE NOT held GROUP BY k, term HAVING count(*) >= 2
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY sum(tf) DESC, term) <= {CAP}) JOIN gn USING (k)),
+we AS (SELECT k, id, label, held, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY k, id)) AS w FROM (SELECT k, id, label, held, term, (1 + ln(tf)) * idf AS raw FROM tf JOIN vo USING (k, term)))"""
+
+
+def _nb_sql(by: str) -> str:
+    """Gaussian naive Bayes on all terms, zeros included, for the smoothings ``by``: (k, i, id, actual, predicted, score)."""
+    return f"""cl AS (SELECT k, label, count(*)::DOUBLE AS n FROM grouped WHERE NOT held GROUP BY k, label), su AS (SELECT k, label, term, sum(w) AS s, sum(w * w) AS q FROM we WHERE NOT held GROUP BY ALL),
+st AS (SELECT cl.k, cl.label, vo.term, n, coalesce(s, 0) / n AS m, greatest(coalesce(q, 0) / n - (coalesce(s, 0) / n) ** 2, 0) AS v FROM cl JOIN vo ON vo.k = cl.k LEFT JOIN su ON su.k = cl.k AND su.label = cl.label AND su.term = vo.term),
+ep AS (SELECT k, max(v) AS top FROM (SELECT k, term, sum(q) / any_value(n) - (sum(s) / any_value(n)) ** 2 AS v FROM su JOIN (SELECT k, sum(n) AS n FROM cl GROUP BY k) USING (k) GROUP BY k, term) GROUP BY k),
+sm AS (SELECT st.*, i, v + vs * top AS e FROM st JOIN ep USING (k), ({by})),
+ze AS (SELECT k, i, label, ln(any_value(n) / (SELECT sum(n) FROM cl WHERE cl.k = sm.k)) + sum(-0.5::DOUBLE * ln(2 * pi() * e) - m * m / (2 * e)) AS z FROM sm GROUP BY k, i, label),
+co AS (SELECT we.k, we.id, i, sm.label, sum(w * m / e - w * w / (2 * e)) AS c FROM we JOIN sm ON sm.k = we.k AND sm.term = we.term WHERE held GROUP BY ALL),
+sl AS (SELECT g.k, g.id, g.label AS actual, ze.i, ze.label, z + coalesce(c, 0) AS score FROM grouped g JOIN ze ON ze.k = g.k LEFT JOIN co ON co.k = g.k AND co.id = g.id AND co.i = ze.i AND co.label = ze.label WHERE held),
+said AS (SELECT k, i, id, actual, CASE WHEN max(score) FILTER (label = 'negative') >= max(score) FILTER (label = 'positive') THEN 'negative' ELSE 'positive' END AS predicted,
+ exp(max(score) FILTER (label = 'negative') - max(score)) / (exp(max(score) FILTER (label = 'negative') - max(score)) + exp(max(score) FILTER (label = 'positive') - max(score))) AS score FROM sl GROUP BY k, i, id, actual)"""
 
 
 _CELL = """ct AS (SELECT k, i, count(*) FILTER (WHERE actual = 'negative' AND predicted = 'negative')::DOUBLE AS tp, count(*) FILTER (WHERE actual <> 'negative' AND predicted = 'negative')::DOUBLE AS fp,
  count(*) FILTER (WHERE actual = 'negative' AND predicted <> 'negative')::DOUBLE AS fn, count(*) FILTER (WHERE actual <> 'negative' AND predicted <> 'negative')::DOUBLE AS tn FROM said GROUP BY k, i),
+au AS (SELECT k, i, (sum(r) FILTER (actual = 'negative') - count(*) FILTER (actual = 'negative') * (count(*) FILTER (actual = 'negative') + 1) / 2.0::DOUBLE) / (count(*) FILTER (actual = 'negative') * count(*) FILTER (actual <> 'negative')) AS roc_auc
+ FROM (SELECT k, i, actual, rank() OVER (PARTITION BY k, i ORDER BY score) + (count(*) OVER (PARTITION BY k, i, score) - 1) / 2.0::DOUBLE AS r FROM said) GROUP BY k, i),
 me AS (SELECT k, i, (tp + tn) / (tp + fp + fn + tn) AS accuracy, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
  CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END AS f1,
- (CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END * (tp + fn) + CASE WHEN 2 * tn + fp + fn > 0 THEN 2 * tn / (2 * tn + fp + fn) ELSE 0 END * (tn + fp)) / (tp + fp + fn + tn) AS weighted_f1 FROM ct)"""
-_SHAPED = f"{REVIEWS_SPLIT_SQL}, tr AS (SELECT id, label, {SHAPE} AS x FROM split_rows WHERE split = 'train'), {kfold_sql('tr')}"
-_CV = f"""{_SHAPED}, own AS (SELECT k, id, label, x FROM folded, range(1, 6) r(k) WHERE fold <> k), held AS (SELECT fold AS k, id, label, x FROM folded)"""
+ (CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END * (tp + fn) + CASE WHEN 2 * tn + fp + fn > 0 THEN 2 * tn / (2 * tn + fp + fn) ELSE 0 END * (tn + fp)) / (tp + fp + fn + tn) AS weighted_f1, roc_auc
+ FROM ct JOIN au USING (k, i))"""
+SIX = ["accuracy", "precision", "recall", "f1", "weighted_f1", "roc_auc"]
 
 
-def _shaped(spark, sf_dir):
-    length = lambda c: F.length(c)
-    x = F.array(length("text") / 1000.0, *[(length("text") - length(F.replace("text", F.lit(s), F.lit("")))) / 100.0 for s in (" ", "e")])
-    return materialise(split_reviews(spark, sf_dir).select("id", "split", "label", x.alias("x")))
+def review_folds(spark, sf_dir):
+    """The training texts in five folds, stratified by the label."""
+    return materialise(split.kfold(split_reviews(spark, sf_dir).where(F.col("split") == "train"), "id", stratum="label").select("id", "split", "label", "text", "fold"))
 
 
-def _nb(setting):
-    return lambda rows: (lambda df, model=bayes.fit_gaussian_nb(rows, "x", "label", **setting): model.transform(df, "x"))
+def fold_metrics(predictions, by=("group", "candidate")):
+    """Six metrics of each fold and candidate, long: (fold, candidate, metric, value)."""
+    wide = evaluate.classification_metrics(predictions, "label", "prediction", "score", by=by).select(*by, *SIX)
+    return wide.unpivot(list(by), SIX, "metric", "value")
 
 
-def _class_scores(df):
-    return evaluate.classification_metrics(df, "label", "prediction").select("accuracy", "precision", "recall", "f1", "weighted_f1")
+def _nb_predictions(spark, sf_dir, smoothings):
+    vectors, size = sparse_bayes.fold_vectors(review_folds(spark, sf_dir), "text", "label", CAP)
+    return materialise(sparse_bayes.cross_validated(vectors, size, "negative", smoothings))
 
 
-@query(f"""WITH {_CV}, {_nb_sql('own', 'held', "SELECT 0 AS i, 1e-9::DOUBLE AS vs")}, {_CELL},
-l AS (UNPIVOT (SELECT k, accuracy, precision, recall, f1, weighted_f1 FROM me) ON accuracy, precision, recall, f1, weighted_f1 INTO NAME metric VALUE value)
+@query(f"""WITH {_TR}, {_GROUPED_CV}, {_WEIGHTED}, {_nb_sql(_BASE)}, {_CELL},
+l AS (UNPIVOT (SELECT k, {", ".join(SIX)} FROM me) ON {", ".join(SIX)} INTO NAME metric VALUE value)
 SELECT metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std FROM l GROUP BY metric""")
 def classification_cv(spark, sf_dir):
-    """Five metrics of naive Bayes over five folds of the training rows."""
-    folded = materialise(split.kfold(side(_shaped(spark, sf_dir), "train"), "id"))
-    table_ = tune.summarise(tune.cross_validate(folded, {"gaussian nb": _nb({})}, _class_scores))
-    return table_.select("metric", rounded("mean").alias("mean"), rounded("std").alias("std"))
+    """Six metrics of naive Bayes on TF-IDF over five stratified folds, the vocabulary learned in each fold anew."""
+    scores = fold_metrics(_nb_predictions(spark, sf_dir, [bayes.VAR_SMOOTHING]))
+    return scores.groupBy("metric").agg(rounded(F.avg("value")).alias("mean"), rounded(F.stddev_pop("value")).alias("std"))
 
 
-_GRID_NB = f"""{_CV}, {_nb_sql('own', 'held', _SMOOTH)}, {_CELL},
-gr AS (SELECT i, round(avg(weighted_f1), 9) AS m, round(avg(weighted_f1), 6) AS mean, round(stddev_pop(weighted_f1), 6) AS std FROM me GROUP BY i)"""
+_GRID_NB = f"""{_TR}, {_GROUPED_CV}, {_WEIGHTED}, {_nb_sql(_SMOOTH)}, {_CELL},
+gr AS (SELECT i, round(avg(weighted_f1), 9) AS m, round(avg(weighted_f1), 6) AS mean, round(stddev_pop(weighted_f1), 6) AS std, round(avg(roc_auc), 6) AS auc FROM me GROUP BY i)"""
+SMOOTHINGS = tune.CLASSIFICATION_SPACES["gaussian_nb"]["var_smoothing"]
 
 
 def _nb_grid(spark, sf_dir):
-    shaped = _shaped(spark, sf_dir)
-    folded = materialise(split.kfold(side(shaped, "train"), "id"))
-    settings = tune.candidates(tune.CLASSIFICATION_SPACES["gaussian_nb"])
-    names = {f"gaussian nb {i}": s for i, s in enumerate(settings)}
-    scores = tune.cross_validate(folded, {n: _nb(s) for n, s in names.items()}, _class_scores, params=names, parallelism=8)
-    table_ = tune.summarise(scores.where(F.col("metric") == "weighted_f1"))
-    table_ = table_.withColumn("candidate", F.element_at(F.split("model", " "), F.lit(-1)).cast("int"))
-    best = table_.orderBy(F.round("mean", 9).desc(), "candidate").first()["candidate"]
-    return shaped, settings, table_, best
-
-
-@query(f"""WITH {_GRID_NB} SELECT i AS candidate, mean, std, i = (SELECT i FROM gr ORDER BY m DESC, i LIMIT 1) AS best FROM gr""")
+    """One row for each smoothing, ``best`` marks the first of equal means."""
+    scores = materialise(fold_metrics(_nb_predictions(spark, sf_dir, SMOOTHINGS)))
+    f1 = F.when(F.col("metric") == "weighted_f1", F.col("value"))
+    table_ = scores.groupBy("candidate").agg(F.round(F.avg(f1), 9).alias("m"), F.avg(f1).alias("mean"), F.stddev_pop(f1).alias("std"),
+                                             F.avg(F.when(F.col("metric") == "roc_auc", F.col("value"))).alias("auc"))
+    return table_.withColumn("best", F.row_number().over(W.orderBy(F.col("m").desc(), "candidate")) == 1).drop("m")
+
+
+@query(f"""WITH {_GRID_NB} SELECT i AS candidate, mean, std, auc, i = (SELECT i FROM gr ORDER BY m DESC, i LIMIT 1) AS best FROM gr""")
 def classification_grid(spark, sf_dir):
-    """Nine smoothings by weighted F1 over five folds; the first of equals is best."""
-    _, _, table_, best = _nb_grid(spark, sf_dir)
-    return table_.select("candidate", rounded("mean").alias("mean"), rounded("std").alias("std"), (F.col("candidate") == best).alias("best"))
+    """All nine smoothings by weighted F1 over the folds, from one pass of sums."""
+    return round_columns(_nb_grid(spark, sf_dir), ["mean", "std", "auc"])
 
 
-@query(f"""WITH {_SHAPED}, best AS (SELECT i FROM (WITH own AS (SELECT k, id, label, x FROM folded, range(1, 6) r(k) WHERE fold <> k), held AS (SELECT fold AS k, id, label, x FROM folded),
- {_nb_sql('own', 'held', _SMOOTH)}, {_CELL} SELECT i FROM me GROUP BY i ORDER BY round(avg(weighted_f1), 9) DESC, i LIMIT 1)),
-whole AS (SELECT 0 AS k, id, label, x FROM tr), tested AS (SELECT 0 AS k, id, label, {SHAPE} AS x FROM split_rows WHERE split = 'test'),
-{_nb_sql('whole', 'tested', _SMOOTH)}, {_CELL},
-b AS (UNPIVOT (SELECT accuracy, weighted_f1 FROM me WHERE i = 0) ON accuracy, weighted_f1 INTO NAME metric VALUE before),
-a AS (UNPIVOT (SELECT accuracy, weighted_f1 FROM me WHERE i = (SELECT i FROM best)) ON accuracy, weighted_f1 INTO NAME metric VALUE after)
+@query(f"""WITH best AS (SELECT i FROM (WITH {_GRID_NB} SELECT i FROM gr ORDER BY m DESC, i LIMIT 1)),
+whole AS (WITH {_TR}, {_GROUPED_TEST}, {_WEIGHTED}, {_nb_sql(_SMOOTH)}, {_CELL} SELECT * FROM me),
+b AS (UNPIVOT (SELECT accuracy, weighted_f1, roc_auc FROM whole WHERE i = 0) ON accuracy, weighted_f1, roc_auc INTO NAME metric VALUE before),
+a AS (UNPIVOT (SELECT accuracy, weighted_f1, roc_auc FROM whole WHERE i = (SELECT i FROM best)) ON accuracy, weighted_f1, roc_auc INTO NAME metric VALUE after)
 SELECT 'gaussian nb' AS model, metric, round(before, 6) AS before, round(after, 6) AS after, round(round(after, 6) - round(before, 6), 6) + 0.0 AS change,
  CASE WHEN round(after, 6) = round(before, 6) THEN 'no change' WHEN after > before THEN 'yes' ELSE 'no' END AS improved FROM b JOIN a USING (metric)""")
 def classification_before_after(spark, sf_dir):
-    """Test scores of the baseline and of the refitted best setting."""
-    shaped, settings, _, best = _nb_grid(spark, sf_dir)
-    lines = {}
-    for name, setting in (("before", {}), ("after", settings[best])):
-        scores = _class_scores(_nb(setting)(side(shaped, "train"))(side(shaped, "test"))).select("accuracy", "weighted_f1")
-        lines[name] = round_columns(scores, ["accuracy", "weighted_f1"]).unpivot([], ["accuracy", "weighted_f1"], "metric", name)
-    both = lines["before"].join(lines["after"], "metric").select(F.lit("gaussian nb").alias("model"), "*", F.lit(True).alias("higher_is_better"))
+    """Test scores of the baseline and of the best smoothing, refitted on all training texts."""
+    df = split_reviews(spark, sf_dir)
+    model = tfidf.Tfidf(maxFeatures=CAP).fit(side(df, "train"))
+    rows = materialise(model.weights(df).select(F.lit(0).alias("group"), "id", "label", "split", *sparse_bayes.weights_of()))
+    fits = sparse_bayes.fit(side(rows, "train"), "label", len(model.getOrDefault("vocabulary")))
+    best = _nb_grid(spark, sf_dir).where("best").first()["candidate"]
+    scores = fold_metrics(sparse_bayes.scored(side(rows, "test"), fits, "negative", [SMOOTHINGS[0], SMOOTHINGS[best]]), ("candidate",))
+    wide = scores.where(F.col("metric").isin("accuracy", "weighted_f1", "roc_auc")).groupBy("metric").agg(
+        *[rounded(F.max(F.when(F.col("candidate") == i, F.col("value")))).alias(name) for i, name in enumerate(("before", "after"))])
+    both = wide.select(F.lit("gaussian nb").alias("model"), "metric", "before", "after", F.lit(True).alias("higher_is_better"))
     return evaluate.before_after(both).withColumn("change", rounded("change"))

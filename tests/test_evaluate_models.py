@@ -88,7 +88,7 @@ def test_scores_come_from_probabilities_or_decision_values(indexed):
         df = df.withColumn("predicted", F.when(F.col("prediction") == 1, N).otherwise(POS))
         auc = {r["source"]: r["roc_auc"] for r in evaluate.hard_label_auc(df, "label", "predicted", "score").collect()}
         assert auc["score"] > 0.8 and auc["score"] != pytest.approx(auc["label"])
-    with pytest.raises(TypeError):
+    with pytest.raises(ValueError, match="none of"):
         evaluate.positive_scores(indexed)
 
 
