@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldloom.operators import bayes, evaluate, features, gram, knn, models, sparse_knn, split, tfidf, tune
+from fieldloom.operators import bayes, evaluate, features, gram, knn, models, sparse_knn, split, tfidf, trees, tune
 from fieldloom.plans.evaluation import METRIC_NAMES
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded, table
@@ -156,11 +156,65 @@ def tree_models(spark, sf_dir):
         "tree": models.tree_regressor(), "forest": models.forest_regressor(), "boosting": models.boosted_regressor()})
 
 
-@query()
+# SQL: one tree without a depth limit over the eight prepared features; a row of ``grown`` is a training row on a level, with the split above it.
+_VECTOR = """[coalesce(l_quantity, 0)::DOUBLE, l_extendedprice, l_discount, l_tax, (l_linestatus = 'F')::INT::DOUBLE, (l_linestatus = 'O')::INT::DOUBLE]"""
+
+
+def _tree_sql(vector: str) -> str:
+    return f"""RECURSIVE {SPLIT_SQL}, tr AS (SELECT id, y, {vector} AS x FROM split_rows WHERE split = 'train'),
+grown AS (
+ SELECT 0 AS level, id, y, x, 0::BIGINT AS node, NULL::INT AS above, NULL::DOUBLE AS cut, NULL::DOUBLE AS gain FROM tr
+ UNION ALL
+ SELECT level + 1, id, y, x, node * 2 + (x[best.f] > best.t)::INT, best.f, best.t, best.gain FROM (
+  SELECT *, first_value({{'f': f, 't': t, 'gain': gain, 'share': share}}) OVER (PARTITION BY node ORDER BY share DESC NULLS LAST, f, t) AS best FROM (
+   SELECT *, moved * moved / nl + moved * moved / (n - nl) AS gain,
+    CASE WHEN nx > v AND sse > 0 THEN round((moved * moved / nl + moved * moved / (n - nl)) / sse, 9) END AS share, CASE WHEN (v + nx) / 2 >= nx THEN v ELSE (v + nx) / 2 END AS t FROM (
+    SELECT level, id, y, x, node, f, v, n, nx, sse, row_number() OVER o AS nl, sum(c) OVER (o ROWS UNBOUNDED PRECEDING) AS moved FROM (
+     SELECT *, y - my AS c, sum((y - my) * (y - my)) OVER (PARTITION BY node, f) AS sse, lead(v) OVER (PARTITION BY node, f ORDER BY v, id) AS nx FROM (
+      SELECT *, count(*) OVER (PARTITION BY node, f) AS n, avg(y) OVER (PARTITION BY node, f) AS my, max(y) OVER (PARTITION BY node, f) > min(y) OVER (PARTITION BY node, f) AS mixed FROM (
+       SELECT *, unnest(x) AS v, generate_subscripts(x, 1)::INT AS f FROM grown)) WHERE mixed)
+    WINDOW o AS (PARTITION BY node, f ORDER BY v, id)))) WHERE f = 1 AND best.share IS NOT NULL),
+splits AS (SELECT DISTINCT level - 1 AS level, node >> 1 AS node, above AS f, cut, gain FROM grown WHERE level > 0)"""
+
+
+def _plain_tree(spark, sf_dir):
+    """A full tree of the training lines over plain numbers: the four measures and the two line states."""
+    df = split_lines(spark, sf_dir)
+    states = [(F.col("l_linestatus") == s).cast("double") for s in ("F", "O")]
+    return trees.fit_trees(side(df.select("id", "y", "split", F.array(*[F.col(c).cast("double") for c in NUMERIC], *states).alias("features")), "train"), "y")
+
+
+PLAIN = [*NUMERIC, "l_linestatus_F", "l_linestatus_O"]
+
+
+@query(f"""WITH {_tree_sql(_VECTOR)}, g AS (SELECT f, sum(gain) AS g FROM splits GROUP BY f), names AS (SELECT unnest({PLAIN}) AS feature, generate_subscripts({PLAIN}, 1) AS f)
+SELECT feature, round(coalesce(g, 0) / (SELECT sum(g) FROM g), 5) + 0.0 AS importance FROM names LEFT JOIN g USING (f)""")
 def importance(spark, sf_dir):
-    train, _ = prepared(spark, sf_dir, scale=False)
-    model = models.tree_regressor().fit(train)
-    return round_columns(models.importances(model, models.feature_names(train), train), ["importance"])
+    """Share of the fall in squared error over all splits of a full tree, recomputed by SQL split for split."""
+    found = trees.importances(_plain_tree(spark, sf_dir), len(PLAIN))
+    names = spark.createDataFrame(list(enumerate(PLAIN)), "feature int, name string")
+    return round_columns(found.join(names, "feature").select(F.col("name").alias("feature"), "importance"), ["importance"], 5)
+
+
+@query(f"""WITH {_tree_sql(_VECTOR)}, top AS (SELECT f, cut FROM splits WHERE level = 0)
+SELECT (SELECT max(level) + 1 FROM splits)::INT AS depth, (SELECT count(*) + 1 FROM splits) AS n_leaves, (SELECT {PLAIN}[f] FROM top) AS top_feature, round((SELECT cut FROM top), 6) AS top_threshold""")
+def tree_facts(spark, sf_dir):
+    """Depth, leaves and first split of the same tree."""
+    model = trees.TreeModel(_plain_tree(spark, sf_dir), "features", len(PLAIN), False)
+    facts = model.facts()
+    return spark.createDataFrame([(facts["depth"], facts["leaves"], PLAIN[facts["feature"]], round(facts["threshold"], 6))], "depth int, n_leaves long, top_feature string, top_threshold double")
+
+
+@query(f"""WITH {_tree_sql(_VECTOR)}, c AS (SELECT level, node, count(*) AS n FROM grown GROUP BY ALL)
+SELECT s.level::INT AS depth, {PLAIN}[s.f] AS feature, round(cut, 6) AS threshold, n AS n_rows, round(gain / n, 3) AS gain_per_row FROM splits s JOIN c USING (level, node) WHERE s.level < 5""")
+def tree_splits(spark, sf_dir):
+    """Every split of the first five levels with its rows and the fall of the squared error for each of them."""
+    nodes = _plain_tree(spark, sf_dir).where("depth <= 5")
+    child = nodes.select(F.col("node").alias("child"), F.col("sse").alias("below"))
+    split_ = nodes.where("left >= 0 AND depth < 5").select("node", "depth", "feature", "threshold", F.col("rows").alias("n_rows"), "sse", F.explode(F.array("left", "right")).alias("child"))
+    both = split_.join(child, "child").groupBy("node", "depth", "feature", "threshold", "n_rows").agg((F.first("sse") - F.sum("below")).alias("gain"))
+    name = F.element_at(F.array(*map(F.lit, PLAIN)), F.col("feature") + 1)
+    return both.select("depth", name.alias("feature"), rounded("threshold").alias("threshold"), "n_rows", rounded(F.col("gain") / F.col("n_rows"), 3).alias("gain_per_row"))
 
 
 @query()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldloom.operators import bayes, evaluate, features, gram, models, sparse_bayes, split, tfidf, tune
 from fieldloom.plans.modelling import NUMERIC, side
 from fieldloom.plans.preparation import SPLIT_SQL
-from fieldloom.plans.registry import query, round_columns, rounded
+from fieldloom.plans.registry import query, round_columns, rounded, table
 from fieldloom.plans.splitting import kfold_sql, split_lines
 from fieldloom.plans.text import CAP, WORDS, pairs, split_reviews
 from fieldloom.plans.text import SPLIT_SQL as REVIEWS_SPLIT_SQL
@@ -205,16 +205,23 @@ def feature_effect(spark, sf_dir):
 
 @query()
 def model_grid_search(spark, sf_dir):
-    """The published grid of one model kind: preprocessing learned within each fold, every candidate fitted per fold."""
+    """The published grid of the tree, all depths from one fit for each fold and leaf size; preprocessing learned within each fold."""
     train = training_folds(spark, sf_dir)
     pre = features.TabularPreprocessor(numeric=NUMERIC, categorical=["l_linestatus"], scale=False)
-    space = models.buildable(tune.REGRESSION_SPACES["tree"])
+    scores = tune.tree_scores(train, "tree", tune.REGRESSION_SPACES["tree"], "y", prepare=lambda rows: pre.fit(rows).transform)
+    return tune.ranked_candidates(scores, "r2").select("rank", "setting", rounded("mean").alias("mean"), rounded("std").alias("std"))
 
-    def make(setting):
-        return lambda rows: models.tree_regressor(**setting).fit(rows).transform
 
-    table, _, _ = tune.grid_search(train, "tree", make, space, _score, "r2", prepare=lambda rows: pre.fit(rows).transform, parallelism=8)
-    return table.select("rank", "setting", rounded("mean").alias("mean"), rounded("std").alias("std"))
+@query()
+def forest_grid_search(spark, sf_dir):
+    """The published grid of the forest over the parts: 36 candidates from 400 trees for each fold and leaf size."""
+    parts = table(spark, sf_dir, "part")
+    word = lambda i: F.crc32(F.element_at(F.split("p_type", " "), i).cast("binary")) % 97
+    rows = parts.select(F.col("p_partkey").alias("id"), F.lit("train").alias("split"), F.col("p_retailprice").alias("y"),
+                        F.array(*[c.cast("double") for c in (F.col("p_size"), F.length("p_name"), F.length("p_brand"), word(1), word(-1))]).alias("features"))
+    folded = materialise(split.kfold(rows, "id"))
+    scores = tune.tree_scores(folded, "forest", tune.REGRESSION_SPACES["forest"], "y", bootstrap=True)
+    return tune.ranked_candidates(scores, "r2").select("rank", "setting", rounded("mean").alias("mean"), rounded("std").alias("std"))
 
 
 # ---------------------------------------------------------------- classification

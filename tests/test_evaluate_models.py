@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from fieldloom.operators import bayes, evaluate, gram, knn, models, split, tune
+from fieldloom.operators import bayes, evaluate, gram, knn, models, split, trees, tune
 
 
 def frame(spark, actual, predicted, score):
@@ -194,8 +194,8 @@ def test_tree_models_by_properties(rows):
     for depth in (2, 6):
         fitted = models.tree_regressor(max_depth=depth).fit(rows)
         error[depth] = evaluate.regression_metrics(fitted.transform(rows), "y", "prediction").first()["rmse"]
-        assert models.tree_facts(fitted)["depth"] <= depth
-        assert models.importances(fitted, ["a", "b", "c"], rows).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+        assert fitted.facts()["depth"] <= depth
+        assert trees.importances(fitted.nodes, 3).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
     assert error[6] < error[2]
 
 
@@ -349,7 +349,7 @@ def test_preparation_is_learned_within_each_fold(rows):
 def test_depths_beyond_the_limit_are_no_silent_clamp():
     assert models.tree_depth(None) == 30 and models.tree_depth(None, 12) == 12
     with pytest.raises(ValueError):
-        models.tree_regressor(max_depth=31)
+        models.tree_classifier(max_depth=31)
     space = models.buildable(tune.CLASSIFICATION_SPACES["tree"])
     assert space["max_depth"] == [5, 10, 20, 30] and len(tune.candidates(space)) == 32
 
