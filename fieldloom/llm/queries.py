@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.llm import decontaminate, html_extract, hybrid_search, merkle, mixing, secrets, sharding, simhash, substring, suffix, toxicity, url_filter, vafile
 from fieldloom.llm.common import table
-from fieldloom.session import checkpoint_root
 
 # The contract's rules of URLs.
 URL_RULES = (
@@ -52,7 +49,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
-    found = secrets.scan_secrets(docs, f"{checkpoint_root(spark)}/ledger-{uuid.uuid4().hex}")
+    found = secrets.scan_secrets(docs, secrets.ledger_path(spark))
     text = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     base = F.filter("spans", lambda x: x["rank"] < len(secrets.BASE))
     kinds = F.transform("spans", lambda x: x["kind"])
@@ -161,8 +158,8 @@ def _span_sql(rule: secrets.Rule, rank: int) -> str:
     kept = f"regexp_extract_all(t, '{pattern}', {rule.kept})" if rule.kept else f"regexp_extract_all(t, '{pattern}')"
     return f"""
   SELECT n, unnest(list_filter(list_transform(range(1, len(h) + 1), lambda i: {{
-      's': list_sum(list_transform(g[1:i], lambda x: length(x))) + COALESCE(list_sum(list_transform(h[1:i-1], lambda x: length(x))), 0),
-      'r': {rank}, 'k': '{rule.kind}', 'l': length(h[i]), 'kept': length(q[i])}}), lambda x: x.kept >= {rule.least})) AS s
+      's': list_sum(list_transform(g[1:i], lambda x: length(x))) + COALESCE(list_sum(list_transform(h[1:i-1], lambda x: length(x))), 0){" + length(h[i]) - length(q[i])" * rule.led},
+      'r': {rank}, 'k': '{rule.kind}', 'l': length({"q" if rule.led else "h"}[i]), 'kept': length(q[i])}}), lambda x: x.kept >= {rule.least})) AS s
   FROM (SELECT n, regexp_split_to_array(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS h, {kept} AS q FROM d WHERE regexp_matches(t, '{pattern}'))"""
 
 

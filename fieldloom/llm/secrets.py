@@ -6,7 +6,9 @@ rules on one version of each, appends to the ledger, and joins the findings back
 the blob. A text that is repeated a thousand times, or that a former scan has seen, is searched once.
 
 Positions come from the pieces between the matches: a text is split by the pattern and its matches are
-extracted by the same pattern, so lengths of both give every start and end in code points.
+extracted by the same pattern, so running sums over the lengths of both give every start and end in code points. Sums,
+and the cuts of masking, run over pieces of ``PIECE`` entries, so time grows with the matches and not with their square;
+no pattern rescans a run of its own characters from every place in it.
 
 Cases: NULL text is the empty blob; a NULL or repeated path is a path like any other, row by row; an empty
 table gives an empty result; extra columns are not looked at.
@@ -15,14 +17,21 @@ table gives an empty result; extra columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldloom.session import checkpoint_root
+
 #: Copies of a blob's findings in the last join, so that a blob under very many paths is dealt to as many tasks.
 SALTS = 16
+#: Entries that one running sum or one cut text serves.
+PIECE = 256
+#: Session setting that names the ledger's folder; without it a run has a ledger of its own.
+LEDGER_SETTING = "spark.fieldloom.secrets.ledger"
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
 
@@ -33,16 +42,20 @@ def any_case(words: str) -> str:
 
 @dataclass(frozen=True)
 class Rule:
-    """``kept`` is the group whose length must reach ``least``; shorter matches are dropped after matching."""
+    """``kept`` is the group whose length must reach ``least``; shorter matches are dropped after matching.
+
+    With ``led`` the match begins with what must stand before the secret, and the secret is the group ``kept``, up to its end.
+    """
 
     kind: str
     pattern: str
     least: int = 0
     kept: int = 0
+    led: bool = False
 
     @property
     def version(self) -> str:
-        return f"{self.kind}@{hashlib.md5(repr((self.pattern, self.least, self.kept)).encode()).hexdigest()[:12]}"
+        return f"{self.kind}@{hashlib.md5(repr((self.pattern, self.least, self.kept, self.led)).encode()).hexdigest()[:12]}"
 
 
 # The base kinds, in the order in which they are listed.
@@ -55,27 +68,51 @@ BASE = (
 # Kinds that this method adds; public token formats.
 ADDED = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", r"(?:^|[^A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", kept=1, led=True),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
 
 
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _pieces(a: Column) -> Column:
+    """The array in arrays of ``PIECE`` entries."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(a) - 1, F.lit(0)) / PIECE).cast("int")), lambda k: F.slice(a, k * PIECE + 1, F.lit(PIECE)))
+
+
+def running(a: Column, combine, levels: int = 1) -> Column:
+    """For each whole number of an array what ``combine`` makes of 0 and all before it, piece by piece, and so for the pieces' totals."""
+    total = lambda c: F.aggregate(c, F.lit(0), combine)
+
+    def inside(c, start):
+        begin = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda acc, x: F.struct(combine(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(c, begin, step, lambda acc: acc["out"])
+
+    if not levels:
+        return inside(a, F.lit(0))
+    return _with(_pieces(a), lambda pieces: F.flatten(F.zip_with(pieces, running(F.transform(pieces, total), combine, levels - 1), inside)))
+
+
 def spans(text: Column, rule: Rule, rank: int) -> Column:
     """array<struct<start, rank, kind, end>> of the leftmost non-overlapping matches, positions in code points."""
     whole = F.regexp_extract_all(text, F.lit(f"({rule.pattern})"), F.lit(1))
     kept = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.kept)) if rule.kept else whole
-    rows = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("hit"), kept.alias("kept"))
-    empty = F.struct(F.lit(0).alias("at"), F.lit([]).cast(f"array<{SPAN}>").alias("found"))
+    rows = F.transform(F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("hit"), kept.alias("kept")),
+                       lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.length(x["kept"]).alias("kept")))
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        here = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        good = F.length(x["kept"]) >= rule.least
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["found"], F.array(here))).otherwise(acc["found"]).alias("found"))
+    def placed(lengths):
+        before = running(F.transform(lengths, lambda x: x["gap"] + F.coalesce(x["hit"], F.lit(0))), lambda a, b: a + b)
+        entries = F.zip_with(lengths, before, lambda x, at: F.struct((at + x["gap"]).alias("at"), x["hit"].alias("hit"), x["kept"].alias("kept")))
+        good = F.filter(entries, lambda x: x["hit"].isNotNull() & (x["kept"] >= rule.least))
+        lead = (lambda x: x["hit"] - x["kept"]) if rule.led else (lambda x: F.lit(0))
+        return F.transform(good, lambda x: F.struct((x["at"] + lead(x)).alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), (x["at"] + x["hit"]).alias("end")))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(rows, empty, step, lambda acc: acc["found"])).otherwise(F.lit([]).cast(f"array<{SPAN}>"))
+    return F.when(text.rlike(rule.pattern), _with(rows, placed)).otherwise(F.lit([]).cast(f"array<{SPAN}>"))
 
 
 class BlobLedger:
@@ -111,9 +148,11 @@ class BlobLedger:
     def found(self, rules: Sequence[Rule] = BASE + ADDED) -> DataFrame:
         """blob, salt, spans of ``rules`` by start, then kind as listed: each blob with findings under every salt."""
         kinds = [r.kind for r in rules]
-        spans = F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans"))))
-        known = self.rows().where(F.size("spans") > 0).groupBy("blob").agg(spans.alias("spans"))
-        return known.withColumn("spans", F.filter("spans", lambda s: s["kind"].isin(kinds))).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        ordered = F.array_sort(F.flatten(F.collect_list("spans")))
+        known = self.rows().where(F.size("spans") > 0).groupBy("blob").agg(ordered.alias("spans"))
+        # A span that two scans have found stands twice, side by side.
+        own = F.filter("spans", lambda s, i: s["kind"].isin(kinds) & ~F.coalesce(F.get("spans", i - 1) == s, F.lit(False)))
+        return known.withColumn("spans", own).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
     def findings(self, versions: DataFrame, rules: Sequence[Rule] = BASE + ADDED) -> DataFrame:
         """Every row of ``versions`` (path, text) as path, blob, spans."""
@@ -142,14 +181,23 @@ def scan_secrets(versions: DataFrame, ledger_path: str, rules: Sequence[Rule] =
 
 def redact(text: Column, found: Column, mask: str = "[SECRET]") -> Column:
     """``text`` with each maximal run of overlapping spans replaced by ``mask``; ``found`` is ordered by start."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
 
-    def step(acc, s):
-        gap = F.when(s["start"] >= acc["at"], F.concat(F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["kept"], gap).alias("kept"))
+    def cut(runs):
+        """The parts of the text between the runs: of each piece of the list first the text it lies in, then its parts."""
+        ends = F.concat(runs, F.array(F.struct(F.array_max(F.transform(found, lambda s: s["end"])).alias("from"), F.length(text).alias("to"))))
+        region = lambda c: F.substr(text, c[0]["from"] + 1, F.element_at(c, -1)["to"] - c[0]["from"])
+        parts = lambda c: _with(region(c), lambda r: F.transform(c, lambda x: F.substr(r, x["from"] - c[0]["from"] + 1, x["to"] - x["from"])))
+        return F.array_join(F.flatten(F.transform(_pieces(ends), parts)), mask)
+
+    # A run begins at a span that starts where all before it have ended; what is kept before it lies between.
+    before = running(F.transform(found, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    gaps = F.zip_with(found, before, lambda s, at: F.struct(at.alias("from"), s["start"].alias("to")))
+    return F.when(F.size(found) == 0, text).otherwise(_with(F.filter(gaps, lambda g: g["to"] >= g["from"]), cut))
+
 
-    return F.when(F.size(found) == 0, text).otherwise(
-        F.aggregate(found, start, step, lambda acc: F.concat(acc["kept"], F.substr(text, acc["at"] + 1, F.length(text)))))
+def ledger_path(spark: SparkSession) -> str:
+    """The ledger that the session names, for scans that go on from former ones; else a new one in the shared folder."""
+    return spark.conf.get(LEDGER_SETTING, None) or f"{checkpoint_root(spark)}/ledger-{uuid.uuid4().hex}"
 
 
 def masked(docs: DataFrame, ledger_path: str, rules: Sequence[Rule] = BASE + ADDED) -> DataFrame:

@@ -108,7 +108,7 @@ def secret_spans(text, rules):
     for rank, rule in enumerate(rules):
         for m in re.finditer(rule.pattern, text or ""):
             if len(m[rule.kept]) >= rule.least:
-                found.append((m.start(), rank, rule.kind, m.end()))
+                found.append((m.start(rule.kept if rule.led else 0), rank, rule.kind, m.end()))
     return sorted(found)
 
 

@@ -377,6 +377,43 @@ def test_masking_hides_secrets_and_keeps_the_rest(spark, messy, nothing, tmp_pat
     assert secrets.masked(nothing, f"file:{tmp_path}/none").count() == 0
 
 
+def test_running_values_equal_plain_ones(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "PIECE", 3)
+    rng = random.Random(2)
+    rows = [[rng.randrange(50) for _ in range(n)] for n in (0, 1, 2, 3, 4, 8, 9, 10, 27, 28, 100)]
+    df = spark.createDataFrame([(r,) for r in rows], "a array<int>")
+    for combine, plain in ((lambda a, b: a + b, sum), (lambda a, b: F.greatest(a, b), lambda x: max(x, default=0))):
+        got = df.select("a", secrets.running(F.col("a"), combine).alias("r")).collect()
+        assert all(list(r.r) == [plain(r.a[:i]) for i in range(len(r.a))] for r in got) and len(got) == len(rows)
+
+
+def test_texts_of_very_many_secrets(spark, tmp_path):
+    """Tens of thousands of matches in one text, and long runs that begin a token everywhere, stay cheap and right."""
+    import time
+
+    many = "password=abcdef é " * 40_000
+    texts = [many, "eyJ" * 40_000, "eyJ-" * 20_000 + ".", "x eyJabcdefgh.ijklmnop.qrstuvwx,eyJabcdefgh.ijklmnop.qrstuvwxyz", "AKIA" * 30_000, "token=" * 20_000 + "abcdefg"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = spans_of(secrets.scan_secrets(docs.withColumnRenamed("doc_id", "path"), f"file:{tmp_path}/one").collect())
+    clean = {r.doc_id: r.text for r in secrets.masked(docs, f"file:{tmp_path}/two").collect()}
+    assert time.time() - began < 60
+    assert got == [(i, brute.secret_spans(t, secrets.BASE + secrets.ADDED)) for i, t in enumerate(texts)] and len(got[0][1]) == 40_000
+    assert clean[0] == "[SECRET] é " * 40_000 and clean[1] == texts[1] and clean[3] == "x [SECRET],[SECRET]"
+
+
+def test_a_named_ledger_goes_on(spark, tmp_path):
+    assert secrets.ledger_path(spark) != secrets.ledger_path(spark)
+    spark.conf.set(secrets.LEDGER_SETTING, f"file:{tmp_path}/named")
+    try:
+        df = spark.createDataFrame([(1, "secret: abcdef"), (2, "nothing")], "path long, text string")
+        for n in (2, 2):
+            secrets.scan_secrets(df, secrets.ledger_path(spark))
+            assert secrets.BlobLedger(spark, secrets.ledger_path(spark)).rows().count() == n
+    finally:
+        spark.conf.unset(secrets.LEDGER_SETTING)
+
+
 # Benchmark items
 
 
