@@ -28,7 +28,7 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; every document stays."""
-    return secrets.masked(docs, f"{checkpoint_root(spark)}/ledger-{uuid.uuid4().hex}")
+    return secrets.masked(docs, secrets.ledger_path(spark))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
