@@ -3,11 +3,15 @@
 A page is cut into blocks of text at block-level tags. A linear classifier over tag and class roles,
 length, link share and likeness to the title gives each block a cost of being called boilerplate (the
 capacity from the source) or content (to the sink). Neighbouring blocks, and the next block under the same
-parent, are joined by smoothness edges that weaken with the distance of their places in the document tree.
+parent, are joined by smoothness edges that weaken with the distance of their places in the document tree, and where only one
+of them lies in a boilerplate element.
 The minimum cut (by maximum flow) is the labelling of least total cost; the source's side is the text.
 
-Roles that are never content (menus, forms, scripts, comments and the like) cost more than all edges of a
-block together, so smoothness cannot bring them in; everything else is decided by the cut.
+Roles are evidence of different strength. Tags that are never content (menus, forms, asides) and hidden elements cost more than all
+edges of a block together; so, a little less, does a container whose class, id or role has a boilerplate word as a whole token
+(``comments``, ``sidebar``). A word that is only part of a hyphenated token (``right-sidebar``), or stands on a
+paragraph, weighs little, and nothing once an ``article`` or ``main`` begins below; on ``html``, ``body``, ``main`` and ``article`` such words
+say nothing. Adverts, buttons and hidden text inside a line are left out of it. The rest is decided by the cut.
 
 Cases: NULL or empty html gives an empty text; broken markup (unclosed or stray tags, a cut-off end) is
 read as far as it goes; repeated pages are read one by one; an empty table gives an empty result; a page
@@ -19,7 +23,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -39,10 +43,20 @@ GOOD_TAGS = frozenset("article main".split())
 GOOD_WORDS = frozenset("article articlebody content post entry story main maincontent body text prose".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*(?:>|\Z)|<\Z|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
-_NAME_WORD = re.compile(r"[a-z]+")
-
-SMOOTH, SURE = 1.2, 50.0
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)(?![\w-])\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+_TOKEN = re.compile(r"[^\s\"']+")
+_PART = re.compile(r"[a-z]+")
+#: Where words of class and id say nothing against the text; where they stand on the text itself and say little.
+ROOT_TAGS = frozenset("html body main article".split())
+TEXT_TAGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 li dd dt td th figcaption caption".split())
+#: Left out of the line they stand in: elements by tag, and others by these words.
+MUTED_TAGS = frozenset("button select datalist".split())
+MUTED_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo".split())
+
+SMOOTH, SURE, CLEAR, HINT = 1.2, 50.0, 12.0, 4.0
+#: Distance in the tree from which edges weigh the same.
+FAR = 64
 
 
 @dataclass
@@ -50,7 +64,8 @@ class Node:
     tag: str
     parent: Node | None
     depth: int
-    never: bool
+    against: float  # of this or an element above, whatever stands below
+    hint: float  # of this or an element above, up to the next article
     good: bool
 
 
@@ -62,34 +77,77 @@ class Block:
     edges: list[int] = field(default_factory=list)
 
 
-def _roles(attributes: str) -> tuple[bool, bool]:
-    words: set[str] = set()
+@dataclass
+class Roles:
+    """What an element's attributes say: hidden, its whole tokens, and the words within them."""
+
+    hidden: bool
+    tokens: set[str]
+    parts: set[str]
+
+
+def _roles(attributes: str) -> Roles:
+    out = Roles(False, set(), set())
     for name, value in _ATTRIBUTE.findall(attributes):
-        if name.lower() == "hidden" or name.lower() == "aria-hidden" and "true" in value.lower():
-            return True, False
-        words.update(_NAME_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
-    return bool(words & NEVER_WORDS), bool(words & GOOD_WORDS)
+        name = name.lower()
+        if name == "style":
+            out.hidden |= bool(_HIDING.search(value))
+        elif name == "hidden" or name == "aria-hidden":
+            out.hidden |= name == "hidden" or "true" in value.lower()
+        else:
+            for token in _TOKEN.findall(value):
+                out.tokens.add(token.lower())
+                out.parts.update(_PART.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", token).lower()))
+    return out
+
+
+_PLAIN = Roles(False, set(), set())
+
+
+def _child(tag: str, parent: Node, roles: Roles) -> Node:
+    """The node of a block-level element, with what tags and words say for and against it."""
+    good = tag in GOOD_TAGS or bool(roles.tokens & GOOD_WORDS)
+    against, hint = parent.against, 0.0 if good else parent.hint
+    if roles.hidden or tag in NEVER_TAGS or tag == "header" and not parent.good:
+        against = SURE
+    elif tag not in ROOT_TAGS:
+        if tag in TEXT_TAGS:
+            hint = max(hint, HINT / 2) if roles.tokens & NEVER_WORDS else hint
+        elif roles.tokens & NEVER_WORDS:
+            against = max(against, CLEAR)
+        elif roles.parts & NEVER_WORDS and not good:
+            hint = max(hint, HINT)
+    return Node(tag, parent, parent.depth + 1, against, hint, parent.good or good or bool(roles.parts & GOOD_WORDS))
 
 
 def parse(page: str) -> tuple[list[Block], str]:
     """Blocks in page order, and the title."""
-    root = Node("#", None, 0, False, False)
+    root = Node("#", None, 0, 0.0, 0.0, False)
     blocks: list[Block] = []
     title, pieces, linked, links, at, node = "", [], 0, 0, 0, root
+    opened: Counter[str] = Counter()
+    muted, inside = "", 0  # the element that is left out of its line, and how often its tag is open
 
     def flush():
-        nonlocal pieces, linked
+        nonlocal pieces, linked, muted
+        muted = ""
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
                 blocks.append(Block(node, text, linked))
             pieces, linked = [], 0
 
+    def leave(to: Node):
+        nonlocal node
+        while node is not to:
+            opened[node.tag] -= 1
+            node = node.parent
+
     size = len(page)
     while at < size:
         m = _TAG.search(page, at)
         stop = m.start() if m else size
-        if stop > at:
+        if stop > at and not muted:
             text = page[at:stop]
             if "&" in text:
                 text = entities.unescape(text)
@@ -103,16 +161,21 @@ def parse(page: str) -> tuple[list[Block], str]:
         if not name:
             continue
         name = name.lower()
+        if muted and name == muted and not attributes.rstrip().endswith("/"):
+            inside += -1 if closing else 1
+            if not inside:
+                muted = ""
+                pieces.append(" ")
+            continue
         if closing:
             if name == "a":
                 links = max(0, links - 1)
-            if name in BLOCK_TAGS:
+            if name in BLOCK_TAGS and opened[name] > 0:
                 up = node
-                while up.tag not in (name, "#"):
+                while up.tag != name:
                     up = up.parent
-                if up.tag == name:
-                    flush()
-                    node = up.parent
+                flush()
+                leave(up.parent)
             continue
         if name in RAW_TAGS:
             end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -124,26 +187,30 @@ def parse(page: str) -> tuple[list[Block], str]:
         if name == "br":
             pieces.append(" ")
             continue
-        if name == "a":
-            links += 1
-        if name in ("button", "select") or name in BLOCK_TAGS:
-            flush()
-            if name in CLOSES_P:
-                node = _close(node, {"p"}, SCOPES["p"])
-            if name in SIBLINGS:
-                node = _close(node, SIBLINGS[name], SCOPES[name])
-            if name not in VOID_TAGS and name in BLOCK_TAGS:
-                never, good = _roles(attributes) if attributes.strip() else (False, False)
-                page_header = name == "header" and not node.good
-                node = Node(name, node, node.depth + 1, node.never or never or name in NEVER_TAGS or page_header, node.good or good or name in GOOD_TAGS)
+        roles = _roles(attributes) if attributes.strip() else _PLAIN
+        if name not in BLOCK_TAGS:
+            if not muted and name not in VOID_TAGS and (name in MUTED_TAGS or roles.hidden or roles.tokens & MUTED_WORDS) and not attributes.rstrip().endswith("/"):
+                muted, inside = name, 1
+                pieces.append(" ")
+            elif name == "a":
+                links += 1
+            continue
+        flush()
+        if name in CLOSES_P:
+            leave(_close(node, {"p"}, SCOPES["p"], opened))
+        if name in SIBLINGS:
+            leave(_close(node, SIBLINGS[name], SCOPES[name], opened))
+        if name not in VOID_TAGS:
+            node = _child(name, node, roles)
+            opened[name] += 1
     flush()
     return blocks, title
 
 
-def _close(node: Node, tags: set[str], scope: set[str]) -> Node:
+def _close(node: Node, tags: set[str], scope: set[str], opened: Counter[str]) -> Node:
     """The parent of the innermost open one of ``tags``, unless something of ``scope`` is in between."""
     up = node
-    while up.tag != "#" and up.tag not in scope:
+    while any(opened[t] > 0 for t in tags) and up.tag != "#" and up.tag not in scope:
         if up.tag in tags:
             return up.parent
         up = up.parent
@@ -152,7 +219,7 @@ def _close(node: Node, tags: set[str], scope: set[str]) -> Node:
 
 def evidence(block: Block, title: str) -> float:
     """Log-odds of being content."""
-    if block.node.never:
+    if block.node.against >= SURE:
         return -SURE
     words = block.text.count(" ") + 1
     share = block.linked / max(1, len(block.text))
@@ -163,12 +230,12 @@ def evidence(block: Block, title: str) -> float:
         score += 1.5 if title and (block.text in title or title in block.text) else 0.5
     if block.text.startswith(("©", "(c) ", "Copyright")) and words < 30:
         score -= 3.0
-    return score
+    return score - block.node.against - block.node.hint
 
 
 def _distance(a: Node, b: Node) -> int:
     steps = 0
-    while a is not b:
+    while a is not b and steps < FAR:
         if a.depth >= b.depth:
             a = a.parent
         else:
@@ -250,7 +317,9 @@ def label(blocks: list[Block], title: str) -> list[bool]:
         if parent in last:
             near.add(last[parent])
         for j in near:
-            weight = SMOOTH / (1 + _distance(blocks[j].node, b.node))
+            weight = SMOOTH / max(1, _distance(blocks[j].node, b.node) - 1)
+            if (blocks[j].node.against > 0) != (b.node.against > 0):
+                weight /= 4  # a menu beside a headline says little about it
             net.edge(j, i, weight, weight)
         last[parent] = i
     return net.source_side(n, n + 1)[:n]

@@ -279,6 +279,57 @@ def test_extraction_keeps_the_article():
     assert html_extract.main_text(page) == "A title\nFirst & foremost, a bold\nsecond paragraph <here> with a link in it.\nLast one."
 
 
+LINE = "The quick brown fox jumps over the lazy dog near the old river bank while many people watch it from the bridge above."
+ARTICLE = f"<h1>A fine headline</h1><p>{LINE} {LINE}</p><p>{LINE}</p><p>The end.</p>"
+PAGES = [
+    f'<body class="single-post right-sidebar"><article>{ARTICLE}</article></body>', f'<html class="js cookies"><body><article>{ARTICLE}</article></body></html>',
+    f'<body><div class="content with-sidebar">{ARTICLE}</div></body>', f'<body><article class="post comments-open">{ARTICLE}</article></body>',
+    f'<body><article id="post-social-media-law">{ARTICLE}</article></body>', f"<body><article>{ARTICLE.replace('<p>', '<p class=legal>', 1)}</article></body>",
+    f"<body><article>{ARTICLE.replace('</p>', '<span class=advert>Buy <b>now</b></span></p>', 1)}</article></body>",
+    f"""<body><article>{ARTICLE.replace('</p>', '<i style="display:none">secret</i></p><p style="display: none">Hidden.</p>', 1)}</article></body>""",
+    f"<body><article>{ARTICLE.replace('</p>', '<button>Like</button></p>', 1)}</article></body>",
+    f"<head><title>A fine headline</title></head><body><nav>Home About</nav>{ARTICLE.replace('</h1>', '</h1><article>')}</article><footer>Foot</footer></body>",
+    f'<body><div>{ARTICLE}</div><div class="comments"><p>{LINE}</p></div><footer>Foot</footer></body>',
+    f'<body><article>{ARTICLE}<section class="comments"><h3>Comments</h3><article><p>{LINE}</p></article></section></article><aside>{LINE}</aside></body>',
+    f'<body><div class="layout right-sidebar"><main>{ARTICLE}</main><div class="site-sidebar"><ul><li><a href=x>One link</a></li></ul></div></div></body>',
+]
+
+
+@pytest.mark.parametrize("page", PAGES)
+def test_extraction_loses_no_clean_article(page):
+    assert html_extract.main_text(page) == f"A fine headline\n{LINE} {LINE}\n{LINE}\nThe end."
+
+
+def test_pages_are_cut_at_least_cost():
+    """Whole pages: the labelling against all labellings of their blocks, with the same evidence and edges."""
+    for page in PAGES:
+        blocks, title = html_extract.parse(page)
+        costs, last, edges = [html_extract.evidence(b, title) for b in blocks], {}, []
+        for i, b in enumerate(blocks):
+            for j in ({i - 1} if i else set()) | ({last[id(b.node.parent)]} if id(b.node.parent) in last else set()):
+                apart = (blocks[j].node.against > 0) != (b.node.against > 0)
+                edges.append((i, j, html_extract.SMOOTH / max(1, html_extract._distance(blocks[j].node, b.node) - 1) / (4 if apart else 1)))
+            last[id(b.node.parent)] = i
+
+        def cost(side):
+            return sum(max(0, c) if not x else max(0, -c) for c, x in zip(costs, side)) + sum(w for i, j, w in edges if side[i] != side[j])
+
+        n = len(blocks)
+        assert cost(html_extract.label(blocks, title)) == pytest.approx(min(cost([m >> i & 1 == 1 for i in range(n)]) for m in range(1 << n)))
+
+
+def test_extraction_of_deep_pages_is_linear():
+    import time
+
+    seconds = []
+    for n in (4000, 16000):
+        began = time.time()
+        html_extract.main_text("<div>" * n + "text" + "</p></li></ul>" * n)
+        html_extract.main_text("<div><li>x" * n)
+        seconds.append(time.time() - began)
+    assert seconds[1] < 10 * seconds[0] + 0.5
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "<p>x", "</p></p>text", "<script>never closed", "<!-- never closed", "a < b & c", "<a href='", "&#xZZ;&bogus;", "<p>" * 3000 + "deep"])
 def test_extraction_of_broken_pages(page):
     assert isinstance(html_extract.main_text(page), str)
