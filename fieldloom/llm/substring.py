@@ -5,7 +5,8 @@ buckets, so two different windows are taken for equal only if both agree: the bi
 with the number of buckets, which grows with the data. Within a chunk a window that an earlier document has is
 settled at once, so a passage in a third of all documents reaches its bucket once for each chunk, not for
 each document. A bucket finds the smallest document of every window; the places of the others go back to
-their chunk, where they merge into maximal intervals, which then meet the texts by document.
+their chunk, where they merge into maximal intervals, which then meet the texts by document; texts that surely have none
+(by a Bloom filter of those that have) stay out of that exchange.
 
 Cases: NULL and empty texts have no words; a text shorter than the window loses nothing; a row with a NULL id
 is kept whole and makes no other lose words (no id is smaller); rows sharing an id do not remove each other's
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm import packed
-from fieldloom.llm.common import merge_intervals, text_key, utf8_texts
+from fieldloom.llm.common import key_filter, merge_intervals, text_key, utf8_texts
 from fieldloom.session import materialise
 
 #: Words of a chunk and UTF-8 bytes of text for each bucket, both for bounded memory.
@@ -186,10 +187,17 @@ def kept_words(text: bytes, starts: bytes | None, ends: bytes | None) -> tuple[i
 
 
 def with_intervals(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` under ``row`` with starts and ends of what is to go, NULL where nothing is."""
+    """``docs`` under ``row`` with starts and ends of what is to go, NULL where nothing is.
+
+    Only texts that the filter of the found documents lets through meet the join; the others stay where they are.
+    """
     found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "starts", "ends")
+    among = key_filter(found.select(F.xxhash64("_id", "_key").alias("name")), "name")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_doc"), text_key().alias("_text"))
-    return rows.join(found, (F.col("_doc") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left").select("row", "starts", "ends")
+    rows = rows.withColumn("_may", among(F.xxhash64("_doc", "_text")))
+    met = rows.where("_may").join(found, (F.col("_doc") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left").select("row", "starts", "ends")
+    none = F.lit(None).cast("binary")
+    return met.union(rows.where("NOT _may").select("row", none, none))
 
 
 def dedup_windows(docs: DataFrame, width: int = 13) -> DataFrame:

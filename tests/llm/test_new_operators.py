@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.llm import hybrid_search, merkle, queries, sharding
+from fieldloom.llm import common, hybrid_search, merkle, queries, sharding
 from tests.llm import brute
 from tests.llm.test_operators import ordered, rows_of
 
@@ -170,3 +170,15 @@ def test_chunks_search_exactly_with_any_bar(monkeypatch):
             docs, scores = chunk.search(list(range(12)), k, bar)
             kth = max(bar, int(np.sort(full[full >= bar])[-k]) if (full >= bar).sum() >= k else bar)
             assert dict(zip(docs.tolist(), scores.tolist())) == {d: s for d, s in enumerate(full.tolist()) if s >= kth}
+
+
+# Key filter
+
+
+def test_key_filter_misses_nothing_and_lets_little_else_through(spark):
+    keys = spark.range(0, 4000).select((F.col("id") * 7919 - 10**6).alias("k"))
+    among = common.key_filter(keys, "k")
+    assert keys.where(among(F.col("k"))).count() == 4000
+    assert spark.range(10**9, 10**9 + 50000).where(among(F.col("id"))).count() < 5
+    none = common.key_filter(keys.where("false"), "k")
+    assert keys.where(none(F.col("k"))).count() == 0
