@@ -139,7 +139,9 @@ def fit(gram: Gram, alpha: float = 0.0, l1_ratio: float = 0.0, scale: bool = Tru
     a = cov[:p, :p] / np.outer(s, s)
     b = cov[:p, p] / s
     if lasso_form if lasso_form is not None else l1_ratio > 0:
-        w = _coordinate_descent(a, b, alpha * l1_ratio, alpha * (1 - l1_ratio))
+        from fieldloom.operators.homotopy import solve
+
+        w = solve(a, b, alpha * l1_ratio, alpha * (1 - l1_ratio))[0]
     elif alpha > 0:
         w = np.linalg.solve(a + np.eye(p) * alpha / gram.n, b)
     else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -94,11 +95,43 @@ def lasso_path_two(spark, sf_dir):
     return round_columns(round_columns(tune.path(spark, found, "lasso", tune.LASSO_PATH), ["alpha"]), ["coefficient"], 4)
 
 
-@query()
+def moments_sql(source: str, columns: list[str], by: str = "0", unit: bool = True) -> str:
+    """Of each group: n, means m1.., deviations s1.. (1 with ``unit`` false), correlations c1_2.., covariances r1.. with y, and my, vy."""
+    p = range(1, len(columns) + 1)
+    x = dict(zip(p, columns))
+    spread = ", ".join(f"coalesce(nullif(stddev_pop({x[i]}), 0), 1) AS s{i}" if unit else f"1.0::DOUBLE AS s{i}" for i in p)
+    raw = ", ".join(f"covar_pop({x[i]}, {x[j]}) AS v{i}_{j}" for i in p for j in p if i <= j) + ", " + ", ".join(f"covar_pop({x[i]}, y) AS t{i}, avg({x[i]}) AS m{i}" for i in p)
+    put = ", ".join(f"v{min(i, j)}_{max(i, j)} / (s{i} * s{j}) AS c{i}_{j}" for i in p for j in p) + ", " + ", ".join(f"t{i} / s{i} AS r{i}" for i in p)
+    return f"(SELECT *, {put} FROM (SELECT {by} AS k, count(*)::DOUBLE AS n, avg(y) AS my, var_pop(y) AS vy, {spread}, {raw} FROM {source} GROUP BY 1))"
+
+
+def descent_sql(p: int, settings: str, rounds: int) -> str:
+    """``fit``: coefficients w1.. of the standardised problem by ``rounds`` of coordinate descent, for every group of ``mo`` and row (i, l1, l2n, l2) of ``settings``."""
+    inner = "SELECT gs.*, {} FROM gs JOIN mo USING (k) WHERE it < {}".format(", ".join([*(f"c{i}_{j}" for i in range(1, p + 1) for j in range(1, p + 1)), *(f"r{i}" for i in range(1, p + 1)), "n"]), rounds)
+    for i in range(1, p + 1):
+        rest = f"(r{i} - (" + " + ".join(f"c{i}_{j} * w{j}" for j in range(1, p + 1) if j != i) + "))" if p > 1 else f"r{i}"
+        new = f"CASE WHEN c{i}_{i} = 0 THEN 0 ELSE sign({rest}) * greatest(abs({rest}) - l1, 0) / (c{i}_{i} + l2 + l2n / n) END"
+        inner = f"SELECT * REPLACE ({new} AS w{i}) FROM ({inner})"
+    ws = ", ".join(f"w{i}" for i in range(1, p + 1))
+    zero = ", ".join(f"0.0::DOUBLE AS w{i}" for i in range(1, p + 1))
+    return f"gs AS (SELECT k, i, l1, l2n, l2, 0 AS it, {zero} FROM mo, ({settings}) UNION ALL SELECT k, i, l1, l2n, l2, it + 1, {ws} FROM ({inner})), fit AS (SELECT k, i, l1, l2n, l2, {ws} FROM gs WHERE it = {rounds})"
+
+
+def predicted_sql(columns: list[str], fit: str = "fit", mo: str = "mo") -> str:
+    return f"{mo}.my + " + " + ".join(f"{fit}.w{i} * ({c} - {mo}.m{i}) / {mo}.s{i}" for i, c in enumerate(columns, 1))
+
+
+_LASSO = "SELECT j AS i, power(10, -3 + j * 4.5 / 27.0::DOUBLE) AS l1, 0 AS l2n, 0 AS l2 FROM range(28) t(j)"
+
+
+@query(f"""WITH RECURSIVE {SPLIT_SQL}, tr AS (SELECT * FROM split_rows WHERE split = 'train'), mo AS {moments_sql('tr', NUMERIC)}, {descent_sql(4, _LASSO, 100)},
+z AS (SELECT l1, [w1, w2, w3, w4] AS w, CAST((abs(w1) < 1e-12)::INT + (abs(w2) < 1e-12)::INT + (abs(w3) < 1e-12)::INT + (abs(w4) < 1e-12)::INT AS BIGINT) AS n_zero FROM fit)
+SELECT round(l1, 6) AS alpha, unnest({NUMERIC}) AS feature, round(unnest(w), 4) + 0.0 AS coefficient, n_zero FROM z""")
 def lasso_path(spark, sf_dir):
+    """Four features along 28 penalties, exact by homotopy."""
     train = side(split_lines(spark, sf_dir), "train")
     found = gram.grams(train, NUMERIC, "y")[None]
-    return round_columns(tune.path(spark, found, "lasso", tune.LASSO_PATH), ["coefficient"], 4)
+    return round_columns(round_columns(tune.path(spark, found, "lasso", tune.LASSO_PATH), ["alpha"]), ["coefficient"], 4)
 
 
 # ---------------------------------------------------------------- estimators over the assembled vector
@@ -120,13 +153,37 @@ def _fitted_metrics(train, test, estimators):
     return evaluate.comparison_table(_regression(result), "r2")
 
 
-@query()
+# The eight prepared features: standardised numbers, one column for the line state, one for each return flag.
+_PREPARED = [f"(({c} - avg({c}) FILTER (split = 'train') OVER ()) / stddev_pop({c}) FILTER (split = 'train') OVER ())" for c in NUMERIC]
+_PREPARED += ["(l_linestatus = 'O')::INT::DOUBLE", *[f"(l_returnflag = '{f}')::INT::DOUBLE" for f in "ANR"]]
+_X8 = [f"x{i}" for i in range(1, 9)]
+_FOUR_KINDS = "SELECT * FROM (VALUES (0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE), (1, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE), (2, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE), (3, 0.5::DOUBLE, 0.0::DOUBLE, 0.5::DOUBLE)) t(i, l1, l2n, l2)"
+KINDS = ["linear", "ridge", "lasso", "elastic net"]
+
+
+@query(f"""WITH RECURSIVE {SPLIT_SQL}, px AS (SELECT split, y, {", ".join(f"{e} AS {x}" for e, x in zip(_PREPARED, _X8))} FROM split_rows), tr AS (SELECT * FROM px WHERE split = 'train'),
+mo AS {moments_sql('tr', _X8, unit=False)}, {descent_sql(8, _FOUR_KINDS, 400)},
+p AS (SELECT fit.i, y, {predicted_sql(_X8)} AS p FROM px, fit JOIN mo USING (k) WHERE split = 'test'),
+q AS (SELECT i, {KINDS}[i + 1] AS model, 1 - sum((y - p) ** 2) / (var_pop(y) * count(*)) AS r2, sqrt(avg((y - p) ** 2)) AS rmse, avg(abs(y - p)) AS mae FROM p GROUP BY i)
+SELECT row_number() OVER (ORDER BY round(r2, 6) DESC, model) AS rank, model, round(r2, 6) AS r2, round(rmse, 3) AS rmse, round(mae, 3) AS mae FROM q""")
 def linear_models(spark, sf_dir):
+    """Four baseline models from one sum of products over the prepared vector, scored on test."""
     train, test = prepared(spark, sf_dir)
-    facts = models.target_facts(train, "y")
-    return _fitted_metrics(train, test, {
-        "linear": models.linear(facts), "ridge": models.ridge(facts), "lasso": models.lasso(facts),
-        "elastic net": models.elastic_net(facts), "robust linear": models.robust_linear(facts)})
+    names = [f"f{i}" for i in range(train.select("features").first()[0].size)]
+    wide = lambda df: df.select("y", *[vector_to_array("features")[i].alias(n) for i, n in enumerate(names)])
+    sums = gram.grams(wide(train), names, "y")[None]
+    fits = dict(zip(KINDS, (gram.fit(sums, scale=False), gram.fit(sums, 1.0, scale=False), gram.fit(sums, 1.0, 1.0, scale=False), gram.fit(sums, 1.0, 0.5, scale=False))))
+    scored = wide(test).select("y", *[f.predict().alias(n) for n, f in fits.items()])
+    lines = scored.agg(*[F.struct(*evaluate.regression_aggregates("y", n)).alias(n) for n in KINDS])
+    long = lines.select(F.inline(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"`{n}`.r2").alias("r2"), F.col(f"`{n}`.rmse").alias("rmse"), F.col(f"`{n}`.mae").alias("mae")) for n in KINDS])))
+    return evaluate.comparison_table(round_columns(round_columns(long, ["r2"]), ["rmse", "mae"], 3), "r2")
+
+
+@query()
+def robust_linear(spark, sf_dir):
+    """The Huber loss on the same vector."""
+    train, test = prepared(spark, sf_dir)
+    return _fitted_metrics(train, test, {"robust linear": models.robust_linear(models.target_facts(train, "y"))})
 
 
 @query()

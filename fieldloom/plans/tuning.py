@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldloom.operators import bayes, evaluate, features, gram, models, sparse_bayes, split, tfidf, tune
-from fieldloom.plans.modelling import NUMERIC, side
+from fieldloom.operators import bayes, evaluate, features, gram, homotopy, models, sparse_bayes, split, tfidf, tune
+from fieldloom.plans.modelling import NUMERIC, descent_sql, moments_sql, predicted_sql, side
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded, table
 from fieldloom.plans.splitting import kfold_sql, split_lines
@@ -71,13 +71,39 @@ def validation_curve(spark, sf_dir):
         ["train_mean", "cv_mean", "cv_std"])
 
 
-@query()
+_ENET = "SELECT row_number() OVER (ORDER BY a, r) AS i, power(10, -4 + a * 0.5::DOUBLE) * r AS l1, 0 AS l2n, power(10, -4 + a * 0.5::DOUBLE) * (1 - r) AS l2 FROM range(9) t(a), (SELECT unnest([0.1, 0.3, 0.5, 0.7, 0.9, 1.0])::DOUBLE AS r)"
+_ENET_FIT = f"""RECURSIVE {SPLIT_SQL}, tr AS (SELECT * FROM split_rows WHERE split = 'train'), {kfold_sql('tr')}, outside AS (SELECT f.*, k FROM folded f, range(1, 6) r(k) WHERE fold <> k),
+mo AS {moments_sql('outside', NUMERIC, 'k')}, {descent_sql(4, _ENET, 150)}"""
+_ENET_LABEL = "round(l1 + l2, 6) AS alpha, round(l1 / (l1 + l2), 6) AS l1_ratio"
+
+
+@query(f"""WITH {_ENET_FIT}, sc AS (SELECT fit.k, fit.i, any_value(l1) AS l1, any_value(l2) AS l2, 1 - sum((y - ({predicted_sql(NUMERIC)})) ** 2) / (var_pop(y) * count(*)) AS r2
+ FROM folded JOIN fit ON fit.k = fold JOIN mo ON mo.k = fold GROUP BY fit.k, fit.i), g AS (SELECT {_ENET_LABEL}, avg(r2) AS r2 FROM sc GROUP BY i, l1, l2)
+SELECT alpha, {", ".join(f'round(max(r2) FILTER (l1_ratio = {r}), 6) AS "l1_ratio={str(r).replace(".", "_")}"' for r in (0.1, 0.3, 0.5, 0.7, 0.9, 1.0))} FROM g GROUP BY alpha""")
 def grid_pivot(spark, sf_dir):
     """Elastic net: alpha down, share of the absolute penalty across; 54 settings x 5 folds, one pass."""
     grams = tune.fold_grams(training_folds(spark, sf_dir), NUMERIC, "y")
     scores = tune.linear_scores(spark, grams, "elastic_net", tune.candidates(tune.REGRESSION_SPACES["elastic_net"]))
-    pivot = tune.grid_pivot(scores, "r2", "alpha", "l1_ratio")
-    return round_columns(pivot, [c for c in pivot.columns if c != "alpha"])
+    pivot = tune.grid_pivot(scores, "r2", "alpha", "l1_ratio").withColumn("alpha", F.col("alpha").cast("double"))
+    return round_columns(pivot, pivot.columns)
+
+
+_PAIRS = " + ".join(f"w{i} * w{j} * c{i}_{j}" for i in range(1, 5) for j in range(1, 5))
+
+
+@query(f"""WITH {_ENET_FIT} SELECT k::INT AS fold, {_ENET_LABEL}, (w1 <> 0)::INT + (w2 <> 0)::INT + (w3 <> 0)::INT + (w4 <> 0)::INT AS n_active,
+ round((vy / 2 + ({_PAIRS}) / 2 - (r1 * w1 + r2 * w2 + r3 * w3 + r4 * w4) + l1 * (abs(w1) + abs(w2) + abs(w3) + abs(w4)) + l2 * (w1 * w1 + w2 * w2 + w3 * w3 + w4 * w4) / 2) / vy, 9) AS objective, true AS optimal
+FROM fit JOIN mo USING (k)""")
+def elastic_net_certificates(spark, sf_dir):
+    """Every setting of the grid on every fold: active features, objective over the target's variance, and whether the optimality conditions hold to 1e-6."""
+    grams = tune.fold_grams(training_folds(spark, sf_dir), NUMERIC, "y")
+    settings = [(c["alpha"], c["l1_ratio"]) for c in tune.candidates(tune.REGRESSION_SPACES["elastic_net"])]
+    total = tune.sum_grams(grams.values())
+    variance = F.lit(None).cast("double")
+    for f, g in grams.items():
+        variance = F.when(F.col("fold") == f, float((total - g).covariance()[-1, -1])).otherwise(variance)
+    found = homotopy.certificates(spark, grams, settings)
+    return found.select("fold", rounded("alpha").alias("alpha"), rounded("l1_ratio").alias("l1_ratio"), "n_active", rounded(F.col("objective") / variance, 9).alias("objective"), (F.col("violation") <= 1e-6).alias("optimal"))
 
 
 def _score(df):
