@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldloom.operators import bayes, evaluate, features, gram, homotopy, models, sparse_bayes, split, tfidf, tune
+from fieldloom.operators import bayes, evaluate, features, gram, homotopy, knn, logistic_grid, models, sparse_bayes, sparse_knn, split, tfidf, tune
 from fieldloom.plans.modelling import NUMERIC, descent_sql, moments_sql, predicted_sql, side
 from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded, table
@@ -355,3 +357,66 @@ def classification_before_after(spark, sf_dir):
         *[rounded(F.max(F.when(F.col("candidate") == i, F.col("value")))).alias(name) for i, name in enumerate(("before", "after"))])
     both = wide.select(F.lit("gaussian nb").alias("model"), "metric", "before", "after", F.lit(True).alias("higher_is_better"))
     return evaluate.before_after(both).withColumn("change", rounded("change"))
+
+
+STRENGTHS = tune.candidates(tune.CLASSIFICATION_SPACES["logistic"])
+BASELINE = STRENGTHS.index({"C": 1.0, "class_weight": None})
+
+
+def _logistic_grid(vectors, size):
+    """One row for each of the twelve settings, ``best`` marks the first of equal means; and whether all their fits are solved."""
+    grid = logistic_grid.fit(vectors.where(~F.col("held_out")), "label", "negative", size, STRENGTHS)
+    scores = materialise(fold_metrics(logistic_grid.scored(vectors.where("held_out"), grid, "negative", "positive")))
+    f1 = F.when(F.col("metric") == "weighted_f1", F.col("value"))
+    table_ = scores.groupBy("candidate").agg(F.round(F.avg(f1), 9).alias("m"), F.avg(f1).alias("mean"), F.stddev_pop(f1).alias("std"),
+                                             F.avg(F.when(F.col("metric") == "roc_auc", F.col("value"))).alias("auc"))
+    return table_.withColumn("best", F.row_number().over(W.orderBy(F.col("m").desc(), "candidate")) == 1).drop("m"), grid
+
+
+@query()
+def text_logistic_grid(spark, sf_dir):
+    """The published grid of the logistic regression on TF-IDF over stratified folds; all 60 fits share their passes over the rows."""
+    table_, grid = _logistic_grid(*sparse_bayes.fold_vectors(review_folds(spark, sf_dir), "text", "label", CAP))
+    names = spark.createDataFrame([(i, s["C"], s["class_weight"], bool(grid.gradient[i::len(STRENGTHS)].max() <= 1e-6)) for i, s in enumerate(STRENGTHS)],
+                                  "candidate int, C double, class_weight string, solved boolean")
+    return names.join(round_columns(table_, ["mean", "std", "auc"], 4), "candidate")
+
+
+@query()
+def text_logistic_before_after(spark, sf_dir):
+    """Test scores of the baseline and of the best setting of the grid, both refitted on all training texts."""
+    table_, _ = _logistic_grid(*sparse_bayes.fold_vectors(review_folds(spark, sf_dir), "text", "label", CAP))
+    settings = [STRENGTHS[BASELINE], STRENGTHS[table_.where("best").first()["candidate"]]]
+    df = split_reviews(spark, sf_dir)
+    model = tfidf.Tfidf(maxFeatures=CAP).fit(side(df, "train"))
+    rows = materialise(model.weights(df).select(F.lit(0).alias("group"), "id", "label", "split", *sparse_bayes.weights_of()))
+    grid = logistic_grid.fit(side(rows, "train"), "label", "negative", len(model.getOrDefault("vocabulary")), settings)
+    scores = fold_metrics(logistic_grid.scored(side(rows, "test"), grid, "negative", "positive"), ("candidate",))
+    wide = scores.groupBy("metric").agg(*[rounded(F.max(F.when(F.col("candidate") == i, F.col("value"))), 4).alias(name) for i, name in enumerate(("before", "after"))])
+    both = wide.select(F.lit("logistic").alias("model"), "metric", "before", "after", F.lit(True).alias("higher_is_better"))
+    return evaluate.before_after(both).withColumn("change", rounded("change", 4))
+
+
+@query()
+def classification_nominate(spark, sf_dir):
+    """The two best text models by weighted F1 over the stratified folds that can be tuned: naive Bayes, two logistic regressions, neighbours, the majority."""
+    vectors, size = sparse_bayes.fold_vectors(review_folds(spark, sf_dir), "text", "label", CAP)
+    own, held = vectors.where(~F.col("held_out")), vectors.where("held_out")
+    settings = [STRENGTHS[BASELINE], {"C": 1.0, "class_weight": "balanced"}]
+    named = lambda df, names: df.withColumn("model", F.element_at(F.array(*map(F.lit, names)), F.col("candidate") + 1)).drop("candidate")
+    parts = [named(sparse_bayes.cross_validated(vectors, size, "negative"), ["gaussian nb"]),
+             named(logistic_grid.scored(held, logistic_grid.fit(own, "label", "negative", size, settings), "negative", "positive"), ["logistic", "logistic balanced"])]
+    for (f,) in vectors.select("group").distinct().orderBy("group").collect():
+        found = sparse_knn.neighbours(held.where(F.col("group") == f), own.where(F.col("group") == f).withColumn("payload", F.col("label")), 5, "cosine")
+        shares = knn.knn_shares(found).groupBy("query_id").agg(F.coalesce(F.max(F.when(F.col("label") == "negative", F.col("share"))), F.lit(0.0)).alias("score"))
+        said = held.where(F.col("group") == f).join(shares, F.col("id") == F.col("query_id")).select(
+            "id", "label", "group", F.when(F.col("score") >= 0.5, "negative").otherwise("positive").alias("prediction"), "score", F.lit("neighbours").alias("model"))
+        parts.append(said)
+    common = own.groupBy("group", "label").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("label", "n").alias("prediction"))
+    parts.append(held.join(common, "group").select("id", "label", "group", "prediction", F.lit(0.0).alias("score"), F.lit("majority").alias("model")))
+    columns = ["id", "label", "group", "prediction", "score", "model"]
+    every = materialise(reduce(lambda a, b: a.unionByName(b), [p.select(*columns) for p in parts]))
+    long = fold_metrics(every, ("group", "model")).where("metric = 'weighted_f1'")
+    scores = long.select("model", F.create_map().cast("map<string,string>").alias("params"), F.col("group").alias("fold"), "metric", "value", F.lit(None).cast("double").alias("train_value"))
+    means = tune.summarise(scores).select("model", rounded("mean", 4).alias("mean"), rounded("std", 4).alias("std"))
+    return tune.nominate(scores, [], ["gaussian nb", "logistic", "logistic balanced", "neighbours"], "weighted_f1").join(means, "model")
