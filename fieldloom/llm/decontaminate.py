@@ -8,7 +8,9 @@ are BM25 weights divided by the item's score of itself, so one threshold holds f
 * A shallow pass over many passages at once adds the block maxima of each passage's distinct terms (terms in
   very many blocks add their overall maximum instead), with blocks of eight and then of two items, and keeps
   passages where some block may reach the threshold. These go through the WAND loop, pivots and block skips.
-* An item retrieved is a leak if ``overlap`` of its question's and of its answer's word shingles stand in the window.
+* An item retrieved is a leak if ``overlap`` of its question's and of its answer's word shingles stand in the window. Where either
+  half has fewer than ``SHORT_HALF`` shingles, one changed word would hide all of it: there ``overlap`` of the whole item's
+  shingles is enough.
 
 The index is broadcast in parts of at most ``ITEMS`` items; more items mean more passes, with the same
 document frequencies and mean length, so results do not depend on the parts. Documents are not shuffled.
@@ -40,6 +42,7 @@ ITEMS, BLOCK = 1 << 16, 8
 #: Items in a block and blocks of a term beyond which it counts by its largest impact: coarse first, then finer.
 LEVELS = ((8, 64), (2, 512))
 LEAST_STRIDE, CHUNK_WORDS, SUMS = 32, 200_000, 1 << 21
+SHORT_HALF = 10
 #: Spellings whose term is kept at hand in each task.
 MEMO = 1 << 18
 _SIGNS = string.punctuation + "“”„‘’‚«»‹›–—…¿¡·"
@@ -133,6 +136,8 @@ class Index:
         self.ids, self.stride = [i for i, _ in items], stride
         parts = [question_answer(t) for _, t in items]
         self.question, self.answer = [shingles(q, n) for q, _ in parts], [shingles(a, n) for _, a in parts]
+        short = [0 < min(len(q), len(a)) < SHORT_HALF for q, a in zip(self.question, self.answer)]
+        self.whole = [shingles(words_of(t), n) if s else set() for s, (_, t) in zip(short, items)]
         numbers: dict[str, int] = {}
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for number, (_, text) in enumerate(items):
@@ -231,10 +236,10 @@ class Index:
             first = (c - int(starts[doc]) - 1) * self.stride
             window = words_of(" ".join(split[doc][max(0, first): first + 2 * self.stride]))
             here = shingles(window, n)
-            short = {k: shingles(window, k) for k in {len(s) for h, _ in hits for p in (self.question[h], self.answer[h]) for s in p} - {n}}
+            short = {k: shingles(window, k) for k in {len(s) for h, _ in hits for p in (self.question[h], self.answer[h], self.whole[h]) for s in p} - {n}}
             for item, score in hits:
-                shares = [1.0 if not p else sum(s in (here if len(s) == n else short[len(s)]) for s in p) / len(p) for p in (self.question[item], self.answer[item])]
-                if min(shares) >= overlap and score > out[begin + doc].get(item, (0.0,))[0]:
+                *shares, whole = [1.0 if not p else sum(s in (here if len(s) == n else short[len(s)]) for s in p) / len(p) for p in (self.question[item], self.answer[item], self.whole[item])]
+                if (min(shares) >= overlap or self.whole[item] and whole >= overlap) and score > out[begin + doc].get(item, (0.0,))[0]:
                     out[begin + doc][item] = (score, *shares)
 
 

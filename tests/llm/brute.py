@@ -143,7 +143,8 @@ def leaks(docs, items, threshold=0.6, overlap=0.8, n=5, k1=1.2, b=0.75, least=32
     weigh = []
     for i, w, (q, a) in split:
         own = {t: math.log(1 + (total - df[t] + .5) / (df[t] + .5)) * w.count(t) * (k1 + 1) / (w.count(t) + k1 * (1 - b + b * len(w) / mean)) for t in set(w)}
-        weigh.append((i, own, sum(own.values()), shingles(q, n), shingles(a, n)))
+        whole = shingles(w, n) if 0 < min(len(shingles(q, n)), len(shingles(a, n))) < 10 else set()
+        weigh.append((i, own, sum(own.values()), shingles(q, n), shingles(a, n), whole))
     out = []
     for d, text in docs:
         words, best = (text or '').lower().split(), {}
@@ -151,12 +152,12 @@ def leaks(docs, items, threshold=0.6, overlap=0.8, n=5, k1=1.2, b=0.75, least=32
             for at in {start, max(0, start - stride)}:
                 window = words_of(' '.join(words[at: at + 2 * stride]))
                 have = set(window)
-                for i, own, all_, q, a in weigh:
+                for i, own, all_, q, a, whole in weigh:
                     score = sum(v for t, v in own.items() if t in have) / all_
                     if score < threshold:
                         continue
                     shares = [sum(s in shingles(window, len(s)) for s in p) / len(p) if p else 1.0 for p in (q, a)]
-                    if min(shares) >= overlap:
+                    if min(shares) >= overlap or whole and sum(s in shingles(window, len(s)) for s in whole) / len(whole) >= overlap:
                         best[i] = max(best.get(i, 0), score)
         out += [(d, i, round(s, 9)) for i, s in best.items()]
     return out

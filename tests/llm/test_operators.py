@@ -485,6 +485,23 @@ def test_leaks_equal_full_scoring(spark, messy, messy_rows, sf):
     assert sorted(got) == sorted(brute.leaks([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()]))
 
 
+def test_copies_with_one_word_changed_are_found(spark):
+    """Items of 40 words and a last sentence of seven, copied but for one word, wherever it stands; other texts are left alone."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    texts = [" ".join(word() for _ in range(40)) + ". " + " ".join(word() for _ in range(7)) + "." for _ in range(50)]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = []
+    for i, t in enumerate(texts):
+        for kind, place in enumerate((rng.randrange(40, 47), rng.randrange(46))):
+            words = t.split()
+            words[place] = word() + ("." if words[place].endswith(".") else "")
+            docs.append((2 * i + kind, " ".join(word() for _ in range(60)) + " " + " ".join(words) + " " + " ".join(word() for _ in range(60))))
+    docs += [(1000 + i, " ".join(rng.sample(" ".join(texts[i: i + 2]).split(), 90))) for i in range(40)]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert len({f for f in found if f[0] // 2 == f[1]}) >= 95 and {f[0] // 2 == f[1] for f in found} == {True}
+
+
 def test_leaks_of_nothing(spark, messy, nothing):
     items, none = spark.createDataFrame(ITEMS, "item_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.matches(nothing, items).count() == 0 and decontaminate.matches(messy, none).count() == 0
