@@ -23,11 +23,12 @@ def folder(spark) -> str:
 
 
 def _customers(spark, sf_dir):
-    """The customers as a CSV file, and its contract: types, row count, checksum, roles."""
+    """The customers as CSV files, as many as the session deals rows to, and their contract: types, row count, checksum, roles."""
     df = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     path = f"{folder(spark)}/customer"
-    df.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
-    digest = tables.file_digests(spark, path).where(F.col("path").endswith(".csv")).first()["sha256"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(parts, "c_custkey").write.option("header", True).option("escape", '"').csv(path)
+    digest = tables.dataset_digest(tables.file_digests(spark, f"{path}/*.csv")).first()["sha256"]
     contract = Contract("customers", "customer", "regression", df.schema, df.count(), digest, "c_acctbal", numeric=("c_nationkey",),
                         categorical=("c_mktsegment",), excluded={"c_custkey": "identifier", "c_name": "name"})
     return path, contract

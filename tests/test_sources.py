@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -14,8 +15,6 @@ from fieldloom.sources.contracts import CAFE, CONTRACTS, REVIEWS, STUDENT, Contr
 def small(spark, tmp_path):
     path = tmp_path / "small.csv"
     path.write_text('id,text,score\n1,"two\nlines, quoted ""word""",2.5\n2,plain,\n')
-    import hashlib
-
     return str(path), Contract(
         "small", "small.csv", "regression", T.StructType().add("id", T.IntegerType()).add("text", T.StringType()).add("score", T.DoubleType()), 2,
         hashlib.sha256(path.read_bytes()).hexdigest(), "score", numeric=("id",), text=("text",))
@@ -66,6 +65,25 @@ def test_provenance(spark, small, tmp_path):
     assert row["sha256_matches_contract"] and row["rows"] == 2 and row["columns"] == 3 and row["bytes"] > 0
 
 
+def test_many_files_are_one_dataset(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType())])
+    df = spark.createDataFrame([(i, f'line "{i}"\nand more') for i in range(40)], schema).repartition(5)
+    df.write.option("header", True).option("escape", '"').csv(str(tmp_path / "many"))
+    path = f"{tmp_path}/many/*.csv"
+    files = sorted((tmp_path / "many").glob("*.csv"))
+    own = sorted(hashlib.sha256(f.read_bytes()).hexdigest() for f in files)
+    whole = tables.dataset_digest(tables.file_digests(spark, path)).first()
+    assert len(files) == 5 == whole["files"] and whole["sha256"] == hashlib.sha256("".join(own).encode()).hexdigest()
+    contract = Contract("many", "many", "regression", schema, 40, whole["sha256"])
+    assert sorted(map(tuple, tables.load_raw(spark, contract, path).collect())) == sorted(map(tuple, df.collect()))
+    assert tables.provenance(spark, contract, path).first()["files"] == 5
+    (tmp_path / "changed").mkdir()
+    for i, f in enumerate(files):
+        (tmp_path / "changed" / f.name).write_text(f.read_text().replace("id,note", "id,other" if i == 2 else "id,note"))
+    with pytest.raises(ContractError, match="checksum.*headers: 2"):
+        tables.load_raw(spark, contract, f"{tmp_path}/changed/*.csv")
+
+
 def test_result_tables_and_run_mode(spark, tmp_path, monkeypatch):
     df = spark.createDataFrame([("a", 0.5)], "model string, r2 double")
     path = artifacts.save_table(df, str(tmp_path), "t", "dev")
