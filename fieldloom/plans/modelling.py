@@ -210,7 +210,7 @@ def polynomial_regression(spark, sf_dir):
 def tree_models(spark, sf_dir):
     train, test = prepared(spark, sf_dir, scale=False)
     return _fitted_metrics(train, test, {
-        "tree": models.tree_regressor(), "forest": models.forest_regressor(), "boosting": models.boosted_regressor()})
+        "tree": models.tree_regressor(), "forest": models.forest_regressor(key="id"), "boosting": models.boosted_regressor()})
 
 
 # SQL: one tree without a depth limit over the eight prepared features; a row of ``grown`` is a training row on a level, with the split above it.
