@@ -106,23 +106,47 @@ def _send(width: int, buckets: int):
             low = ids[doc[np.minimum.reduceat(together, first)]]
             late = np.zeros(len(keys), bool)
             late[together] = ids[doc[together]] > np.repeat(low, packed.run_lengths(first, len(keys)))
-            rows = []
+            # Entries name a document by its number in the chunk; its text's hash goes to the chunk once, not to every bucket.
+            numbers, nothing = np.arange(len(ids)), np.empty(0, np.int64)
+            rows = [packed.pack(int(chunk % buckets), chunk, 2, nothing, nothing, nothing, nothing) | {"texts": texts.astype(np.int64).tobytes()}]
             if late.any():
-                rows.append(packed.pack(int(chunk % buckets), chunk, 1, ids, texts, doc[late], place[late]))
+                rows.append(_slim(packed.pack(int(chunk % buckets), chunk, 1, ids, numbers, doc[late], place[late])))
             kept = np.flatnonzero(~late)
             for k, own in enumerate(packed.by_bucket(bucket[kept], buckets)):
                 if len(own):
                     e = kept[own]
-                    rows.append(packed.pack(k, chunk, 0, ids, texts, doc[e], place[e], keys[e]))
+                    rows.append(_slim(packed.pack(k, chunk, 0, ids, numbers, doc[e], place[e], keys[e])))
             yield _batch(rows)
 
     return run
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second ones, and so on: small numbers leave long runs of zeros, which the exchange's compression takes out."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _slim(row: dict) -> dict:
+    """A packed row whose ids and document numbers are differences, and these and the counts byte planes."""
+    steps = {c: _planes(np.diff(np.frombuffer(row[c], np.int64), prepend=0)) for c in ("ids", "texts")}
+    return row | steps | {"counts": _planes(np.frombuffer(row["counts"], np.uint32))}
+
+
+def _full(row):
+    """A slim row as ``packed`` reads it."""
+    steps = {c: np.cumsum(_from_planes(getattr(row, c), np.int64)).tobytes() for c in ("ids", "texts")}
+    return row._replace(**steps, counts=_from_planes(row.counts, np.uint32).tobytes())
+
+
 def _settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket: the entries whose window a smaller document has, back under their chunks."""
-    out = [r._asdict() | {"hashes": b""} for r in rows[rows["kind"] == 1].drop(columns="bucket").itertuples(index=False)]
-    parts = [(r.chunk, *packed.unpack(r)) for r in rows[rows["kind"] == 0].itertuples(index=False)]
+    out = [r._asdict() | {"hashes": b""} for r in rows[rows["kind"] != 0].drop(columns="bucket").itertuples(index=False)]
+    parts = [(r.chunk, *packed.unpack(_full(r))) for r in rows[rows["kind"] == 0].itertuples(index=False)]
     if parts:
         ids = np.concatenate([p[1][p[3]] for p in parts])
         order, first = packed.runs(np.concatenate([p[5] for p in parts]))
@@ -133,7 +157,7 @@ def _settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             own = late[at: at + len(doc)]
             at += len(doc)
             if own.any():
-                row = packed.pack(0, chunk, 1, names, texts, doc[own], place[own])
+                row = _slim(packed.pack(0, chunk, 1, names, texts, doc[own], place[own]))
                 del row["bucket"]
                 out.append(row)
     return pd.DataFrame(out, columns=["chunk", "kind", "ids", "texts", "counts", "gaps", "far", "hashes", "lanes"])
@@ -142,8 +166,12 @@ def _settle(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 def _gather(width: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """Of one chunk: the intervals of each document, as packed starts and ends."""
-        parts = [packed.unpack(r) for r in rows.itertuples(index=False)]
-        ids, texts = np.concatenate([p[0][p[2]] for p in parts]), np.concatenate([p[1][p[2]] for p in parts])
+        names = next(r for r in rows.itertuples(index=False) if r.kind == 2)
+        keys = np.frombuffer(names.texts, np.int64)
+        parts = [packed.unpack(_full(r)) for r in rows.itertuples(index=False) if r.kind == 1]
+        if not parts:
+            return pd.DataFrame({"doc_id": [], "text_key": [], "starts": [], "ends": []})
+        ids, texts = np.concatenate([p[0][p[2]] for p in parts]), np.concatenate([keys[p[1][p[2]]] for p in parts])
         place = np.concatenate([p[3] for p in parts])
         order = np.lexsort((place, texts, ids))
         ids, texts, place = ids[order], texts[order], place[order]
