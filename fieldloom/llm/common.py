@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,31 +58,32 @@ def lowest_hashes(df: DataFrame, column: str, seed: int, share: float) -> DataFr
 FILTER_BITS, FILTER_HASHES = 1 << 26, 4
 
 
-def _bit_places(key: Column) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(FILTER_BITS)) for i in range(FILTER_HASHES)]
-
-
-def key_filter(keys: DataFrame, column: str) -> Callable[[Column], Column]:
-    """A Bloom filter over ``column``: the function returned is false only for keys that are not there.
+class KeyFilter:
+    """A Bloom filter over the 64-bit ``column`` of ``keys``; ``holds`` is false only for keys that are not there.
 
     The bits are set in Spark, a word of 64 for each row of an aggregate, and broadcast as one array of fixed size.
     """
-    at = keys.select(F.explode(F.array(*_bit_places(F.col(column)))).alias("at"))
-    words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits")).toArrow()
-    table = np.zeros(FILTER_BITS // 64, np.int64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy()
-    shared = keys.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf("boolean")
-    def holds(places: pd.DataFrame) -> pd.Series:
-        bits = shared.value
-        out = np.ones(len(places), bool)
-        for c in places:
-            at = places[c].to_numpy()
-            out &= (bits[at >> 6] >> (at & 63)) & 1 == 1
-        return pd.Series(out)
 
-    return lambda key: holds(F.struct(*[p.alias(f"p{i}") for i, p in enumerate(_bit_places(key))]))
+    def __init__(self, keys: DataFrame, column: str):
+        at = keys.select(F.explode(F.array(*self.places(F.col(column)))).alias("at"))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
+        words = at.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        table = np.zeros(FILTER_BITS // 64, np.int64)
+        table[words["word"].to_numpy()] = words["bits"].to_numpy()
+        self.shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    @staticmethod
+    def places(key: Column) -> list[Column]:
+        """The bits of a key, as columns p0, p1 and so on."""
+        return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(FILTER_BITS)).alias(f"_p{i}") for i in range(FILTER_HASHES)]
+
+    def holds(self, batch: pa.RecordBatch) -> np.ndarray:
+        """For each row of a batch with the columns of ``places`` whether its key may be among the keys."""
+        bits, out = self.shared.value, np.ones(len(batch), bool)
+        for i in range(FILTER_HASHES):
+            at = batch[f"_p{i}"].to_numpy()
+            out &= (bits[at >> 6] >> (at & 63)) & 1 == 1
+        return out
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

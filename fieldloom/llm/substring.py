@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.llm import packed
-from fieldloom.llm.common import key_filter, merge_intervals, text_key, utf8_texts
+from fieldloom.llm.common import KeyFilter, merge_intervals, text_key, utf8_texts
 from fieldloom.session import materialise
 
 #: Words of a chunk and UTF-8 bytes of text for each bucket, both for bounded memory.
@@ -215,30 +215,47 @@ def kept_words(text: bytes, starts: bytes | None, ends: bytes | None) -> tuple[i
 
 
 def with_intervals(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` under ``row`` with starts and ends of what is to go, NULL where nothing is.
-
-    Only texts that the filter of the found documents lets through meet the join; the others stay where they are.
-    """
+    """``docs`` under ``row`` with starts and ends of what is to go, NULL where nothing is."""
     found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "starts", "ends")
-    among = key_filter(found.select(F.xxhash64("_id", "_key").alias("name")), "name")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_doc"), text_key().alias("_text"))
-    rows = rows.withColumn("_may", among(F.xxhash64("_doc", "_text")))
-    met = rows.where("_may").join(found, (F.col("_doc") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left").select("row", "starts", "ends")
-    none = F.lit(None).cast("binary")
-    return met.union(rows.where("NOT _may").select("row", none, none))
+    return rows.join(found, (F.col("_doc") == F.col("_id")) & (F.col("_text") == F.col("_key")), "left").select("row", "starts", "ends")
+
+
+_DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+
+
+def _digests(ids: pa.Array, texts: pa.Array, starts: list, ends: list) -> pa.RecordBatch:
+    done = [kept_words(t, s, e) for t, s, e in zip(utf8_texts(texts), starts, ends)]
+    return pa.record_batch([ids.cast(pa.int64()), pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.int64()),
+                            pa.array([hashlib.sha256(d[2]).hexdigest() for d in done], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
 def dedup_windows(docs: DataFrame, width: int = 13) -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_sha256."""
+    """Per row: doc_id, n_words, n_removed, kept_sha256.
+
+    Only texts that the filter of the found documents lets through meet the intervals in a join; the others are
+    settled where they are read.
+    """
+    found = materialise(repeated_intervals(docs, width))
+    among = KeyFilter(found.select(F.xxhash64("doc_id", "text_key").alias("name")), "name")
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *among.places(F.xxhash64(F.col("doc_id").cast("long"), text_key())))
+
+    def apart(batches):
+        for b in batches:
+            b = b.filter(pa.array(~among.holds(b)))
+            nothing = [None] * len(b)
+            yield _digests(b["doc_id"], b["text"], nothing, nothing)
+
+    def through(batches):
+        for b in batches:
+            yield b.filter(pa.array(among.holds(b))).select(["doc_id", "text"])
 
-    def digest(batches):
+    def met(batches):
         for b in batches:
-            done = [kept_words(t, s, e) for t, s, e in zip(utf8_texts(b["text"]), b["starts"].to_pylist(), b["ends"].to_pylist())]
-            yield pa.record_batch([b["doc_id"].cast(pa.int64()), pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.int64()),
-                                   pa.array([hashlib.sha256(d[2]).hexdigest() for d in done], pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+            yield _digests(b["doc_id"], b["text"], b["starts"].to_pylist(), b["ends"].to_pylist())
 
-    rows = with_intervals(docs.select("doc_id", "text"), materialise(repeated_intervals(docs, width)))
-    return rows.select("row.doc_id", "row.text", "starts", "ends").mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    rows = with_intervals(named.mapInArrow(through, "doc_id long, text string"), found).select("row.doc_id", "row.text", "starts", "ends")
+    return rows.mapInArrow(met, _DIGEST).union(named.mapInArrow(apart, _DIGEST))
 
 
 def cleaned(docs: DataFrame, width: int = 13) -> DataFrame:
