@@ -382,3 +382,22 @@ def test_approximate_neighbours_find_most(spark):
         want = [i for i in np.argsort(d, kind="stable") if i % 20][:5]
         hits += len(set(want) & {r["train_id"] for r in got if r["query_id"] == q})
     assert hits >= 0.9 * 200
+
+
+@pytest.mark.parametrize("metric", knn.METRICS)
+def test_neighbours_are_found_in_bounded_memory(metric):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    rng = np.random.default_rng(1)
+    frame = lambda n, at: pd.DataFrame({"id": np.arange(at, at + n), "ix": [None] * n, "vx": list(rng.normal(size=(n, 16))), "payload": ["p"] * n})
+    block = lambda f: SimpleNamespace(payloads=f["payload"].to_list(), **dict(zip(("ids", "lens", "ixs", "vxs"), knn._pack(f))))
+    ids, rows, payloads = knn._block([block(frame(4_096, 0))], metric, 16)
+    queries = frame(3_000, 10_000)
+    tracemalloc.start()
+    found = knn._nearest_in_block([block(queries)], ids, rows, payloads, 5, metric, 16)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 15_000 and most < 80e6  # a matrix of all distances takes 98 MB, all differences 16 times that
