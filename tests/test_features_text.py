@@ -151,3 +151,18 @@ def test_dense_guard():
     tfidf.check_dense(1000, 1000)
     with pytest.raises(MemoryError):
         tfidf.check_dense(1_000_000, 5000)
+
+
+def test_folding_takes_no_batches_of_whole_texts(spark):
+    from pyspark.sql import functions as F
+
+    from fieldloom.functions.text import fold_accents
+
+    texts = ["plain ascii", "Crème Brûlée", "ﬁne ½ 한국", "", None, "é ́"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    folded = df.select("i", fold_accents("t").alias("t"))
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    marks = lambda t: None if t is None else "".join(c for c in __import__("unicodedata").normalize("NFKD", t) if not __import__("unicodedata").combining(c))
+    assert {r["i"]: r["t"] for r in folded.collect()} == {i: marks(t) for i, t in enumerate(texts)}
+    assert folded.where(F.col("i") == 0).first()["t"] == "plain ascii"
