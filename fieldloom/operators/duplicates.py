@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,29 +45,21 @@ def duplicate_report(df: DataFrame, keys: Mapping[str, Sequence[str] | None]) ->
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None, order_by: Sequence[str] = ()) -> DataFrame:
     """Keep the first row of every key, first meaning smallest in ``order_by``.
 
-    The smallest order value of each key is an aggregate of keys and order values alone,
-    which combines before the shuffle; whole rows then meet it once, so a hot key's rows
-    other than its first are gone before any row is numbered. Rows that tie in the order
-    are settled by a digest of the row.
+    The smallest (order values, digest, row) of each key is one aggregate, which combines before the
+    shuffle: a hot key's rows other than its first are gone by then, and whole rows travel once and
+    meet no join. Rows that tie in the order are settled by the digest of the row.
     """
     if subset is None:
         return df.distinct()
     if not order_by:
         raise ValueError("order_by decides which row is first; a key alone leaves that to chance")
-    subset = list(subset)
-    keys = key_columns(df, subset)
-    order = F.struct(*[F.col(f"`{c}`") for c in order_by])
-    names = [f"_k{i}" for i in range(len(keys))]
-    first = df.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(F.min(order).alias("_first"))
-    first = first.select(*[F.col(n).alias(f"{n}_") for n in names], "_first")
-    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rows = df.select(whole.alias("_row"), order.alias("_order"), *[k.alias(n) for k, n in zip(keys, names)])
-    same = F.col("_order").eqNullSafe(F.col("_first"))
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"{n}_"))
-    tied = W.partitionBy(*names).orderBy(F.xxhash64("_row"))
-    kept = rows.join(first, same).withColumn("_n", F.row_number().over(tied)).where(F.col("_n") == 1)
-    return kept.select("_row.*")
+    keys = key_columns(df, list(subset))
+    rest = [c for c in df.columns if c not in order_by]
+    place = {c: f"o{i}" for i, c in reversed(list(enumerate(order_by)))} | {c: f"c{i}" for i, c in enumerate(rest)}
+    digest = F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    row = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order_by)], digest.alias("digest"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
+    first = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(row).alias("_first"))
+    return first.select(*[F.col(f"_first.{place[c]}").alias(c) for c in df.columns])
 
 
 def drop_duplicates_report(df: DataFrame, cleaned: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:

@@ -134,3 +134,18 @@ def test_no_shared_folder_on_a_cluster_is_an_error(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Session())
+
+
+def test_first_rows_need_one_exchange_and_no_join(spark):
+    from pyspark.sql import functions as F
+
+    from fieldloom.operators import duplicates
+
+    rows = [(1, 5, "b", None), (1, None, "c", 2.0), (1, None, "a", 1.0), (None, 3, "x", 0.0), (None, 3, "y", 0.0), (2, 1, "z", float("nan")), (2, 1, "z", float("nan"))]
+    df = spark.createDataFrame(rows, "k int, o int, t string, v double").repartition(3)
+    first = duplicates.drop_duplicates(df, ["k"], ["o"])
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and first.columns == df.columns
+    digest = {r["t"]: r["h"] for r in df.select("t", F.xxhash64(F.struct(*df.columns)).alias("h")).collect()}
+    kept = {r["k"]: (r["o"], r["t"]) for r in first.collect()}
+    assert first.count() == 3 and kept == {1: (None, min("ac", key=digest.get)), None: (3, min("xy", key=digest.get)), 2: (1, "z")}
