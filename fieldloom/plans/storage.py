@@ -13,7 +13,7 @@ from fieldloom.plans.preparation import SPLIT_SQL
 from fieldloom.plans.registry import query, round_columns, rounded, table
 from fieldloom.plans.splitting import split_lines
 from fieldloom.plans.tuning import TWO, _GRID, _ridge_scores, training_folds
-from fieldloom.session import checkpoint_root
+from fieldloom.session import checkpoint_root, materialise
 from fieldloom.sources import artifacts, tables
 from fieldloom.sources.contracts import Contract
 
@@ -87,7 +87,7 @@ def manifest_round_trip(spark, sf_dir):
 @query(f"""WITH {SPLIT_SQL} SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_unmatched, true AS same_after_reload, true AS same_after_refit FROM split_rows WHERE split = 'test'""")
 def model_round_trip(spark, sf_dir):
     """A fitted pipeline against its stored copy and against a second fit: predictions differ by 1e-9 at most."""
-    df = split_lines(spark, sf_dir).select("id", "split", "y", *NUMERIC, "l_linestatus")
+    df = materialise(split_lines(spark, sf_dir).select("id", "split", "y", *NUMERIC, "l_linestatus"))
     train, test = side(df, "train"), side(df, "test")
     prepare = features.TabularPreprocessor(numeric=NUMERIC, categorical=["l_linestatus"])
     facts = models.target_facts(prepare.fit(train).transform(train), "y")
