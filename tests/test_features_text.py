@@ -166,3 +166,14 @@ def test_folding_takes_no_batches_of_whole_texts(spark):
     marks = lambda t: None if t is None else "".join(c for c in __import__("unicodedata").normalize("NFKD", t) if not __import__("unicodedata").combining(c))
     assert {r["i"]: r["t"] for r in folded.collect()} == {i: marks(t) for i, t in enumerate(texts)}
     assert folded.where(F.col("i") == 0).first()["t"] == "plain ascii"
+
+
+def test_norm_of_a_text_is_summed_once(spark):
+    """Merged into the division, the norm would be summed again for each weight of the text."""
+    df = spark.createDataFrame([(1, "red green blue red"), (2, "green tea"), (3, "x")], "id long, text string")
+    weights = tfidf.TfidfModel(vocabulary=["blue", "green", "red"], idf=[2.0, 1.0, 2.0], ngrams=1).weights(df)
+    assert "/ sqrt" not in weights._jdf.queryExecution().optimizedPlan().toString().lower()
+    got = {r["id"]: (list(r["_weights"]["indices"]), list(r["_weights"]["values"])) for r in weights.collect()}
+    raw = [2.0, 1.0, 2.0 * (1 + math.log(2))]
+    assert got[1][0] == [0, 1, 2] and got[1][1] == pytest.approx([v / math.hypot(*raw) for v in raw])
+    assert got[2] == ([1], [1.0]) and got[3] == ([], [])
