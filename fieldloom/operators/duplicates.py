@@ -47,19 +47,21 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None, order_by
 
     The smallest (order values, digest, row) of each key is one aggregate, which combines before the
     shuffle: a hot key's rows other than its first are gone by then, and whole rows travel once and
-    meet no join. Rows that tie in the order are settled by the digest of the row.
+    meet no join. Rows that tie in the order are settled by the digest of the row. Whole-number keys
+    are read from the group and travel once.
     """
     if subset is None:
         return df.distinct()
     if not order_by:
         raise ValueError("order_by decides which row is first; a key alone leaves that to chance")
     keys = key_columns(df, list(subset))
-    rest = [c for c in df.columns if c not in order_by]
+    whole = {c: f"_k{i}" for i, c in enumerate(subset) if isinstance(df.schema[c].dataType, T.IntegralType)}
+    rest = [c for c in df.columns if c not in order_by and c not in whole]
     place = {c: f"o{i}" for i, c in reversed(list(enumerate(order_by)))} | {c: f"c{i}" for i, c in enumerate(rest)}
     digest = F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
     row = F.struct(*[F.col(f"`{c}`").alias(f"o{i}") for i, c in enumerate(order_by)], digest.alias("digest"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
     first = df.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(row).alias("_first"))
-    return first.select(*[F.col(f"_first.{place[c]}").alias(c) for c in df.columns])
+    return first.select(*[F.col(f"_first.{place[c]}" if c in place else whole[c]).alias(c) for c in df.columns])
 
 
 def drop_duplicates_report(df: DataFrame, cleaned: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
