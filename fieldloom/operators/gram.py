@@ -41,6 +41,11 @@ class Gram:
     def __sub__(self, other: Gram) -> Gram:
         return Gram(self.features, self.target, self.products - other.products, self.shift)
 
+    def only(self, features: Sequence[str]) -> Gram:
+        """The sums of some of the features, over the same rows."""
+        places = [0, *[1 + self.features.index(f) for f in features], len(self.features) + 1]
+        return Gram(list(features), self.target, self.products[np.ix_(places, places)], self.shift[[p - 1 for p in places[1:]]])
+
     @property
     def n(self) -> float:
         return float(self.products[0, 0])

@@ -2,11 +2,12 @@
 
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.operators import duplicates, split
-from fieldloom.plans import splitting
+from fieldloom.operators import duplicates, gram, split, tune
+from fieldloom.plans import modelling, splitting
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +83,18 @@ def test_whole_number_keys_travel_once(spark):
     assert sorted((r["k"] or 0, r["o"], r["t"]) for r in first.collect()) == [(0, 2, "y"), (1, 4, "c"), (2, 1, "z")]
     assert sorted(r["o"] for r in duplicates.drop_duplicates(df, ["v"], ["o"]).collect()) == [1, 2, 4]
     assert sorted((r["k"] or 0, r["o"]) for r in duplicates.drop_duplicates(df, ["k", "v"], ["k", "o"]).collect()) == [(0, 2), (1, 4), (2, 1)]
+
+
+def test_sums_of_some_features_are_part_of_the_sums_of_all(spark):
+    df = spark.createDataFrame([(i % 3, float(i), float(i * i % 7), float(i % 5), float(3 * i + i % 4)) for i in range(60)], "fold int, a double, b double, c double, y double")
+    for fold, whole in gram.grams(df, ["a", "b", "c"], "y", "fold").items():
+        own, part = gram.grams(df, ["c", "a"], "y", "fold")[fold], whole.only(["c", "a"])
+        assert part.features == own.features and np.allclose(part.products, own.products) and np.allclose(part.shift, own.shift)
+        assert np.allclose(gram.fit(part).coefficients, gram.fit(own).coefficients)
+
+
+@pytest.mark.parametrize("query", [modelling.polynomial_regression])
+def test_models_share_one_pass_of_fold_sums(spark, tmp_path, monkeypatch, query):
+    passes = counted(monkeypatch, tune, "fold_grams")
+    rows = query(spark, write_lines(spark, tmp_path, [(i // 4, i % 4) for i in range(400)])).collect()
+    assert len(passes) == 1 and len(rows) == 3
