@@ -66,7 +66,7 @@ def split_round_trip(spark, sf_dir):
 SELECT CAST(row_number() OVER (ORDER BY round(avg(r2), 12) DESC, i) AS BIGINT) AS rank, round(avg(r2), 6) AS mean, round(stddev_pop(r2), 6) AS std FROM sc GROUP BY i""")
 def search_round_trip(spark, sf_dir):
     """Details of the ridge grid, settings as JSON text, as one CSV file."""
-    grams = tune.fold_grams(training_folds(spark, sf_dir), TWO, "y")
+    grams = tune.fold_grams(training_folds(spark, sf_dir, TWO), TWO, "y")
     scores = tune.linear_scores(spark, grams, "ridge", tune.candidates(tune.REGRESSION_SPACES["ridge"]))
     path = artifacts.save_search(tune.ranked_candidates(scores, "r2"), folder(spark), "ridge")
     stored = artifacts.read_table(spark, path, "model string, setting string, metric string, mean double, std double, train_mean double, params string, rank long")

@@ -32,16 +32,17 @@ sc AS (SELECT w.fold, i, alpha, 1 - sum((y - my - wa * (a - ma) - wb * (b - mb))
  FROM folded f JOIN w ON w.fold = f.fold GROUP BY ALL)"""
 
 
-def training_folds(spark, sf_dir):
-    train = side(split_lines(spark, sf_dir), "train").select("id", "split", "y", *NUMERIC, "l_linestatus", "l_returnflag")
-    return materialise(split.kfold(train, "id", checked=True))
+def training_folds(spark, sf_dir, columns=("id", *NUMERIC, "l_linestatus", "l_returnflag")):
+    """Training rows with their folds, stored with ``columns`` alone: what the caller reads."""
+    train = side(split_lines(spark, sf_dir), "train")
+    return materialise(split.kfold(train, "id", checked=True, hashed="id_hash").select("split", "fold", "y", *columns))
 
 
 @query(f"""WITH {_ridge_scores("SELECT 0 AS i, 0.0::DOUBLE AS alpha")}
 SELECT fold, round(r2, 6) AS r2, round(rmse, 4) AS rmse, round(mae, 4) AS mae FROM sc""")
 def cross_validate(spark, sf_dir):
     """Five folds of least squares from one pass of sums and one pass of scores."""
-    train = training_folds(spark, sf_dir)
+    train = training_folds(spark, sf_dir, TWO)
     grams = tune.fold_grams(train, TWO, "y")
     return round_columns(round_columns(tune.linear_fold_errors(train, grams, "linear", {}, "y"), ["r2"]), ["rmse", "mae"], 4)
 
@@ -53,7 +54,7 @@ _GRID = "SELECT i, power(10, -3 + i * 6 / 24.0::DOUBLE) AS alpha FROM range(25)
 SELECT i + 1 AS candidate, round(avg(r2), 6) AS mean, round(stddev_pop(r2), 6) AS std FROM sc GROUP BY i""")
 def grid_search(spark, sf_dir):
     """25 ridge settings x 5 folds from one pass over the rows."""
-    grams = tune.fold_grams(training_folds(spark, sf_dir), TWO, "y")
+    grams = tune.fold_grams(training_folds(spark, sf_dir, TWO), TWO, "y")
     settings = tune.candidates(tune.REGRESSION_SPACES["ridge"])
     scores = tune.linear_scores(spark, grams, "ridge", settings).where(F.col("metric") == "r2")
     number = F.array_position(F.lit([str(s["alpha"]) for s in settings]), F.col("params")["alpha"])
@@ -66,7 +67,7 @@ own AS (SELECT w.fold, i, alpha, 1 - sum((y - my - wa * (a - ma) - wb * (b - mb)
 SELECT sc.alpha, round(avg(own.r2), 6) AS train_mean, round(avg(sc.r2), 6) AS cv_mean, round(stddev_pop(sc.r2), 6) AS cv_std
  FROM sc JOIN own USING (fold, i) GROUP BY sc.alpha""")
 def validation_curve(spark, sf_dir):
-    grams = tune.fold_grams(training_folds(spark, sf_dir), TWO, "y")
+    grams = tune.fold_grams(training_folds(spark, sf_dir, TWO), TWO, "y")
     scores = tune.linear_scores(spark, grams, "ridge", [{"alpha": a} for a in (1.0, 100.0, 10000.0, 1000000.0)], train_scores=True)
     return round_columns(scores.where(F.col("metric") == "r2").groupBy(F.col("params")["alpha"].cast("double").alias("alpha")).agg(
         F.avg("train_value").alias("train_mean"), F.avg("value").alias("cv_mean"), F.stddev_pop("value").alias("cv_std")),
@@ -84,7 +85,7 @@ _ENET_LABEL = "round(l1 + l2, 6) AS alpha, round(l1 / (l1 + l2), 6) AS l1_ratio"
 SELECT alpha, {", ".join(f'round(max(r2) FILTER (l1_ratio = {r}), 6) AS "l1_ratio={str(r).replace(".", "_")}"' for r in (0.1, 0.3, 0.5, 0.7, 0.9, 1.0))} FROM g GROUP BY alpha""")
 def grid_pivot(spark, sf_dir):
     """Elastic net: alpha down, share of the absolute penalty across; 54 settings x 5 folds, one pass."""
-    grams = tune.fold_grams(training_folds(spark, sf_dir), NUMERIC, "y")
+    grams = tune.fold_grams(training_folds(spark, sf_dir, NUMERIC), NUMERIC, "y")
     scores = tune.linear_scores(spark, grams, "elastic_net", tune.candidates(tune.REGRESSION_SPACES["elastic_net"]))
     pivot = tune.grid_pivot(scores, "r2", "alpha", "l1_ratio").withColumn("alpha", F.col("alpha").cast("double"))
     return round_columns(pivot, pivot.columns)
@@ -98,7 +99,7 @@ _PAIRS = " + ".join(f"w{i} * w{j} * c{i}_{j}" for i in range(1, 5) for j in rang
 FROM fit JOIN mo USING (k)""")
 def elastic_net_certificates(spark, sf_dir):
     """Every setting of the grid on every fold: active features, objective over the target's variance, and whether the optimality conditions hold to 1e-6."""
-    grams = tune.fold_grams(training_folds(spark, sf_dir), NUMERIC, "y")
+    grams = tune.fold_grams(training_folds(spark, sf_dir, NUMERIC), NUMERIC, "y")
     settings = [(c["alpha"], c["l1_ratio"]) for c in tune.candidates(tune.REGRESSION_SPACES["elastic_net"])]
     total = tune.sum_grams(grams.values())
     variance = F.lit(None).cast("double")
@@ -138,7 +139,7 @@ j AS (SELECT cv_rank, model, model <> 'linear' AS tunable, CASE WHEN model = 'li
  WHEN model = 'repeated' THEN 'repeats linear' ELSE 'eligible' END AS status FROM o)
 SELECT *, status = 'eligible' AND sum((status = 'eligible')::INT) OVER (ORDER BY cv_rank) <= 2 AS nominated FROM j""")
 def nominate(spark, sf_dir):
-    train = training_folds(spark, sf_dir)
+    train = training_folds(spark, sf_dir, TWO)
     cv, fits = _cv_of_four(train)
     predicted = train.withColumns({name: fit.predict() for name, fit in fits.items()})
     return tune.nominate(cv, tune.same_functions(predicted, list(fits)), ["repeated", "ridge", "price only"], "r2")
@@ -146,7 +147,7 @@ def nominate(spark, sf_dir):
 
 @query()
 def tuning_summary(spark, sf_dir):
-    grams = tune.fold_grams(training_folds(spark, sf_dir), TWO, "y")
+    grams = tune.fold_grams(training_folds(spark, sf_dir, TWO), TWO, "y")
     kinds = {"ridge": {"alpha": 1.0}, "lasso": {"alpha": 1.0}}
     base = best = None
     for kind, setting in kinds.items():
@@ -189,7 +190,7 @@ sc AS (SELECT scaled, w.fold, 1 - sum((y - my - wa * (a - ma) - wb * (b - mb)) *
 SELECT scaled, round(avg(r2), 6) AS mean, round(stddev_pop(r2), 6) AS std FROM sc GROUP BY scaled""")
 def scaling_study_ridge(spark, sf_dir):
     """Ridge with and without standardised features, cross-validated from the fold sums."""
-    grams = tune.fold_grams(training_folds(spark, sf_dir), TWO, "y")
+    grams = tune.fold_grams(training_folds(spark, sf_dir, TWO), TWO, "y")
     return _scaling(spark, grams, {"alpha": 1000.0})
 
 
@@ -207,7 +208,7 @@ def _scaling(spark, grams, setting):
 @query()
 def scaling_study(spark, sf_dir):
     """The same penalised model with and without standardised features, cross-validated."""
-    return _scaling(spark, tune.fold_grams(training_folds(spark, sf_dir), NUMERIC, "y"), {"alpha": 1.0, "l1_ratio": 0.5})
+    return _scaling(spark, tune.fold_grams(training_folds(spark, sf_dir, NUMERIC), NUMERIC, "y"), {"alpha": 1.0, "l1_ratio": 0.5})
 
 
 # SQL: features made orthogonal one after the other on the training rows; then every coefficient stands alone.

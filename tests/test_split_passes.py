@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.operators import duplicates, gram, split, tune
-from fieldloom.plans import modelling, splitting
+from fieldloom.plans import modelling, splitting, tuning
 
 
 @pytest.fixture(scope="module")
@@ -98,3 +98,10 @@ def test_models_share_one_pass_of_fold_sums(spark, tmp_path, monkeypatch, query)
     passes = counted(monkeypatch, tune, "fold_grams")
     rows = query(spark, write_lines(spark, tmp_path, [(i // 4, i % 4) for i in range(400)])).collect()
     assert len(passes) == 1 and len(rows) == 3
+
+
+@pytest.mark.parametrize("query", [tuning.grid_search, tuning.tuning_summary])
+def test_folds_are_stored_with_the_columns_of_the_model(spark, tmp_path, monkeypatch, query):
+    passes = counted(monkeypatch, tune, "fold_grams")
+    query(spark, write_lines(spark, tmp_path, [(i // 4, i % 4) for i in range(400)])).collect()
+    assert set(passes[0][0].columns) == {"split", "fold", "y", *tuning.TWO}
