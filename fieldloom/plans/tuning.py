@@ -124,8 +124,9 @@ four AS (SELECT 'linear' AS model, avg(r2) AS mean FROM sc WHERE i = 0 UNION ALL
 
 
 def _cv_of_four(train):
-    """Fold scores of the four models from the fold sums of their columns: one pass each over the rows."""
-    sums = {tuple(c): tune.fold_grams(train, c, "y") for c, _ in LINEAR.values()}
+    """Fold scores of the four models from one pass of fold sums; the target needs both columns, so each model has the same rows."""
+    both = tune.fold_grams(train, TWO, "y")
+    sums = {tuple(c): {f: g.only(c) for f, g in both.items()} for c, _ in LINEAR.values()}
     lines = None
     for name, (columns, setting) in LINEAR.items():
         line = tune.linear_scores(train.sparkSession, sums[tuple(columns)], "ridge" if setting else "linear", [setting]).withColumn("model", F.lit(name))
@@ -172,8 +173,8 @@ r AS (SELECT *, row_number() OVER (ORDER BY cv_r2 DESC, model) AS cv_rank, row_n
 SELECT *, cv_rank = test_rank AS agrees FROM r""")
 def rank_agreement(spark, sf_dir):
     """One split for both sides; the scores of all four models come from one aggregate over the test rows."""
-    df = materialise(split_lines(spark, sf_dir).select("id", "split", "y", *NUMERIC))
-    scores, fits = _cv_of_four(materialise(split.kfold(side(df, "train"), "id", checked=True)))
+    df = materialise(split_lines(spark, sf_dir).select("id", "id_hash", "split", "y", *TWO))
+    scores, fits = _cv_of_four(materialise(split.kfold(side(df, "train"), "id", checked=True, hashed="id_hash").drop("id", "id_hash")))
     cv = tune.summarise(scores.where(F.col("metric") == "r2")).select("model", F.col("mean").alias("cv_r2"))
     test = side(df, "test")
     wide = test.agg(*[evaluate.regression_aggregates("y", fit.predict())[0].alias(f"m{i}") for i, fit in enumerate(fits.values())])
