@@ -177,3 +177,10 @@ def test_norm_of_a_text_is_summed_once(spark):
     raw = [2.0, 1.0, 2.0 * (1 + math.log(2))]
     assert got[1][0] == [0, 1, 2] and got[1][1] == pytest.approx([v / math.hypot(*raw) for v in raw])
     assert got[2] == ([1], [1.0]) and got[3] == ([], [])
+
+
+def test_no_nested_lambda_is_an_argument_of_the_vector_function(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
+    plan = tfidf.Tfidf(maxFeatures=100, splitCol="").fit(df).transform(df).select("features")._jdf.queryExecution().executedPlan().toString()
+    calls = [line for line in plan.splitlines() if "_sparse(" in line]
+    assert len(calls) == 1 and "ArrowEvalPython" in calls[0] and "lambda" not in calls[0]
