@@ -401,3 +401,22 @@ def test_neighbours_are_found_in_bounded_memory(metric):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found) == 15_000 and most < 80e6  # a matrix of all distances takes 98 MB, all differences 16 times that
+
+
+def test_kernel_ridge_equals_the_closed_form_and_moves_no_features(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(120, 3))
+    y = np.sin(x[:, 0]) * 5 + x[:, 1] + 100
+    df = spark.createDataFrame([("train", Vectors.dense(r.tolist()), float(v)) for r, v in zip(x, y)], ["split", "features", "y"]).repartition(3)
+    rff = models.RandomFourierFeatures(gamma=0.3, components=20)
+    got = models.kernel_ridge(df, rff, 2.0)(df).toPandas()
+    z = rff.projection()(np.vstack([v.toArray() for v in got.features]))
+    c, t = z - z.mean(axis=0), got.y - got.y.mean()
+    w = np.linalg.solve(c.T @ c + 2 * np.eye(20), c.T @ t)
+    assert got.prediction.to_numpy() == pytest.approx(c @ w + got.y.mean())
+    with pytest.raises(ValueError, match="no training rows"):
+        models.kernel_ridge(df.where("false"), rff)
+
+
+def test_statistics_of_text_trees_leave_room_in_a_task():
+    assert models.tree_classifier().getOrDefault("maxMemoryInMB") <= 256
